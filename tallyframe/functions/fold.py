@@ -52,29 +52,35 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(src) + "".join(dropped), "".join(dst), multi
 
 
-def _char_class(chars) -> str:
-    out = []
-    for ch in chars:
-        cp = ord(ch)
-        out.append(f"\\x{{{cp:X}}}")
-    return "[" + "".join(out) + "]"
+_MARK = "\u0001"
 
 
 @functools.lru_cache(maxsize=1)
 def _multi_parts():
     _, _, multi = fold_tables()
     keys = sorted(multi)
-    return keys, [multi[k] for k in keys], _char_class(keys)
+    return keys, [multi[k] for k in keys]
+
+
+def has_multi_fold(c: Column) -> Column:
+    """True when the string holds a character whose fold is several characters.
+
+    `translate` (one hash lookup per character) maps those characters to a
+    marker; a regex character class of ~1,000 members would cost ~1,000
+    comparisons per character instead.  A marker already present in the
+    input only sends the row down the (correct) slow path.
+    """
+    keys, _ = _multi_parts()
+    return F.instr(F.translate(c, "".join(keys), _MARK * len(keys)), _MARK) > 0
 
 
 def fold_accents(c: Column) -> Column:
     """NFKD + drop combining marks, as JVM expressions (no Python UDF)."""
     src, dst, _ = fold_tables()
-    keys, values, klass = _multi_parts()
-    mapping = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                                F.array(*[F.lit(v) for v in values]))
+    keys, values = _multi_parts()
+    mapping = F.map_from_arrays(F.lit(keys), F.lit(values))
     expanded = F.when(
-        c.rlike(klass),
+        has_multi_fold(c),
         F.aggregate(F.map_entries(mapping), c,
                     lambda acc, e: F.replace(acc, e["key"], e["value"])),
     ).otherwise(c)

@@ -25,6 +25,11 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def try_cast(c, dtype: str) -> Column:
+    """Cast that yields null instead of failing (ANSI mode is on)."""
+    return col_(c).try_cast(dtype)
+
+
 def ustrip(c) -> Column:
     """Strip Unicode whitespace at both ends (Spark ``trim`` only removes U+0020)."""
     return F.regexp_replace(col_(c), UNICODE_STRIP, "")
@@ -37,8 +42,11 @@ def blank_to_null(c) -> Column:
 
 # F1 -------------------------------------------------------------------------
 def normalize_key(c) -> Column:
-    """null -> '', strip, NFKD, drop combining marks, lower, delete [^a-z0-9]+."""
-    s = ustrip(F.coalesce(col_(c).cast("string"), F.lit("")))
+    """null -> '', strip, NFKD, drop combining marks, lower, delete [^a-z0-9]+.
+
+    (Stripping is implied: whitespace never folds to [a-z0-9] and is deleted.)
+    """
+    s = F.coalesce(col_(c).cast("string"), F.lit(""))
     return F.regexp_replace(F.lower(fold_accents(s)), "[^a-z0-9]+", "")
 
 
@@ -52,7 +60,7 @@ def _zfill2(s: Column) -> Column:
 def normalize_area_code(c) -> Column:
     """Blank -> null; numeric text -> truncated integer zero-padded to 2; else upper + pad."""
     t = ustrip(col_(c).cast("string"))
-    as_int = F.try_cast(F.try_cast(t, "double"), "bigint").cast("string")
+    as_int = try_cast(try_cast(t, "double"), "bigint").cast("string")
     return (F.when(t.isNull() | (t == ""), F.lit(None).cast("string"))
             .when(t.rlike(NUM) & as_int.isNotNull(), _zfill2(as_int))
             .otherwise(_zfill2(F.upper(t))))
@@ -60,26 +68,27 @@ def normalize_area_code(c) -> Column:
 
 # F3-F5 ----------------------------------------------------------------------
 def _clean_number_text(c) -> Column:
+    """Strip; drop no-break (U+00A0), narrow no-break (U+202F) and plain spaces; ',' -> '.'; drop '%'."""
     t = ustrip(col_(c).cast("string"))
-    t = F.translate(t, "   ", "")
+    t = F.translate(t, "\u00a0\u202f ", "")
     return F.translate(t, ",%", ".")
 
 
 def parse_float_fr(c) -> Column:
     """Localized float: drop (narrow) no-break spaces and spaces, ',' -> '.', drop '%'."""
     t = _clean_number_text(c)
-    return F.when(t.rlike(NUM), F.try_cast(t, "double"))
+    return F.when(t.rlike(NUM), try_cast(t, "double"))
 
 
 def parse_int_fr(c) -> Column:
     """Localized integer, rounded half-to-even like Python ``round``."""
-    return F.try_cast(F.bround(parse_float_fr(c), 0), "bigint")
+    return try_cast(F.bround(parse_float_fr(c), 0), "bigint")
 
 
 def parse_ratio_fr(c) -> Column:
     """Percent text -> ratio: always divided by 100, rounded to 6 decimals (half-up)."""
     t = _clean_number_text(c)
-    dec = F.when(t.rlike(NUM), F.try_cast(t, "decimal(38,18)"))
+    dec = F.when(t.rlike(NUM), try_cast(t, "decimal(38,18)"))
     return F.round(dec / F.lit(100), 6).cast("double")
 
 
@@ -155,7 +164,7 @@ def backfill_votes(votes, valid, share) -> Column:
     """votes <- round_half_even(valid * share) when missing (valid truthy)."""
     d, s = col_(valid), col_(share)
     derived = F.when(s.isNotNull() & d.isNotNull() & (d != 0),
-                     F.try_cast(F.bround(d * s, 0), "bigint"))
+                     try_cast(F.bround(d * s, 0), "bigint"))
     return F.coalesce(col_(votes), derived)
 
 
@@ -180,7 +189,7 @@ def aligned_from(source_file, source_year, target_year) -> Column:
 
 # F16/F17/F20 ----------------------------------------------------------------
 def coerce_numeric(c) -> Column:
-    return F.try_cast(col_(c), "double")
+    return try_cast(col_(c), "double")
 
 
 def nan_to_null(c) -> Column:
@@ -189,4 +198,4 @@ def nan_to_null(c) -> Column:
 
 def to_storage_share(c) -> Column:
     """6-decimal frame share -> decimal(6,5) storage (half-up, null when out of range)."""
-    return F.try_cast(col_(c), "decimal(6,5)")
+    return try_cast(col_(c), "decimal(6,5)")

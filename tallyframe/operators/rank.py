@@ -49,13 +49,12 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], ordinal: OrderSpec) -> DataF
 def latest_snapshot(df: DataFrame, time_col: str, where: Column | None = None) -> DataFrame:
     """Rows at the global maximum period (not per geo).
 
-    The max is a one-row aggregate (partial aggregation everywhere) joined
-    back as a scalar; no single-partition window.
+    The max is a scalar subquery over a partially aggregated one-row
+    aggregate; no single-partition window, no join.
     """
     if where is not None:
         df = df.where(where)
-    mx = df.agg(F.max(time_col).alias("__max_t"))
-    return df.join(mx, F.col(time_col) == F.col("__max_t")).drop("__max_t")
+    return df.where(F.col(time_col) == df.agg(F.max(time_col)).scalar())
 
 
 def with_history(df: DataFrame, keys: Sequence[str], time_col: str, cols: Sequence[str],

@@ -7,6 +7,25 @@ millionths (no double rounding in the comparison).
 
 from __future__ import annotations
 
+from .. import config as C
+from . import proxy as P
+
+
+def _in(values) -> str:
+    return "(" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in values) + ")"
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(str(v) for v in values) + "]"
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+TARGETS = _in(P.PROXY_TARGET_CODES)
+BRANDS = _in(P.SHEET_BRANDS)
+
 BASE = """base as (
   select cast(year(o_orderdate) as bigint) yr, cast(n_nationkey as bigint) geo, n_name geo_name,
          p_brand opt, o_orderkey station, o_custkey commune, o_orderstatus st, o_orderpriority pri,
@@ -22,21 +41,454 @@ TOTALS = """totals as (
   from base group by yr, geo, geo_name)"""
 
 RESULTS = """results as (
-  select t.yr, t.geo, t.geo_name, v.opt, t.eligible, t.cast_n, t.valid, v.votes,
+  select t.yr, t.geo, t.geo_name, lpad(cast(t.geo as varchar), 2, '0') dept_code, v.opt, t.eligible,
+         t.cast_n, t.valid, v.votes,
          (2 * v.votes * 1000000 + t.valid) // (2 * t.valid) micro_share,
          (2 * t.cast_n * 1000000 + t.eligible) // (2 * t.eligible) micro_turnout
   from totals t join (select yr, geo, opt, cast(sum(q) as bigint) votes from base
                       where st = 'F' group by yr, geo, opt) v
   on t.yr = v.yr and t.geo = v.geo)"""
 
+R3 = [BASE, TOTALS, RESULTS]
+
+LINES = """lines as (
+  select *, row_number() over (partition by station order by ln, partkey, suppkey) - 1 rn from base)"""
+STN = """stn as (
+  select station, commune, geo, geo_name, cast(sum(q) as bigint) reg,
+         cast(sum(case when st <> 'P' then q else 0 end) as bigint) cst,
+         cast(sum(case when st = 'F' then q else 0 end) as bigint) val, bool_or(pri = '1-URGENT') urgent
+  from base group by station, commune, geo, geo_name)"""
+ROWS = """srows as (
+  select c.station, c.chunk, c.n_groups, s.commune, s.geo, s.geo_name, s.reg, s.cst, s.val,
+         unnest(case when s.urgent then [0, 1] else [0] end) copy
+  from (select station, rn // 3 chunk, count(*) n_groups from lines group by station, rn // 3) c
+  join stn s on c.station = s.station)"""
+GROUPS = """sgroups as (
+  select l.station, l.geo, l.opt, l.ln, l.q, unnest(case when s.urgent then [0, 1] else [0] end) copy
+  from lines l join stn s on l.station = s.station where l.ln % 4 <> 0)"""
+STATION = [BASE, LINES, STN]
+
+OFACTS = """ofacts as (
+  select cast(year(o_orderdate) as bigint) yr, cast(n_nationkey as bigint) geo, o_orderstatus st,
+         o_orderpriority pri, o_totalprice price
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
+_VAR = " ".join(f"when {_sq(k)} then {_sq(v)}" for k, v in P.VARIABLE_BY_PRIORITY.items())
+IAGG = f"""iagg as (
+  select geo, pri, st, yr, cast(sum(cast(price as decimal(18,2))) as decimal(18,2)) v,
+         cast(geo as varchar) codgeo, case pri {_VAR} end variable,
+         case st when 'F' then 'total' when 'P' then ' total ' else null end sous_champ,
+         geo * 100 + cast(substr(pri, 1, 1) as int) * 10 + case st when 'F' then 0 when 'O' then 1 else 2 end ordinal
+  from ofacts where yr in {_in(P.INDICATOR_YEARS)} group by geo, pri, st, yr)"""
+SHEET = "sheet as (select codgeo, variable, sous_champ, ordinal, " + ", ".join(
+    f"max(case when yr = {y} then replace(cast(v as varchar), '.', ',') end) A{y}" for y in P.INDICATOR_YEARS
+) + " from iagg group by codgeo, variable, sous_champ, ordinal)"
+SPECS = "specs as (select * from (values " + ", ".join(
+    f"({_sq(s[0])}, {_sq(s[3])}, {_sq(s[4]) if s[4] is not None else 'NULL'}, {i})"
+    for i, s in enumerate(C.INDICATOR_SPECS)) + ") t(indicator_code, svar, ssc, spec_order))"
+MATCH = """(w.variable = s.svar and ((s.ssc is null and w.sous_champ is null)
+            or (s.ssc is not null and trim(coalesce(w.sous_champ, '')) = s.ssc)))"""
+VALS = f"""vals as (
+  select indicator_code, insee_code, year, value, source_file from (
+    select s.indicator_code, lpad(cast(a.geo as varchar), 2, '0') || '000' insee_code, a.yr as year, a.v value,
+           {_sq(C.INDICATOR_SOURCE_LABEL + ' (variable=')} || s.svar || coalesce(',sous_champ=' || s.ssc, '') || ')' source_file,
+           row_number() over (partition by s.indicator_code, a.geo, a.yr order by s.spec_order desc, a.ordinal desc) rk
+    from iagg a join specs s on {MATCH.replace('w.', 'a.')}) x where rk = 1)"""
+IND = [OFACTS, IAGG, SPECS, VALS]
 
-def with_(*ctes: str) -> str:
-    return "with " + ",\n".join(ctes) + "\n"
 
+def aligned(targets) -> str:
+    return f"""aligned as (
+  select g.indicator_code, g.insee_code, cast(g.t as bigint) as year, v.value,
+         case when v.year = g.t then v.source_file
+              else v.source_file || ' [aligned_from=' || cast(v.year as varchar) || ']' end source_file
+  from (select indicator_code, insee_code, unnest({_list(targets)}) t
+        from (select distinct indicator_code, insee_code from vals)) g
+  asof join vals v on g.indicator_code = v.indicator_code and g.insee_code = v.insee_code and g.t >= v.year)"""
+
+
+TURN = """turn as (
+  select yr, dept_code, geo_name, opt, micro_turnout from (
+    select *, row_number() over (partition by yr, geo order by geo_name, opt) rk from results) x where rk = 1)"""
+
+PARTY = """prow as (
+  select yr, geo, opt candidate_name,
+         case when geo % 2 = 0 then null when yr >= 2000 then 'Q' || cast(geo % 3 as varchar)
+              else 'P' || cast(geo % 3 as varchar) end party_code from results)"""
+
+LAGP = """lagp as (
+  select yr, geo, opt, votes, lag(votes) over (partition by geo, opt order by yr) prediction from results)"""
+
+LEAD = """lead1 as (
+  select yr, geo, opt from (
+    select *, row_number() over (partition by yr, geo order by votes desc, opt asc) rk from results) x
+  where rk = 1)"""
+
+
+def with_(*ctes) -> str:
+    flat = []
+    for c in ctes:
+        flat.extend(c if isinstance(c, list) else [c])
+    seen, out = set(), []
+    for c in flat:
+        if c not in seen:
+            seen.add(c)
+            out.append(c)
+    return "with " + ",\n".join(out) + "\n"
+
+
+KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+QQ = "cast(l_quantity as bigint)"
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["leader_per_group"] = with_(BASE, TOTALS, RESULTS) + """
+ORACLE["leader_per_group"] = with_(R3) + """
 select yr, geo, geo_name, opt, votes, micro_share, micro_turnout
 from (select *, row_number() over (partition by yr, geo order by votes desc, opt asc) rn from results) x
 where rn = 1"""
+
+ORACLE["scan_union_by_year"] = f"""
+select cast(year(o_orderdate) as bigint) yr, count(*) n_orders,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) total_price
+from orders where year(o_orderdate) in {_in(P.PROXY_YEARS)} group by 1"""
+
+ORACLE["scan_station_rows"] = with_(STATION, ROWS) + """
+select lpad(cast(geo as varchar), 2, '0') dept_code, cast(commune as varchar) commune,
+       cast(station as varchar) bureau, reg registered, cst votes_cast, val votes_valid,
+       cast(7 + 7 * n_groups as bigint) n_tokens
+from srows"""
+
+ORACLE["explode_groups"] = with_(STATION, GROUPS) + """
+select cast(station as varchar) bureau, cast(ln as varchar) panel, upper(opt) candidate_name, q votes
+from sgroups"""
+
+ORACLE["rollup_station_totals"] = with_(STATION) + """
+select lpad(cast(geo as varchar), 2, '0') dept_code, geo_name dept_name, cast(sum(reg) as bigint) registered,
+       cast(sum(cst) as bigint) votes_cast, cast(sum(val) as bigint) votes_valid
+from stn group by geo, geo_name"""
+
+_CAND = """cand as (select geo, upper(opt) candidate_name, cast(sum(q) as bigint) votes from sgroups group by geo, opt)"""
+_DTOT = """dtot as (select geo, cast(sum(reg) as bigint) reg, cast(sum(cst) as bigint) cst,
+                     cast(sum(val) as bigint) val from stn group by geo)"""
+
+ORACLE["rollup_candidate_votes"] = with_(STATION, GROUPS, _CAND) + """
+select lpad(cast(geo as varchar), 2, '0') dept_code, candidate_name, votes from cand"""
+
+ORACLE["share_of_total"] = with_(STATION, GROUPS, _CAND, _DTOT) + """
+select lpad(cast(c.geo as varchar), 2, '0') dept_code, c.candidate_name, c.votes, d.val votes_valid,
+       (2 * c.votes * 1000000 + d.val) // (2 * d.val) micro_share,
+       (2 * d.cst * 1000000 + d.reg) // (2 * d.reg) micro_turnout
+from cand c join dtot d on c.geo = d.geo"""
+
+_YCOLS = ", ".join(f"A{y}" for y in P.INDICATOR_YEARS)
+ORACLE["scan_indicator_filter"] = with_(OFACTS, IAGG, SHEET) + f"""
+select lpad(codgeo, 2, '0') codgeo, variable, sous_champ, {_YCOLS}
+from sheet where lpad(codgeo, 2, '0') in {TARGETS}"""
+
+ORACLE["scope_filter"] = with_(R3) + f"""
+select yr, dept_code, opt candidate_name, votes from results where dept_code in {TARGETS}"""
+
+ORACLE["series_select"] = with_(OFACTS, IAGG, SHEET, SPECS) + f"""
+select s.indicator_code, lpad(w.codgeo, 2, '0') codgeo, w.sous_champ, w.A1995, w.A2001
+from sheet w join specs s on {MATCH}"""
+
+ORACLE["empty_specs"] = with_(OFACTS, IAGG, SHEET, SPECS) + f"""
+select indicator_code, svar variable from specs where indicator_code not in (
+  select s.indicator_code from sheet w join specs s on {MATCH})"""
+
+ORACLE["unpivot_periods"] = with_(OFACTS, IAGG) + """
+select codgeo, variable, sous_champ, yr as year, v as value from iagg"""
+
+ORACLE["dedupe_indicator_values"] = with_(IND) + """
+select indicator_code, insee_code, year, value, source_file from vals"""
+
+ORACLE["asof_align"] = with_(IND, aligned(P.PROXY_CALENDAR)) + """
+select indicator_code, insee_code, year, value, source_file from aligned"""
+
+ORACLE["asof_join_tables"] = f"""
+with r as (select o_custkey, o_orderdate, max(o_orderkey) ok from orders group by o_custkey, o_orderdate),
+p as (select {KEYS}, l_shipdate, o_custkey from lineitem join orders on l_orderkey = o_orderkey)
+select p.l_orderkey, p.l_partkey, p.l_suppkey, p.l_linenumber, r.ok prev_orderkey, r.o_orderdate prev_orderdate
+from p asof left join r on p.o_custkey = r.o_custkey and p.l_shipdate >= r.o_orderdate"""
+
+ORACLE["normalize_key"] = """
+select doc_id, regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', '', 'g') norm_key
+from documents"""
+
+ORACLE["canonical_label"] = r"""
+select doc_id, upper(replace(trim(regexp_replace(strip_accents(replace(regexp_replace(
+         replace(text, ' ', '_') || case when doc_id % 2 = 0 then '_VOIX' else '_exp' end,
+         '_(VOIX|EXP)$', '', 'i'), '_', ' ')), '\s+', ' ', 'g')), 'ß', 'ss')) label
+from documents"""
+
+ORACLE["normalize_area_code"] = f"""
+select {KEYS}, case ({QQ} + l_linenumber) % 6 when 3 then null
+                    when 4 then cast({QQ} as varchar) || 'A'
+                    else lpad(cast({QQ} as varchar), 2, '0') end code
+from lineitem"""
+
+ORACLE["parse_localized_int"] = f"""
+select {KEYS}, cast(case ({QQ} + l_linenumber) % 5 when 0 then {QQ} + {QQ} % 2 when 1 then 1000 + {QQ}
+                         when 2 then {QQ} when 3 then null else {QQ} * 100 end as bigint) value
+from lineitem"""
+
+ORACLE["parse_localized_float"] = f"""
+select {KEYS}, cast(case ({QQ} + l_linenumber) % 4 when 0 then {QQ} + 0.25 when 1 then 1000 + {QQ} + 0.5
+                         when 2 then {QQ} else -10 * {QQ} end as double) value
+from lineitem"""
+
+ORACLE["parse_ratio"] = f"""
+select {KEYS}, cast(round(cast(l_extendedprice as decimal(18,2)) * 0.01, 6) as decimal(18,6)) ratio
+from lineitem"""
+
+ORACLE["turnout_rate"] = with_(BASE, TOTALS) + """
+select yr, geo, (2 * cast_n * 1000000 + eligible) // (2 * eligible) micro_turnout from totals"""
+
+ORACLE["abstention_rate"] = with_(BASE, TOTALS) + """
+select yr, geo, 1000000 - (2 * cast_n * 1000000 + eligible) // (2 * eligible) micro_abstention from totals"""
+
+ORACLE["backfill_votes_share"] = with_(R3) + """
+select yr, geo, opt,
+       case when votes % 3 <> 0 then votes
+            else cast(round_even(valid * (micro_share / 1e6), 0) as bigint) end votes,
+       micro_share
+from results where votes % 5 <> 0 or votes % 3 <> 0"""
+
+ORACLE["name_fallback"] = """
+select c_custkey, coalesce(nullif(trim(name), ''), n.n_name, lpad(cast(c.c_nationkey as varchar), 2, '0')) display_name
+from (select c_custkey, c_nationkey,
+             case when c_custkey % 7 = 0 then ' ' when c_custkey % 11 = 0 then null else c_name end name
+      from customer) c
+left join (select * from nation where n_name not like '%3') n on c.c_nationkey = n.n_nationkey"""
+
+ORACLE["lookup_by_normalized_name"] = """
+with x as (
+  select c_custkey, case c_custkey % 4 when 0 then lower(n_name) when 1 then replace(n_name, '_', ' ')
+                    when 2 then ' ' || replace(n_name, 'NATION', 'Nätion') || '!' else n_name || '_X' end mangled
+  from customer join nation on c_nationkey = n_nationkey),
+lk as (select regexp_replace(lower(strip_accents(n_name)), '[^a-z0-9]+', '', 'g') k,
+              lpad(cast(n_nationkey as varchar), 2, '0') code from nation)
+select c_custkey, mangled, lk.code
+from x left join lk on regexp_replace(lower(strip_accents(mangled)), '[^a-z0-9]+', '', 'g') = lk.k"""
+
+ORACLE["geo_key_roundtrip"] = """
+select c_custkey, lpad(cast(c_nationkey as varchar), 2, '0') || '000' insee_code,
+       lpad(cast(c_nationkey as varchar), 2, '0') dept_code
+from customer"""
+
+ORACLE["storage_decimal"] = with_(R3) + """
+select yr, dept_code, opt candidate_name, cast(((micro_share + 5) // 10) / 1e5 as decimal(6,5)) share_5dp
+from results"""
+
+ORACLE["election_dim"] = f"""
+with d as (select year(o_orderdate) y, min(cast(o_orderdate as date)) election_date from orders group by 1)
+select row_number() over (order by election_date) election_id, {_sq(C.ELECTION_TYPE)} election_type,
+       election_date, cast({C.ELECTION_ROUND} as smallint) round, {_sq(C.ELECTION_SCOPE)} scope
+from d"""
+
+ORACLE["unpivot_pairs"] = with_(R3) + f"""
+select yr, dept_code, upper(opt) candidate_name, votes, micro_share, micro_turnout
+from results where opt in {BRANDS}"""
+
+ORACLE["unpivot_measures"] = with_(R3) + f"""
+select yr, dept_code, geo_name dept_name, upper(opt) candidate_name, valid votes_valid,
+       cast(round_even(valid * (micro_share / 1e6), 0) as bigint) votes, micro_share, micro_turnout
+from results where opt in {BRANDS}"""
+
+ORACLE["pivot_matrix"] = with_(BASE, TOTALS) + "select lpad(cast(geo as varchar), 2, '0') dept_code, " + ", ".join(
+    f"max(case when yr = {y} then valid end) y{y}" for y in P.PROXY_YEARS) + " from totals group by geo"
+
+ORACLE["collapse_duplicates"] = with_(R3) + """
+select yr, dept_code, opt candidate_name, eligible registered, valid votes_valid,
+       case when votes % 7 <> 0 then votes end votes, micro_share
+from results"""
+
+ORACLE["sum_min_count"] = with_(R3) + """
+select yr, dept_code, opt candidate_name, case when votes % 7 <> 0 then votes end votes from results"""
+
+ORACLE["recompute_share"] = with_(R3) + """
+select yr, dept_code, opt candidate_name,
+       case when votes % 9 <> 0 then micro_share when votes % 2 = 0 then 500000 else micro_share end micro_share
+from results"""
+
+ORACLE["run_stats"] = with_(R3) + """
+select count(*) n_rows, count(distinct geo) n_keys, min(yr) min_period, max(yr) max_period,
+       count(distinct yr) n_periods from results"""
+
+ORACLE["distinct_sorted"] = with_(R3) + "select distinct yr from results"
+
+ORACLE["describe_by_group"] = with_(R3) + """
+select dept_code, count(votes) n, cast(round(avg(votes) * 1000) as bigint) mean_milli,
+       cast(round(stddev_samp(votes) * 1000) as bigint) stddev_milli, min(votes) min_votes,
+       cast(round(quantile_cont(votes, 0.5) * 1000) as bigint) median_milli, max(votes) max_votes
+from results group by dept_code"""
+
+ORACLE["histogram"] = with_(R3) + """
+select cast(case when votes < 0 then 0 when votes >= 500 then (case when votes = 500 then 10 else 11 end)
+            else floor(votes / 50) + 1 end as bigint) bin, count(*) n
+from results group by 1"""
+
+ORACLE["indicator_correlation"] = with_(R3) + """
+select upper(opt) candidate_name, count(*) n,
+       cast(round(corr(micro_turnout / 1e6, micro_share / 1e6) * 1000000) as bigint) corr_micro
+from results group by opt"""
+ORACLE["indicator_correlation"] = ORACLE["indicator_correlation"].replace("upper(opt)", "opt")
+
+ORACLE["dedupe_keep_last"] = f"""
+select {KEYS} from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber
+                               order by l_shipdate desc, l_partkey desc, l_suppkey desc) rn
+  from lineitem) x where rn = 1"""
+
+ORACLE["dropna_subset"] = with_(R3) + """
+select yr, dept_code, opt candidate_name, micro_turnout from results where votes % 4 <> 0"""
+
+ORACLE["first_non_null_per_key"] = with_(R3) + """
+select yr, dept_code, opt candidate_name, micro_turnout from (
+  select *, row_number() over (partition by yr, geo order by geo_name, opt) rk
+  from results where votes % 4 <> 0) x where rk = 1"""
+
+ORACLE["lag_features"] = with_(R3) + """
+select yr, geo, opt, votes, lag(votes) over w votes_lag1, votes - lag(votes) over w votes_change
+from results window w as (partition by geo, opt order by yr)"""
+
+_CAT = [s for s in C.INDICATOR_SPECS if s[0] != "poverty_rate"]
+ORACLE["resolve_indicator_key"] = with_(IND) + "select c.indicator_id, v.insee_code, v.year, v.value from vals v " \
+    "join (values " + ", ".join(f"({i + 1}, {_sq(s[0])})" for i, s in enumerate(_CAT)) + \
+    ") c(indicator_id, code) on v.indicator_code = c.code"
+
+ORACLE["null_safe_join"] = with_(R3, PARTY) + """
+select p.yr, p.geo, p.candidate_name, p.party_code, d.candidate_id
+from prow p join (
+  select candidate_name, party_code,
+         row_number() over (order by candidate_name, party_code nulls first) candidate_id
+  from (select distinct candidate_name, party_code from prow)) d
+on p.candidate_name = d.candidate_name and p.party_code is not distinct from d.party_code"""
+
+ORACLE["assign_surrogate_keys"] = with_(R3, PARTY) + """,
+cur as (select candidate_name, party_code,
+               row_number() over (order by candidate_name, party_code nulls first) candidate_id
+        from (select distinct candidate_name, party_code from prow where yr <= 1997)),
+new as (select i.candidate_name, i.party_code
+        from (select distinct candidate_name, party_code from prow where yr >= 1997) i
+        where not exists (select 1 from cur c where c.candidate_name = i.candidate_name
+                                                and c.party_code is not distinct from i.party_code))
+select candidate_id, candidate_name, party_code from cur
+union all
+select (select max(candidate_id) from cur) + row_number() over (order by candidate_name, party_code nulls first),
+       candidate_name, party_code from new"""
+ORACLE["assign_surrogate_keys"] = ORACLE["assign_surrogate_keys"].replace("\n,\ncur as", ",\ncur as")
+
+ORACLE["insert_ignore"] = """
+select c_custkey, c_name name from customer where c_acctbal >= 0
+union all
+select c_custkey, lower(c_name) name from customer where c_acctbal < 0"""
+
+ORACLE["upsert"] = """
+select c_custkey, c_name name from customer
+where c_acctbal >= 0 and c_mktsegment not in ('BUILDING', 'MACHINERY')
+union all
+select c_custkey, lower(c_name) name from customer where c_mktsegment in ('BUILDING', 'MACHINERY')"""
+
+ORACLE["replace_slice"] = with_(R3) + f"""
+select yr, dept_code, opt candidate_name, votes from results
+where yr <= 1999 and not (yr >= 1998 and dept_code in {TARGETS})
+union all
+select yr, dept_code, opt candidate_name, votes + 1 votes from results where yr >= 1998 and dept_code in {TARGETS}"""
+
+ORACLE["turnout_indicator"] = with_(R3, TURN) + f"""
+select dept_code || '000' insee_code, yr as year, micro_turnout micro_value, {_sq(C.TURNOUT_SOURCE_FILE)} source_file
+from turn
+union all
+select dept_code || '000' insee_code, yr - 10 as year, 0 micro_value, 'old' source_file from turn where yr <= 1997"""
+
+ORACLE["reindex_left"] = with_(R3, IND) + f"""
+select o.dept_code, v.value from (select distinct dept_code from results) o
+left join (select substr(insee_code, 1, 2) dept_code, value from vals
+           where indicator_code = 'unemployment_rate' and year = 2001
+             and substr(insee_code, 1, 2) in {TARGETS}) v on o.dept_code = v.dept_code"""
+
+ORACLE["fk_violations"] = with_(R3) + """
+select yr, dept_code || '000' insee_code, opt candidate_name from results
+where dept_code || '000' not in (
+  select lpad(cast(s_nationkey as varchar), 2, '0') || '000' from supplier where s_acctbal > 5000)"""
+
+ORACLE["pk_violations"] = """
+select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2 having count(*) > 1"""
+
+ORACLE["null_violations"] = with_(R3) + """
+select count(*) filter (where votes % 3 = 0) null_votes_in, count(*) filter (where votes % 5 = 0) null_share_in,
+       cast(0 as bigint) null_opt from results"""
+
+ORACLE["turnout_trend"] = with_(R3, TURN) + """
+select dept_code, yr as year, micro_turnout micro_pct_turnout, dept_code || ' - ' || geo_name label from turn"""
+
+ORACLE["leader_matrix"] = with_(R3) + """
+select dept_code, """ + ", ".join(f"max(case when yr = {y} then micro_share end) y{y}" for y in P.PROXY_YEARS) + """
+from (select *, row_number() over (partition by yr, geo order by micro_share desc, opt asc) rk from results) x
+where rk = 1 group by dept_code"""
+
+ORACLE["indicator_trend"] = with_(IND, aligned(P.PROXY_YEARS)) + """
+select substr(insee_code, 1, 2) dept_code, "year", value from aligned where indicator_code = 'unemployment_rate'"""
+
+ORACLE["latest_snapshot"] = with_(R3, IND) + """
+select o.dept_code, v.year, v.value from (select distinct dept_code from results) o
+join (select substr(insee_code, 1, 2) dept_code, year, value from vals
+      where indicator_code = 'poverty_rate'
+        and year = (select max(year) from vals where indicator_code = 'poverty_rate')) v
+on o.dept_code = v.dept_code"""
+
+ORACLE["quality_report"] = with_(R3) + """
+select count(*) n_rows, count(*) filter (where votes % 3 = 0) null_votes_in,
+       count(*) filter (where votes % 5 = 0) null_share_in,
+       count(*) filter (where votes % 5 <> 0 and micro_share > 100000) out_of_bounds_share_in,
+       (select cast(coalesce(sum(n), 0) as bigint) from (select count(*) n from results group by yr, geo) g
+        where n > 1) dup_rows,
+       (select count(*) from (select count(*) n from results group by yr, geo) g where n > 1) dup_keys
+from results"""
+
+ORACLE["quality_bounds"] = with_(R3) + """
+select yr, count(*) n_rows, count(*) filter (where micro_share > 100000) share_high,
+       count(*) filter (where micro_turnout < 400000 or micro_turnout > 800000) turnout_out
+from results group by yr"""
+
+ORACLE["coverage_gaps"] = with_(IND) + f"""
+select g.indicator_code, g.insee_code, cast(g.year as bigint) as year
+from (select indicator_code, insee_code, unnest({_list(P.PROXY_YEARS)}) as year
+      from (select distinct indicator_code, insee_code from vals)) g
+where not exists (select 1 from vals v where v.indicator_code = g.indicator_code
+                  and v.insee_code = g.insee_code and v.year = g.year)"""
+
+_PIV = "piv as (select insee_code, year, " + ", ".join(
+    f"max(case when indicator_code = {_sq(s[0])} then value end) {s[0]}" for s in C.INDICATOR_SPECS
+) + " from aligned group by insee_code, year)"
+ORACLE["feature_join"] = with_(R3, IND, aligned(P.PROXY_YEARS), _PIV) + "select r.yr, r.geo, r.opt, r.micro_share, " + \
+    ", ".join(f"p.{s[0]}" for s in C.INDICATOR_SPECS) + \
+    " from results r left join piv p on r.dept_code || '000' = p.insee_code and r.yr = p.year"
+
+ORACLE["temporal_split"] = with_(R3) + """
+select yr, geo, opt, case when yr < 2001 then 'train' else 'test' end split from results where yr <= 2001"""
+
+ORACLE["regression_metrics"] = with_(R3, LAGP) + """
+select yr, count(*) n, cast(round(avg(abs(e)) * 1000) as bigint) mae_milli,
+       cast(round(sqrt(avg(e * e)) * 1000) as bigint) rmse_milli,
+       cast(round((1 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*))) * 1000) as bigint) r2_milli
+from (select yr, cast(votes as double) y, cast(votes as double) - cast(prediction as double) e
+      from lagp where prediction is not null) x
+group by yr"""
+
+ORACLE["class_accuracy"] = with_(R3, LEAD) + """
+select yr, count(*) n, count(*) filter (where opt = predicted) n_correct
+from (select yr, opt, lag(opt) over (partition by geo order by yr) predicted from lead1) x
+where predicted is not null group by yr"""
+
+ORACLE["score_classes"] = with_(R3) + """
+select yr, case when micro_share < 40000 then 'low' when micro_share < 60000 then 'medium' else 'high' end cls,
+       count(*) n from results group by 1, 2"""
+
+ORACLE["scenario_projection"] = with_(IND) + """
+select indicator_code, insee_code, cast(h as bigint) horizon, cast(last_period + h as bigint) period,
+       cast(round(intercept + slope * (last_period + h)) as bigint) projection
+from (select indicator_code, insee_code, regr_slope(cast(value as double), cast(year as double)) slope,
+             regr_intercept(cast(value as double), cast(year as double)) intercept, max(year) last_period,
+             unnest([1, 2, 3]) h
+      from vals group by indicator_code, insee_code) x"""

@@ -11,7 +11,7 @@ and every other side is planned from its measured size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -116,3 +116,122 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.safe_ratio("votes", "valid").alias("vote_share"),
         S.safe_ratio("cast_n", "eligible").alias("turnout_rate"),
     )
+
+
+# --------------------------------------------------------------------------
+# Landed-file shapes built from the tables (so the parsers run on real volume)
+# --------------------------------------------------------------------------
+
+ALL_CODES = tuple(f"{i:02d}" for i in range(25))
+STATION_HEADER = ["Code du département", "Libellé du département", "Code de la commune",
+                  "Code du b.vote", "Inscrits", "Votants", "Exprimés", "N°Panneau", "Sexe", "Nom",
+                  "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
+GROUPS_PER_ROW = 3
+SHEET_BRANDS = ("Brand#1", "Brand#7", "Brand#13", "Brand#19", "Brand#25")
+# priority -> indicator variable of the wide indicator file; status -> sub-field
+VARIABLE_BY_PRIORITY = {"1-URGENT": "taux_chom_bit", "2-HIGH": "taux_pvt", "3-MEDIUM": "niveau_vie_median",
+                        "4-NOT SPECIFIED": "part_pls", "5-LOW": "autre_variable"}
+
+
+def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area dimension of the proxy: (dept_code, dept_name) from nation."""
+    return table(spark, sf_dir, "nation").select(S.code2("n_nationkey").alias("dept_code"),
+                                                 F.col("n_name").alias("dept_name"))
+
+
+def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ragged ';' station rows: 7 header fields + up to 3 candidate groups of 7 fields.
+
+    One row per (order, chunk of 3 line items); every row repeats its
+    station's header totals; rows of urgent orders appear twice (exact
+    duplicates); panel is blank on every 4th line number.  Columns: (line, ordinal).
+    """
+    b = base(spark, sf_dir)
+    w = Window.partitionBy("station").orderBy("ln", "partkey", "suppkey")
+    lines = b.withColumn("rn", F.row_number().over(w) - 1)
+    grp = F.concat_ws(";", F.when(F.col("ln") % 4 == 0, F.lit("")).otherwise(F.col("ln").cast("string")),
+                      F.lit("X"), F.col("opt"), F.lit(""), F.col("q").cast("string"), F.lit("0"), F.lit("0"))
+    chunks = (lines.groupBy("station", (F.col("rn") / GROUPS_PER_ROW).cast("int").alias("chunk"))
+              .agg(F.array_sort(F.collect_list(F.struct("rn", grp.alias("g")))).alias("gs")))
+    totals_by_station = b.groupBy("station", "commune", "geo", "geo_name").agg(
+        F.sum("q").alias("reg"), F.sum(F.when(F.col("st") != "P", F.col("q")).otherwise(0)).alias("cst"),
+        F.sum(F.when(F.col("st") == "F", F.col("q")).otherwise(0)).alias("val"),
+        F.max(F.col("pri") == "1-URGENT").alias("urgent"))
+    rows = chunks.join(totals_by_station, "station")
+    name = F.when(F.col("geo") % 7 == 0, F.lit("")).otherwise(F.col("geo_name"))
+    line = F.concat_ws(";", F.col("geo").cast("string"), name, F.col("commune").cast("string"),
+                       F.col("station").cast("string"), F.col("reg").cast("string"),
+                       F.col("cst").cast("string"), F.col("val").cast("string"),
+                       F.array_join(F.transform("gs", lambda s: s["g"]), ";"))
+    copies = F.when(F.col("urgent"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select(line.alias("line"), "station", "chunk", F.explode(copies).alias("copy")) \
+        .select("line", (F.col("station") * 1024 + F.col("chunk") * 2 + F.col("copy")).alias("ordinal"))
+
+
+def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide indicator file: codgeo, variable, sous_champ, A1995..A2001 (comma decimals), ordinal.
+
+    value = order-price sum per (priority, status, geo, odd year); sous_champ
+    is 'total' (F), null (O) or ' total ' (P, a padded duplicate of F).
+    """
+    of = order_facts(spark, sf_dir).where(F.col("yr").isin(list(INDICATOR_YEARS)))
+    var = F.coalesce(*[F.when(F.col("pri") == k, F.lit(v)) for k, v in VARIABLE_BY_PRIORITY.items()])
+    sc = (F.when(F.col("st") == "F", F.lit("total")).when(F.col("st") == "P", F.lit(" total "))
+          .otherwise(F.lit(None).cast("string")))
+    pri_rank = F.substring("pri", 1, 1).cast("int")
+    st_rank = F.when(F.col("st") == "F", 0).when(F.col("st") == "O", 1).otherwise(2)
+    agg = (of.groupBy("geo", "pri", "st", "yr")
+           .agg(F.sum(F.col("price").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v")))
+    txt = F.translate(F.col("v").cast("string"), ".", ",")
+    wide = (agg.withColumn("codgeo", F.col("geo").cast("string")).withColumn("variable", var)
+            .withColumn("sous_champ", sc).withColumn("ordinal", F.col("geo") * 100 + pri_rank * 10 + st_rank)
+            .groupBy("codgeo", "variable", "sous_champ", "ordinal")
+            .pivot("yr", list(INDICATOR_YEARS)).agg(F.max(txt)))
+    return wide.toDF("codgeo", "variable", "sous_champ", "ordinal", *[f"A{y}" for y in INDICATOR_YEARS])
+
+
+def _pct_text(micro) -> Column:
+    """Exact millionths -> French percent text with 4 decimals ('51,2821')."""
+    m = F.col(micro)
+    return F.concat((m / 10000).cast("bigint").cast("string"), F.lit(","),
+                    F.lpad(F.pmod(m, F.lit(10000)).cast("string"), 4, "0"))
+
+
+def results_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rc = results_counts(spark, sf_dir)
+    return rc.withColumn("micro_share", S.micro_ratio("votes", "valid")) \
+             .withColumn("micro_turnout", S.micro_ratio("cast_n", "eligible"))
+
+
+def sheet_layout_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide results sheet, layout A: Code/Libellé/Inscrits/Votants/Exprimés + <BRAND>_VOIX/_EXP."""
+    r = results_micro(spark, sf_dir).where(F.col("opt").isin(list(SHEET_BRANDS)))
+    wide = (r.groupBy("yr", "geo", "geo_name", "eligible", "cast_n", "valid")
+            .pivot("opt", list(SHEET_BRANDS))
+            .agg(F.max(F.col("votes").cast("string")).alias("v"), F.max(_pct_text("micro_share")).alias("s")))
+    out = wide.select(
+        "yr", F.col("geo").cast("string").alias("Code du département"),
+        F.col("geo_name").alias("Libellé du département"),
+        F.col("eligible").cast("string").alias("Inscrits"), F.col("cast_n").cast("string").alias("Votants"),
+        F.col("valid").cast("string").alias("Exprimés"),
+        *[c for b in SHEET_BRANDS for c in (F.col(f"`{b}_v`").alias(f"{b}_VOIX"),
+                                            F.col(f"`{b}_s`").alias(f"{b}_EXP"))])
+    return out
+
+
+def sheet_layout_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide results sheet, layout B: Département (name) / Participation / Exprimés / Blancs + one
+    percent column per brand."""
+    r = results_micro(spark, sf_dir).where(F.col("opt").isin(list(SHEET_BRANDS)))
+    wide = (r.groupBy("yr", "geo_name", "valid", "micro_turnout")
+            .pivot("opt", list(SHEET_BRANDS)).agg(F.max(_pct_text("micro_share"))))
+    return wide.select(
+        "yr", F.col("geo_name").alias("Département"),
+        _pct_text("micro_turnout").alias("Participation"),
+        F.col("valid").cast("string").alias("Exprimés"), F.lit("0").alias("Blancs"),
+        *[F.col(f"`{b}`").alias(b) for b in SHEET_BRANDS])
+
+
+def name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name_key, dept_code) from the area dimension."""
+    return departments(spark, sf_dir).select(S.normalize_key("dept_name").alias("name_key"), "dept_code")
