@@ -74,11 +74,20 @@ def has_multi_fold(c: Column) -> Column:
     return F.instr(F.translate(c, "".join(keys), _MARK * len(keys)), _MARK) > 0
 
 
+_PAIR, _KV = "\u0002", "\u0003"
+
+
+@functools.lru_cache(maxsize=1)
+def _mapping_text() -> str:
+    """The multi-character fold map packed into one string (one literal, parsed by str_to_map)."""
+    keys, values = _multi_parts()
+    return _PAIR.join(k + _KV + v for k, v in zip(keys, values))
+
+
 def fold_accents(c: Column) -> Column:
     """NFKD + drop combining marks, as JVM expressions (no Python UDF)."""
     src, dst, _ = fold_tables()
-    keys, values = _multi_parts()
-    mapping = F.map_from_arrays(F.lit(keys), F.lit(values))
+    mapping = F.str_to_map(F.lit(_mapping_text()), F.lit(_PAIR), F.lit(_KV))
     expanded = F.when(
         has_multi_fold(c),
         F.aggregate(F.map_entries(mapping), c,

@@ -126,7 +126,10 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
     groups = groups.withColumn("candidate_name", S.canonical_label(S.ustrip("last_name"))) \
         .withColumn("votes", F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0)))
     if cfg.dedupe_measures:
-        groups = groups.dropDuplicates(["dept_code", "commune", "bureau", "panel", "candidate_name", "votes"])
+        # candidate groups only from the first row of each station, like the totals
+        unit = ["dept_code", "commune", "bureau"]
+        firsts = df.groupBy(*unit).agg(F.min("ordinal").alias("ordinal"))
+        groups = groups.join(firsts, [*unit, "ordinal"], "left_semi")
     votes = A.rollup_measures(groups, ["dept_code", "candidate_name"], "votes")
     out = J.attach_totals(votes, totals, ["dept_code"])
     return out.select(

@@ -28,8 +28,17 @@ PROXY_YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 INDICATOR_YEARS = (1995, 1997, 1999, 2001)
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table (the DataFrame is memoized per session: no repeated footer reads)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
