@@ -492,3 +492,11 @@ from (select indicator_code, insee_code, regr_slope(cast(value as double), cast(
              regr_intercept(cast(value as double), cast(year as double)) intercept, max(year) last_period,
              unnest([1, 2, 3]) h
       from vals group by indicator_code, insee_code) x"""
+
+ORACLE["incremental_load"] = """
+select cast(year(o_orderdate) as bigint) yr, cast(c_nationkey as bigint) geo, p_brand opt,
+       cast(sum(cast(l_quantity as bigint)) as bigint) eligible,
+       cast(sum(case when o_orderstatus <> 'P' then cast(l_quantity as bigint) else 0 end) as bigint) cast_n,
+       cast(sum(case when o_orderstatus = 'F' then cast(l_quantity as bigint) else 0 end) as bigint) votes
+from orders join customer on o_custkey = c_custkey join lineitem on o_orderkey = l_orderkey
+join part on l_partkey = p_partkey group by 1, 2, 3"""

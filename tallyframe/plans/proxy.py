@@ -154,19 +154,27 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     One row per (order, chunk of 3 line items); every row repeats its
     station's header totals; rows of urgent orders appear twice (exact
     duplicates); panel is blank on every 4th line number.  Columns: (line, ordinal).
+
+    One shuffle: the window by station numbers the lines and computes the
+    station totals; the chunk aggregation reuses that partitioning.
     """
     b = base(spark, sf_dir)
-    w = Window.partitionBy("station").orderBy("ln", "partkey", "suppkey")
-    lines = b.withColumn("rn", F.row_number().over(w) - 1)
+    ws = Window.partitionBy("station")
+    w = ws.orderBy("ln", "partkey", "suppkey")
+    lines = b.select(
+        "station", "commune", "geo", "geo_name", "ln", "opt", "q",
+        (F.row_number().over(w) - 1).alias("rn"),
+        F.sum("q").over(ws).alias("reg"),
+        F.sum(F.when(F.col("st") != "P", F.col("q")).otherwise(0)).over(ws).alias("cst"),
+        F.sum(F.when(F.col("st") == "F", F.col("q")).otherwise(0)).over(ws).alias("val"),
+        (F.col("pri") == "1-URGENT").alias("urgent"))
     grp = F.concat_ws(";", F.when(F.col("ln") % 4 == 0, F.lit("")).otherwise(F.col("ln").cast("string")),
                       F.lit("X"), F.col("opt"), F.lit(""), F.col("q").cast("string"), F.lit("0"), F.lit("0"))
-    chunks = (lines.groupBy("station", (F.col("rn") / GROUPS_PER_ROW).cast("int").alias("chunk"))
-              .agg(F.array_sort(F.collect_list(F.struct("rn", grp.alias("g")))).alias("gs")))
-    totals_by_station = b.groupBy("station", "commune", "geo", "geo_name").agg(
-        F.sum("q").alias("reg"), F.sum(F.when(F.col("st") != "P", F.col("q")).otherwise(0)).alias("cst"),
-        F.sum(F.when(F.col("st") == "F", F.col("q")).otherwise(0)).alias("val"),
-        F.max(F.col("pri") == "1-URGENT").alias("urgent"))
-    rows = chunks.join(totals_by_station, "station")
+    rows = (lines.groupBy("station", (F.col("rn") / GROUPS_PER_ROW).cast("int").alias("chunk"))
+            .agg(F.array_sort(F.collect_list(F.struct("rn", grp.alias("g")))).alias("gs"),
+                 F.first("commune").alias("commune"), F.first("geo").alias("geo"),
+                 F.first("geo_name").alias("geo_name"), F.first("reg").alias("reg"),
+                 F.first("cst").alias("cst"), F.first("val").alias("val"), F.first("urgent").alias("urgent")))
     name = F.when(F.col("geo") % 7 == 0, F.lit("")).otherwise(F.col("geo_name"))
     line = F.concat_ws(";", F.col("geo").cast("string"), name, F.col("commune").cast("string"),
                        F.col("station").cast("string"), F.col("reg").cast("string"),

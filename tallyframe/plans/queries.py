@@ -819,3 +819,13 @@ def compare_models(spark, d):
     """M6 (rows-only): expanding-window evaluation of the lag predictor per test year."""
     p = _lag_predictions(spark, d)
     return M.regression_metrics(p, "votes", "prediction", by=["yr"]).withColumn("model", F.lit("lag1"))
+
+
+# ---------------------------------------------------------------- streaming
+@query("incremental_load")
+def incremental_load(spark, d):
+    """Incremental re-run: order files streamed with availableNow + foreachBatch into
+    per-batch slices; state = sum over slices."""
+    from ..streaming import incremental as INC
+
+    return INC.incremental_counts(spark, d)
