@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 
 from .fold import fold_accents
 
-# Unicode whitespace (Python ``str.isspace``): Java's (?U)\s plus the
-# information separators U+001C..U+001F.
-_WS = r"[\s\x{1C}-\x{1F}]"
-UNICODE_STRIP = r"(?U)^" + _WS + r"+|" + _WS + r"+$"
-UNICODE_SPACE_RUN = r"(?U)" + _WS + r"+"
+# Unicode whitespace exactly as Python's ``str.isspace`` (generated, not listed).
+WHITESPACE = "".join(chr(cp) for cp in range(0x3100) if chr(cp).isspace())
+UNICODE_SPACE_RUN = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in WHITESPACE) + "]+"
 
 # A plain decimal number: what the localized parsers accept after cleaning.
 NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -32,7 +30,7 @@ def try_cast(c, dtype: str) -> Column:
 
 def ustrip(c) -> Column:
     """Strip Unicode whitespace at both ends (Spark ``trim`` only removes U+0020)."""
-    return F.regexp_replace(col_(c), UNICODE_STRIP, "")
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:
@@ -74,10 +72,14 @@ def _clean_number_text(c) -> Column:
     return F.translate(t, ",%", ".")
 
 
+def _number_text(c) -> Column:
+    """Cleaned text if it is a plain decimal number, else '' (one pass, no repeated cleaning)."""
+    return F.regexp_extract(_clean_number_text(c), NUM, 0)
+
+
 def parse_float_fr(c) -> Column:
     """Localized float: drop (narrow) no-break spaces and spaces, ',' -> '.', drop '%'."""
-    t = _clean_number_text(c)
-    return F.when(t.rlike(NUM), try_cast(t, "double"))
+    return try_cast(_number_text(c), "double")
 
 
 def parse_int_fr(c) -> Column:
@@ -87,8 +89,7 @@ def parse_int_fr(c) -> Column:
 
 def parse_ratio_fr(c) -> Column:
     """Percent text -> ratio: always divided by 100, rounded to 6 decimals (half-up)."""
-    t = _clean_number_text(c)
-    dec = F.when(t.rlike(NUM), try_cast(t, "decimal(38,18)"))
+    dec = try_cast(_number_text(c), "decimal(38,18)")
     return F.round(dec / F.lit(100), 6).cast("double")
 
 

@@ -45,8 +45,13 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
 
 
 def station_header(lines: DataFrame, sep: str = ";") -> list[str]:
-    """Header tokens of a station file (reads one row)."""
-    first = lines.orderBy("ordinal").select("line").first()
+    """Header tokens of a station file.
+
+    Reads one row: the first row of the first split, which starts at offset 0 of a
+    file (every file of a station dataset carries the same header; header lines
+    are dropped from every file by ``parse_station_lines``).  No sort.
+    """
+    first = lines.select("line").first()
     if first is None or first[0] is None:
         return []
     return first[0].split(sep)
