@@ -100,8 +100,9 @@ def read_station_file(spark: SparkSession, path: str, encoding: str = "ISO-8859-
 
 def read_indicator_file(spark: SparkSession, path: str, sep: str = ";",
                         encoding: str = "ISO-8859-1") -> DataFrame:
-    """S3: wide indicator CSV, all strings."""
-    return trim_headers(_read(spark, path, "csv", sep=sep, encoding=encoding))
+    """S3: wide indicator CSV, all strings, plus a source-order `ordinal` (file, then offset)."""
+    df = trim_headers(_read(spark, path, "csv", sep=sep, encoding=encoding))
+    return df.withColumn("ordinal", F.monotonically_increasing_id())
 
 
 def spec_tables(spark: SparkSession) -> dict[str, DataFrame]:

@@ -64,8 +64,8 @@ class Warehouse:
     def write(self, name: str, df: DataFrame, fks=()) -> DataFrame:
         schema, _, part = SC.WAREHOUSE[name]
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        self.check(name, df, fks)
-        state = cut_lineage(df)
+        state = cut_lineage(df)  # computed once; the checks and the write read the checkpoint
+        self.check(name, state, fks)
         w = state.write.mode("overwrite")
         if part:
             w = w.partitionBy(part)
