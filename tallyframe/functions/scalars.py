@@ -13,7 +13,23 @@ from .fold import fold_accents
 
 # Unicode whitespace exactly as Python's ``str.isspace`` (generated, not listed).
 WHITESPACE = "".join(chr(cp) for cp in range(0x3100) if chr(cp).isspace())
-UNICODE_SPACE_RUN = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in WHITESPACE) + "]+"
+
+
+def _ranges_class(chars: str) -> str:
+    """Regex class with consecutive code points merged into ranges (few items to test per char)."""
+    cps = sorted(ord(c) for c in chars)
+    items, start, prev = [], cps[0], cps[0]
+    for cp in cps[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        items.append(f"\\x{{{start:X}}}" + (f"-\\x{{{prev:X}}}" if prev > start else ""))
+        if cp is not None:
+            start = prev = cp
+    return "[" + "".join(items) + "]"
+
+
+UNICODE_SPACE_RUN = _ranges_class(WHITESPACE) + "+"
 
 # A plain decimal number: what the localized parsers accept after cleaning.
 NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"

@@ -45,6 +45,12 @@ def explode_groups(df: DataFrame, tokens: str, start: Column | int, stride: int,
     token at the largest used offset exists (truncated tail groups are dropped);
     `keep` filters groups (e.g. blank panel).
     """
+    return df.select(*ids, F.inline(group_array(tokens, start, stride, fields, keep)))
+
+
+def group_array(tokens: str, start: Column | int, stride: int, fields: dict[str, int],
+                keep: Callable[[Column], Column] | None = None) -> Column:
+    """The complete, kept groups of a token array as an array of structs (see explode_groups)."""
     arr = F.col(tokens)
     start_c = start if isinstance(start, Column) else F.lit(start)
     need = max(fields.values())
@@ -59,7 +65,7 @@ def explode_groups(df: DataFrame, tokens: str, start: Column | int, stride: int,
     groups = F.transform(F.when(n_groups > 0, idx).otherwise(F.array().cast("array<int>")), group)
     if keep is not None:
         groups = F.filter(groups, keep)
-    return df.select(*ids, F.inline(groups))
+    return groups
 
 
 def melt_periods(df: DataFrame, ids: Sequence[str], period_cols: Sequence[str],

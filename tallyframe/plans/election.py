@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -106,32 +106,59 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
     Totals count each (dept, commune, bureau) once (first row by ordinal) and
     candidate votes are summed over every row (duplicates included, unless
     ``cfg.dedupe_measures``).
+
+    One pass: every row emits a header record plus one record per kept
+    candidate group, and a single aggregation per (unit, kind, candidate)
+    (partial, map-side) feeds both the area totals and the candidate votes;
+    the two branches share that exchange, so the input is parsed once.
     """
+    unit = ["dept_code", "commune", "bureau"]
     df = (parsed.withColumn("dept_code", S.normalize_area_code("dept_raw"))
           .where(F.col("dept_code").isin(list(cfg.target_codes))))
-    df = df.join(_department_names(spark, departments), "dept_code", "left") \
-        .withColumn("dept_name", S.coalesce_name("name_raw", "__ref_name", "dept_code")) \
-        .withColumn("commune", S.ustrip("commune_raw")).withColumn("bureau", S.ustrip("bureau_raw")) \
-        .withColumn("registered", F.coalesce(S.parse_int_fr("registered_raw"), F.lit(0))) \
-        .withColumn("votes_cast", F.coalesce(S.parse_int_fr("cast_raw"), F.lit(0))) \
-        .withColumn("votes_valid", F.coalesce(S.parse_int_fr("valid_raw"), F.lit(0)))
-    totals = A.rollup_headers(df, ["dept_code", "commune", "bureau"], "dept_code", "ordinal",
-                              ["registered", "votes_cast", "votes_valid"], name="dept_name")
-    groups = R.explode_groups(
-        df, "tokens", F.col("group_start"), C.STATION_GROUP_STRIDE,
-        {"panel": C.STATION_PANEL_OFFSET, "last_name": C.STATION_NAME_OFFSET,
-         "votes_raw": C.STATION_VOTES_OFFSET},
-        ids=["ordinal", "dept_code", "commune", "bureau"],
+    df = df.join(_department_names(spark, departments), "dept_code", "left").select(
+        "dept_code", S.coalesce_name("name_raw", "__ref_name", "dept_code").alias("dept_name"),
+        S.ustrip("commune_raw").alias("commune"), S.ustrip("bureau_raw").alias("bureau"), "ordinal",
+        F.coalesce(S.parse_int_fr("registered_raw"), F.lit(0)).alias("registered"),
+        F.coalesce(S.parse_int_fr("cast_raw"), F.lit(0)).alias("votes_cast"),
+        F.coalesce(S.parse_int_fr("valid_raw"), F.lit(0)).alias("votes_valid"),
+        "tokens", "group_start")
+    groups = R.group_array(
+        "tokens", F.col("group_start"), C.STATION_GROUP_STRIDE,
+        {"last_name": C.STATION_NAME_OFFSET, "votes_raw": C.STATION_VOTES_OFFSET,
+         "panel": C.STATION_PANEL_OFFSET},
         keep=lambda g: S.ustrip(g["panel"]) != "")
-    groups = groups.withColumn("candidate_name", S.canonical_label(S.ustrip("last_name"))) \
-        .withColumn("votes", F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0)))
+    header = F.array(F.struct(F.lit(None).cast("string").alias("last_name"),
+                              F.lit(None).cast("string").alias("votes_raw"), F.lit(None).cast("string").alias("panel")))
+    recs = df.select(*unit, "ordinal", "dept_name", "registered", "votes_cast", "votes_valid",
+                     F.inline(F.concat(header, groups)))
+    is_group = F.col("panel").isNotNull()
+    recs = recs.select(
+        *unit, "ordinal", "dept_name", "registered", "votes_cast", "votes_valid",
+        is_group.alias("is_group"),
+        F.when(is_group, S.canonical_label(S.ustrip("last_name"))).alias("candidate_name"),
+        F.when(is_group, F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0))).alias("votes"))
     if cfg.dedupe_measures:
         # candidate groups only from the first row of each station, like the totals
-        unit = ["dept_code", "commune", "bureau"]
         firsts = df.groupBy(*unit).agg(F.min("ordinal").alias("ordinal"))
-        groups = groups.join(firsts, [*unit, "ordinal"], "left_semi")
-    votes = A.rollup_measures(groups, ["dept_code", "candidate_name"], "votes")
-    out = J.attach_totals(votes, totals, ["dept_code"])
+        recs = recs.where(~F.col("is_group")).unionByName(
+            recs.where(F.col("is_group")).join(firsts, [*unit, "ordinal"], "left_semi"))
+    # level 1 per (unit, candidate): header records (null candidate) keep the first row's
+    # counts, group records sum their votes; level 2 per (area, candidate) sums them; a
+    # window over the aggregated rows of each area attaches the totals (no join, no
+    # branch, so the input is parsed once)
+    counts = ("registered", "votes_cast", "votes_valid")
+    per_unit = recs.groupBy(*unit, "candidate_name").agg(
+        F.max("is_group").alias("is_group"), F.sum("votes").alias("votes"), F.min("ordinal").alias("first"),
+        *[F.min_by(c, "ordinal").alias(c) for c in (*counts, "dept_name")])
+    per_area = per_unit.groupBy("dept_code", "candidate_name").agg(
+        F.max("is_group").alias("is_group"), F.sum("votes").cast("bigint").alias("votes"),
+        *[F.sum(c).cast("bigint").alias(c) for c in counts], F.min_by("dept_name", "first").alias("dept_name"))
+    area = Window.partitionBy("dept_code")
+    head = ~F.col("is_group")
+    out = per_area.select(
+        "dept_code", "candidate_name", "votes", "is_group",
+        *[F.max(F.when(head, F.col(c))).over(area).alias(c) for c in (*counts, "dept_name")]
+    ).where(F.col("is_group"))
     return out.select(
         F.lit(year).cast("int").alias("year"), "dept_code", "dept_name", "candidate_name",
         "registered", "votes_cast", "votes_valid", F.col("votes").cast("bigint").alias("votes"),

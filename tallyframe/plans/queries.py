@@ -18,6 +18,7 @@ from ..config import JobConfig
 from ..functions import scalars as S
 from ..operators import aggregate as A
 from ..operators import joins as J
+from ..operators.layout import spread
 from ..operators import load as L
 from ..operators import model as M
 from ..operators import quality as Q
@@ -52,6 +53,11 @@ def _lineitem(spark, d):
     return P.table(spark, d, "lineitem")
 
 
+def _lineitem_rows(spark, d, *cols):
+    """Line items for row-wise scalar work (spread over the cluster if under-partitioned)."""
+    return spread(_lineitem(spark, d).select(*_key_cols(), *cols))
+
+
 def _micro_results(spark, d):
     return P.results_micro(spark, d)
 
@@ -233,21 +239,21 @@ def asof_join_tables(spark, d):
 @query("normalize_key")
 def normalize_key(spark, d):
     """F1 over whole document texts."""
-    doc = P.table(spark, d, "documents")
+    doc = spread(P.table(spark, d, "documents").select("doc_id", "text"))
     return doc.select("doc_id", S.normalize_key("text").alias("norm_key"))
 
 
 @query("canonical_label")
 def canonical_label(spark, d):
     """F6 over whole document texts turned into column labels (_VOIX / _exp suffix)."""
-    doc = P.table(spark, d, "documents")
+    doc = spread(P.table(spark, d, "documents").select("doc_id", "text"))
     label = F.concat(F.translate("text", " ", "_"),
                      F.when(F.col("doc_id") % 2 == 0, F.lit("_VOIX")).otherwise(F.lit("_exp")))
     return doc.select("doc_id", S.canonical_label(label).alias("label"))
 
 
 def _dirty(spark, d, k):
-    li = _lineitem(spark, d)
+    li = _lineitem_rows(spark, d, "l_quantity")
     q = F.col("l_quantity").cast("bigint")
     v = F.pmod(q + F.col("l_linenumber"), F.lit(k))
     return li, q, v
@@ -290,7 +296,7 @@ def parse_localized_float(spark, d):
 @query("parse_ratio")
 def parse_ratio(spark, d):
     """French percent text of the extended price -> ratio (always / 100), 6 decimals."""
-    li = _lineitem(spark, d)
+    li = _lineitem_rows(spark, d, "l_extendedprice")
     txt = F.concat(F.translate(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), ".", ","),
                    F.lit(" %"))
     return li.select(*_key_cols(), S.parse_ratio_fr(txt).cast("decimal(18,6)").alias("ratio"))
