@@ -15,7 +15,9 @@ def spread(df: DataFrame, parallelism: int | None = None) -> DataFrame:
     normal case for large inputs -- the DataFrame is returned unchanged and no
     shuffle is added.
     """
-    n = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = parallelism or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the layout to AQE
         return df
-    return df.repartition(n)
+    return df if have >= n else df.repartition(n)

@@ -34,7 +34,7 @@ _READS: dict[tuple[int, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table (the DataFrame is memoized per session: no repeated footer reads)."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(spark), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)

@@ -42,7 +42,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure_session(spark: SparkSession) -> None:
     """Session settings every job relies on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
+    try:
+        checkpoint_dir(spark)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -93,10 +93,18 @@ class Warehouse:
         return self.write(name, L.assign_keys(self.read(name), incoming, nk, pk))
 
 
-def write_dashboard_tables(datasets: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> list[str]:
-    """One folder per dashboard dataset (rendering is out of scope)."""
+def write_dashboard_tables(datasets: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
+                           sort_by: Mapping[str, Sequence[str]] | None = None) -> list[str]:
+    """One folder per dashboard dataset (rendering is out of scope).
+
+    O1: a dataset listed in `sort_by` is written range-sorted (nulls last), so its
+    part files read back in order.
+    """
     out = []
     for name, df in datasets.items():
+        keys = (sort_by or {}).get(name)
+        if keys:
+            df = df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
         path = os.path.join(root, name)
         df.write.mode("overwrite").format(fmt).option("header", True).save(path)
         out.append(path)

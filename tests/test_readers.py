@@ -40,3 +40,15 @@ def test_indicator_csv(spark, tmp_path):
     assert got[("unemployment_rate", "75000", 2007)] == 8.3 and len(got) == 7
     aligned = IN.collect_indicator_values(spark, wide, "ordinal")
     assert aligned.count() == 10
+
+
+def test_dashboard_and_export_sinks(spark, tmp_path):
+    from tallyframe.sources.sinks import export_clean, write_dashboard_tables
+
+    df = spark.createDataFrame([("92", 2017, 1.0), ("75", 2012, None), ("75", 2007, 3.0)],
+                               "dept_code string, year int, value double")
+    [p] = write_dashboard_tables({"trend": df}, str(tmp_path / "dash"), sort_by={"trend": ["dept_code", "year"]})
+    back = spark.read.parquet(p).collect()
+    assert [(r.dept_code, r.year) for r in back] == [("75", 2007), ("75", 2012), ("92", 2017)]
+    export_clean(df, str(tmp_path / "csv"), partition_by=["dept_code"])
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
