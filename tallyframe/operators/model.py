@@ -84,3 +84,26 @@ def trend_projection(df: DataFrame, keys: Sequence[str], time_col: str, value: s
     return (fit.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
             .withColumn("period", F.col("last_period") + F.col("horizon"))
             .withColumn("projection", F.col("intercept") + F.col("slope") * F.col("period").cast("double")))
+
+
+def compare_models(df: DataFrame, features: Sequence[str], label: str, time_col: str,
+                   test_periods: Sequence, kinds=("linear", "forest"), by_baseline: str | None = None,
+                   ) -> DataFrame:
+    """M6: expanding-window evaluation.  For each test period p (a short, bounded list),
+    every model is fit on periods < p and scored on p; an optional baseline column
+    (e.g. last period's value) is scored alongside.  Returns (model, period, n, mae, rmse, r2)."""
+    from functools import reduce
+
+    frames = []
+    for p in test_periods:
+        train, test = temporal_split(df, time_col, p)
+        models = fit_regressors(train, features, label, kinds)
+        test_x = test.select(*[F.col(c).cast("double").alias(c) for c in features],
+                             F.col(label).cast("double").alias(label))
+        for kind, model in models.items():
+            m = regression_metrics(model.transform(test_x), label, "prediction")
+            frames.append(m.select(F.lit(kind).alias("model"), F.lit(p).alias("period"), "*"))
+        if by_baseline:
+            m = regression_metrics(test, label, by_baseline)
+            frames.append(m.select(F.lit(by_baseline).alias("model"), F.lit(p).alias("period"), "*"))
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -822,9 +822,12 @@ def fit_regressors(spark, d):
 
 @query("compare_models")
 def compare_models(spark, d):
-    """M6 (rows-only): expanding-window evaluation of the lag predictor per test year."""
-    p = _lag_predictions(spark, d)
-    return M.regression_metrics(p, "votes", "prediction", by=["yr"]).withColumn("model", F.lit("lag1"))
+    """M6 (rows-only): expanding-window comparison of linear regression, random forest and the
+    last-year baseline, fit on years before each test year."""
+    lag = _lag_predictions(spark, d).where(F.col("prediction").isNotNull()) \
+        .withColumnRenamed("prediction", "lag_votes")
+    return M.compare_models(lag, ["lag_votes"], "votes", "yr", [2000, 2001], kinds=("linear", "forest"),
+                            by_baseline="lag_votes")
 
 
 # ---------------------------------------------------------------- streaming
