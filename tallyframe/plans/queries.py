@@ -542,7 +542,8 @@ def first_non_null_per_key(spark, d):
 def lag_features(spark, d):
     """Previous year's votes and change per (area, option)."""
     r = _micro_results(spark, d)
-    h = W.with_history(r.select("yr", "geo", "opt", "votes"), ["geo", "opt"], "yr", ["votes"])
+    h = W.with_history(r.select("yr", "geo", "opt", "votes"), ["geo", "opt"], "yr", ["votes"],
+                       bucket=(F.col("yr") / 3).cast("bigint"))
     return h.select("yr", "geo", "opt", "votes", "votes_lag1", "votes_change")
 
 

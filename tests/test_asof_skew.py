@@ -28,3 +28,19 @@ def test_asof_join_hot_key_matches_brute_force(spark):
         exp = max(cands) if cands else (None, None)
         assert got[pid] == exp, (pid, k, lt)
     assert len(got) == len(probes)
+
+
+def test_bucketed_history_matches_window(spark):
+    from tallyframe.operators import rank as W
+
+    rnd = random.Random(3)
+    rows = []
+    for key in range(20):
+        n = 400 if key == 0 else 15  # hot key
+        for t in sorted(rnd.sample(range(0, 3000), n)):
+            rows.append((key, t, rnd.randint(0, 1000)))
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    plain = W.with_history(df, ["k"], "t", ["v"])
+    bucketed = W.with_history(df, ["k"], "t", ["v"], bucket=(F.col("t") / 250).cast("long"))
+    cols = ["k", "t", "v", "v_lag1", "v_change"]
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, bucketed.select(cols).collect()))
