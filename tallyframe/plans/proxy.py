@@ -132,6 +132,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 ALL_CODES = tuple(f"{i:02d}" for i in range(25))
+# FIXED VALUES: header of the polling-station file format (public file layout)
 STATION_HEADER = ["Code du département", "Libellé du département", "Code de la commune",
                   "Code du b.vote", "Inscrits", "Votants", "Exprimés", "N°Panneau", "Sexe", "Nom",
                   "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
