@@ -24,7 +24,6 @@ def _sq(s: str) -> str:
 
 
 TARGETS = _in(P.PROXY_TARGET_CODES)
-BRANDS = _in(P.SHEET_BRANDS)
 
 BASE = """base as (
   select cast(year(o_orderdate) as bigint) yr, cast(n_nationkey as bigint) geo, n_name geo_name,
@@ -74,11 +73,12 @@ OFACTS = """ofacts as (
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
 _VAR = " ".join(f"when {_sq(k)} then {_sq(v)}" for k, v in P.VARIABLE_BY_PRIORITY.items())
 IAGG = f"""iagg as (
-  select geo, pri, st, yr, cast(sum(cast(price as decimal(18,2))) as decimal(18,2)) v,
+  select geo, pri, st, pyr as yr, cast(sum(cast(price as decimal(18,2))) as decimal(18,2)) v,
          cast(geo as varchar) codgeo, case pri {_VAR} end variable,
          case st when 'F' then 'total' when 'P' then ' total ' else null end sous_champ,
          geo * 100 + cast(substr(pri, 1, 1) as int) * 10 + case st when 'F' then 0 when 'O' then 1 else 2 end ordinal
-  from ofacts where yr in {_in(P.INDICATOR_YEARS)} group by geo, pri, st, yr)"""
+  from (select *, yr - (yr - {P.INDICATOR_YEARS[0]}) % 2 as pyr from ofacts) o
+  group by geo, pri, st, pyr)"""
 SHEET = "sheet as (select codgeo, variable, sous_champ, ordinal, " + ", ".join(
     f"max(case when yr = {y} then replace(cast(v as varchar), '.', ',') end) A{y}" for y in P.INDICATOR_YEARS
 ) + " from iagg group by codgeo, variable, sous_champ, ordinal)"
@@ -287,12 +287,12 @@ from d"""
 
 ORACLE["unpivot_pairs"] = with_(R3) + f"""
 select yr, dept_code, upper(opt) candidate_name, votes, micro_share, micro_turnout
-from results where opt in {BRANDS}"""
+from results"""
 
 ORACLE["unpivot_measures"] = with_(R3) + f"""
 select yr, dept_code, geo_name dept_name, upper(opt) candidate_name, valid votes_valid,
        cast(round_even(valid * (micro_share / 1e6), 0) as bigint) votes, micro_share, micro_turnout
-from results where opt in {BRANDS}"""
+from results"""
 
 ORACLE["pivot_matrix"] = with_(BASE, TOTALS) + "select lpad(cast(geo as varchar), 2, '0') dept_code, " + ", ".join(
     f"max(case when yr = {y} then valid end) y{y}" for y in P.PROXY_YEARS) + " from totals group by geo"

@@ -137,7 +137,6 @@ STATION_HEADER = ["Code du département", "Libellé du département", "Code de l
                   "Code du b.vote", "Inscrits", "Votants", "Exprimés", "N°Panneau", "Sexe", "Nom",
                   "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
 GROUPS_PER_ROW = 3
-SHEET_BRANDS = ("Brand#1", "Brand#7", "Brand#13", "Brand#19", "Brand#25")
 # priority -> indicator variable of the wide indicator file; status -> sub-field
 VARIABLE_BY_PRIORITY = {"1-URGENT": "taux_chom_bit", "2-HIGH": "taux_pvt", "3-MEDIUM": "niveau_vie_median",
                         "4-NOT SPECIFIED": "part_pls", "5-LOW": "autre_variable"}
@@ -189,10 +188,13 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide indicator file: codgeo, variable, sous_champ, A1995..A2001 (comma decimals), ordinal.
 
-    value = order-price sum per (priority, status, geo, odd year); sous_champ
+    value = order-price sum per (priority, status, geo, two-year period named by its odd
+    first year: 1995-96 -> 1995, ...), so the series has gaps; sous_champ
     is 'total' (F), null (O) or ' total ' (P, a padded duplicate of F).
     """
-    of = order_facts(spark, sf_dir).where(F.col("yr").isin(list(INDICATOR_YEARS)))
+    # biennial survey: every order counts towards the odd year that opens its two-year period
+    of = order_facts(spark, sf_dir).withColumn(
+        "yr", F.col("yr") - F.pmod(F.col("yr") - F.lit(INDICATOR_YEARS[0]), F.lit(2)))
     var = F.coalesce(*[F.when(F.col("pri") == k, F.lit(v)) for k, v in VARIABLE_BY_PRIORITY.items()])
     sc = (F.when(F.col("st") == "F", F.lit("total")).when(F.col("st") == "P", F.lit(" total "))
           .otherwise(F.lit(None).cast("string")))
@@ -221,33 +223,42 @@ def results_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("micro_turnout", S.micro_ratio("cast_n", "eligible"))
 
 
+def _brands(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The option (brand) columns of the wide sheets: the part dimension's distinct brands
+    (what `pivot` would discover itself; a dimension, bounded by the pivot value limit)."""
+    rows = table(spark, sf_dir, "part").select("p_brand").distinct().orderBy("p_brand").collect()
+    return [r[0] for r in rows]
+
+
 def sheet_layout_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide results sheet, layout A: Code/Libellé/Inscrits/Votants/Exprimés + <BRAND>_VOIX/_EXP."""
-    r = results_micro(spark, sf_dir).where(F.col("opt").isin(list(SHEET_BRANDS)))
+    """Wide results sheet, layout A: Code/Libellé/Inscrits/Votants/Exprimés + <BRAND>_VOIX/_EXP
+    for every brand."""
+    brands = _brands(spark, sf_dir)
+    r = results_micro(spark, sf_dir)
     wide = (r.groupBy("yr", "geo", "geo_name", "eligible", "cast_n", "valid")
-            .pivot("opt", list(SHEET_BRANDS))
+            .pivot("opt", brands)
             .agg(F.max(F.col("votes").cast("string")).alias("v"), F.max(_pct_text("micro_share")).alias("s")))
-    out = wide.select(
+    return wide.select(
         "yr", F.col("geo").cast("string").alias("Code du département"),
         F.col("geo_name").alias("Libellé du département"),
         F.col("eligible").cast("string").alias("Inscrits"), F.col("cast_n").cast("string").alias("Votants"),
         F.col("valid").cast("string").alias("Exprimés"),
-        *[c for b in SHEET_BRANDS for c in (F.col(f"`{b}_v`").alias(f"{b}_VOIX"),
-                                            F.col(f"`{b}_s`").alias(f"{b}_EXP"))])
-    return out
+        *[c for b in brands for c in (F.col(f"`{b}_v`").alias(f"{b}_VOIX"),
+                                      F.col(f"`{b}_s`").alias(f"{b}_EXP"))])
 
 
 def sheet_layout_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide results sheet, layout B: Département (name) / Participation / Exprimés / Blancs + one
     percent column per brand."""
-    r = results_micro(spark, sf_dir).where(F.col("opt").isin(list(SHEET_BRANDS)))
+    brands = _brands(spark, sf_dir)
+    r = results_micro(spark, sf_dir)
     wide = (r.groupBy("yr", "geo_name", "valid", "micro_turnout")
-            .pivot("opt", list(SHEET_BRANDS)).agg(F.max(_pct_text("micro_share"))))
+            .pivot("opt", brands).agg(F.max(_pct_text("micro_share"))))
     return wide.select(
         "yr", F.col("geo_name").alias("Département"),
         _pct_text("micro_turnout").alias("Participation"),
         F.col("valid").cast("string").alias("Exprimés"), F.lit("0").alias("Blancs"),
-        *[F.col(f"`{b}`").alias(b) for b in SHEET_BRANDS])
+        *[F.col(f"`{b}`").alias(b) for b in brands])
 
 
 def name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
