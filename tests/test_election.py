@@ -91,3 +91,17 @@ def test_empty_input_keeps_schema(spark):
     assert out.schema == SC.RESULTS and out.isEmpty()
     f = EL.finalize_results(spark.createDataFrame([], SC.RESULTS))
     assert f.columns == SC.RESULTS.fieldNames() and f.isEmpty()
+
+
+def test_q20t_zero_valid_and_mixed_years(spark):
+    cols_b = ["Département", "Participation", "Exprimés", "Dupont"]
+    sheet_b = spark.createDataFrame([("Paris", "50", "0", "40")], ", ".join(f"`{c}` string" for c in cols_b))
+    cols_a = ["Code du département", "Inscrits", "Votants", "Exprimés", "DUPONT_VOIX", "DUPONT_EXP"]
+    sheet_a = spark.createDataFrame([("75", "10", "5", "0", "", "40")], ", ".join(f"`{c}` string" for c in cols_a))
+    b = EL.extract_wide_sheet(spark, sheet_b, 1974).collect()[0]
+    a = EL.extract_wide_sheet(spark, sheet_a, 1981).collect()[0]
+    assert b.votes == 0 and b.vote_share == 0.4      # layout B: valid 0 still derives votes
+    assert a.votes is None and a.vote_share == 0.4   # layout A: valid 0 derives nothing
+    assert a.dept_name == "Paris" and a.turnout_rate == 0.5
+    both = EL.collect_results(spark, {1981: sheet_a, 1974: sheet_b}).orderBy("year").collect()
+    assert [(r.year, r.dept_code, r.candidate_name) for r in both] == [(1974, "75", "DUPONT"), (1981, "75", "DUPONT")]
