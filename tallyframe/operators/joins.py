@@ -30,20 +30,31 @@ def attach_totals(measures: DataFrame, totals: DataFrame, on: Sequence[str]) ->
 
 
 def asof_align(values: DataFrame, keys: Sequence[str], time_col: str, targets: Sequence[int],
-               target_col: str = "target") -> DataFrame:
-    """Backward as-of onto a fixed target list, per key.
+               target_col: str = "target", max_explode: int = 64) -> DataFrame:
+    """Backward as-of onto a target list, per key.
 
     For each (key, target): the row at the latest `time_col` <= target (exact
     wins); no earlier row -> no output row.  `values` must be unique on
     (keys, time_col) (apply ``rank.dedupe_last`` first).
 
-    Plan: every row is exploded onto the targets it can serve (bounded by the
-    target list), `max(time)` per (key, target) is a hash aggregate with a
-    map-side combine (a hot key never lands whole in one task), and the
+    Short target lists (the usual calendar): every row is exploded onto the
+    targets it can serve, `max(time)` per (key, target) is a hash aggregate with
+    a map-side combine (a hot key never lands whole in one task), and the
     winning rows are fetched by an equi-join on (key, time).  No window, no
-    inequality join.
+    inequality join.  Long target lists (> `max_explode`, numeric times): the
+    (key x target) grid -- the output's upper bound -- probes ``asof_join``,
+    whose time buckets keep the work proportional to the output.
     """
-    tgt = F.array(*[F.lit(int(t)) for t in sorted(set(targets))])
+    tgts = sorted(set(int(t) for t in targets))
+    tgt = F.array(*[F.lit(t) for t in tgts])
+    if len(tgts) > max_explode:
+        width = max(1, (tgts[-1] - tgts[0]) // max_explode)
+        grid = values.select(*keys).distinct().select(*keys, F.explode(tgt).alias(target_col))
+        others = [c for c in values.columns if c not in (*keys, time_col)]
+        out = asof_join(grid, values, keys, target_col, time_col, others,
+                        bucket=F.floor(F.col(target_col) / width), right_bucket=F.floor(F.col(time_col) / width),
+                        matched_time=time_col)
+        return out.where(F.col(time_col).isNotNull()).select(*keys, time_col, target_col, *others)
     t = F.col(time_col)
     cand = values.select(*keys, time_col,
                          F.explode(F.filter(tgt, lambda x: x >= t)).alias(target_col))

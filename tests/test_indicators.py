@@ -51,3 +51,15 @@ def test_asof_never_looks_forward(spark):
     for r in a:
         prior = [y for (c, g, y) in src if c == r.indicator_code and g == r.insee_code and y <= r.year]
         assert prior and src[(r.indicator_code, r.insee_code, max(prior))] == r.value
+
+
+def test_asof_align_long_target_list_matches_short_path(spark):
+    from tallyframe.operators import joins as J
+
+    v = values(spark)
+    targets = list(range(1990, 2030))
+    a = J.asof_align(v, ["indicator_code", "insee_code"], "year", targets, "t", max_explode=64)
+    b = J.asof_align(v, ["indicator_code", "insee_code"], "year", targets, "t", max_explode=4)
+    cols = ["indicator_code", "insee_code", "t", "year", "value", "source_file"]
+    ra, rb = sorted(map(tuple, a.select(cols).collect())), sorted(map(tuple, b.select(cols).collect()))
+    assert ra == rb and len(ra) == 23 + 23 + 13
