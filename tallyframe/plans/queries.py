@@ -78,14 +78,18 @@ def leader_per_group(spark, d):
 # ---------------------------------------------------------------- sources
 @query("scan_union_by_year")
 def scan_union_by_year(spark, d):
-    """S1 + R6: one slice per year (pushed-down date range), lit(year), unionByName."""
-    parts = []
-    for y in P.PROXY_YEARS:
-        o = P.table(spark, d, "orders").where(
-            (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz"))
-            & (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")))
-        parts.append(o.select(F.lit(y).cast("bigint").alias("yr"), "o_orderkey", "o_totalprice"))
-    u = R.union_sources(parts)
+    """S1 + R6: orders landed once as one Parquet folder per year (in the shared checkpoint
+    folder), then read back file by file with the year taken from the file map, unionByName."""
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    (P.table(spark, d, "orders").select(F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
+     .write.partitionBy("yr").parquet(root))
+    sheets = readers.read_wide_results(spark, {y: f"{root}/yr={y}" for y in P.PROXY_YEARS}, fmt="parquet")
+    u = R.union_sources([df.select(F.lit(y).cast("bigint").alias("yr"), "o_orderkey", "o_totalprice")
+                         for y, df in sheets.items()])
     return u.groupBy("yr").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total_price"))

@@ -29,10 +29,11 @@ def test_asof_align_has_no_join_on_inequality(spark):
 
 
 def test_scan_pushes_filters_and_prunes_columns(spark):
-    df = E.queries()["scan_union_by_year"](spark, SF)
+    df = E.queries()["name_fallback"](spark, SF)
     p = plan(df)
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
-    assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in p
+    assert "PushedFilters: [IsNotNull(n_name), Not(StringEndsWith(n_name,3))]" in p
+    df = E.queries()["parse_ratio"](spark, SF)
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_extendedprice:double>" in plan(df)
 
 
 def test_top1_uses_partial_window_group_limit(spark):
