@@ -27,14 +27,18 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, offset=0,
               partitions: int | None = None) -> DataFrame:
     """Consecutive ids offset+1.. in `order`, computed without a single-task window.
 
-    Range-partition by `order`, number rows inside each range partition, and
-    add the row count of all earlier partitions (a table with one row per
-    partition, so bounded by the partition count).
+    Range-partition by `order` and sort inside each partition; a row's position
+    inside its partition is `monotonically_increasing_id()` minus the partition's
+    base (partition id << 33), so no second shuffle is needed.  The row counts
+    of all earlier partitions (a table with one row per partition, bounded by
+    the partition count) are added as offsets.  Deterministic on retry: the
+    range bounds are fixed once and each partition is re-sorted identically.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*order)))
+    local = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+             .withColumn("__pid", F.spark_partition_id())
+             .withColumn("__rn", F.monotonically_increasing_id()
+                         - F.shiftleft(F.col("__pid").cast("bigint"), 33) + F.lit(1)))
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__n").over(
