@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, mixing, near_dedup, toxicity
+from tallyframe.llm import chat, decontaminate, html_text, mixing, near_dedup, toxicity, warc
 from tallyframe.llm.common import table
 
 QUERIES = {
@@ -10,8 +10,13 @@ QUERIES = {
     "op3_toxicity": lambda spark, d: toxicity.op3(table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_near_dedup": lambda spark, d: near_dedup.op4(table(spark, d, "documents")),
     "op5_decontaminate": lambda spark, d: decontaminate.op5(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op6_warc": lambda spark, d: warc.op6(spark, table(spark, d, "pages")),
+    "op7_chat": lambda spark, d: chat.op7(table(spark, d, "conversations")),
+    "op10_html_text": lambda spark, d: html_text.op10(table(spark, d, "pages")),
 }
 
 ORACLE = {
     "op2_mix": mixing.oracle(),
+    "op6_warc": warc.ORACLE,
+    "op7_chat": chat.ORACLE,
 }
