@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import chat, decontaminate, html_text, mixing, near_dedup, toxicity, warc
+from tallyframe.llm import (
+    chat, class_lm, decontaminate, html_text, licenses, mixing, near_dedup, toxicity, vector_dedup, warc)
 from tallyframe.llm.common import table
 
 QUERIES = {
+    "op1_license_scan": lambda spark, d: licenses.op1(table(spark, d, "documents")),
     "op2_mix": lambda spark, d: mixing.op2(table(spark, d, "documents")),
     "op3_toxicity": lambda spark, d: toxicity.op3(table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_near_dedup": lambda spark, d: near_dedup.op4(table(spark, d, "documents")),
     "op5_decontaminate": lambda spark, d: decontaminate.op5(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_warc": lambda spark, d: warc.op6(spark, table(spark, d, "pages")),
     "op7_chat": lambda spark, d: chat.op7(table(spark, d, "conversations")),
+    "op8_class_lm": lambda spark, d: class_lm.op8(table(spark, d, "documents")),
+    "op9_vector_dedup": lambda spark, d: vector_dedup.op9(table(spark, d, "embeddings")),
     "op10_html_text": lambda spark, d: html_text.op10(table(spark, d, "pages")),
 }
 
 ORACLE = {
+    "op1_license_scan": licenses.oracle(),
     "op2_mix": mixing.oracle(),
     "op6_warc": warc.ORACLE,
     "op7_chat": chat.ORACLE,
