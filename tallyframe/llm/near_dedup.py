@@ -76,13 +76,14 @@ def symbols(ws: list[str], cache: WordHash) -> np.ndarray:
         return np.empty(0, "uint64")
     h = np.fromiter(map(cache.__getitem__, ws), "uint64", len(ws))
     n = max(1, len(h) - K + 1)
-    out = np.zeros(n, "uint64")
-    for i in range(min(K, len(h))):
-        out = _mix(out * _M + h[i:i + n] + np.uint64(i + 1))
-    order = np.argsort(out, kind="stable")
-    s = out[order]
-    new = np.r_[True, s[1:] != s[:-1]]
-    if not new.all():
+    out = h[:n]
+    for i in range(1, min(K, len(h))):
+        out = out * _M + h[i:i + n]
+    out = _mix(out)
+    s = np.sort(out)
+    if (s[1:] == s[:-1]).any():
+        order = np.argsort(out, kind="stable")
+        new = np.r_[True, s[1:] != s[:-1]]
         start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         occurrence = np.empty(n, "uint64")
         occurrence[order] = (np.arange(n) - start).astype("uint64")
@@ -90,21 +91,29 @@ def symbols(ws: list[str], cache: WordHash) -> np.ndarray:
     return out
 
 
-def sketches(sym: np.ndarray, ell: int = ELL, count: int = SKETCHES) -> list[int]:
-    """One signed 64-bit value for each sketch; [] for an empty sequence."""
+_ADD = np.array([xxhash.xxh64_intdigest(f"add {i}") for i in range(SKETCHES)], dtype="uint64")[:, None]
+_MUL = np.array([xxhash.xxh64_intdigest(f"mul {i}") | 1 for i in range(SKETCHES)], dtype="uint64")[:, None]
+
+
+def sketches(sym: np.ndarray) -> list[int]:
+    """SKETCHES signed 64-bit values; [] for an empty sequence."""
     n = len(sym)
     if not n:
         return []
-    out = []
-    ell = min(ell, n)
-    for i in range(count):
-        v = _mix((sym + np.uint64(i + 1)) * np.uint64(2 * xxhash.xxh64_intdigest(str(i)) % 2**64 | 1))
-        at = np.sort(np.argpartition(v, ell - 1)[:ell]) if n > ell else np.arange(n)
-        sig = np.uint64(i)
-        for x in sym[at]:
-            sig = np.uint64((int(sig) * 0x100000001B3 ^ int(x)) & (2**64 - 1))
-        out.append(int(_mix(np.array([sig]))[0].astype("int64")))
-    return out
+    if n > ELL:
+        best = np.empty((SKETCHES, ELL), dtype="int64")
+        rows = max(1, 2_000_000 // n)  # bounds the memory for very long texts
+        for lo in range(0, SKETCHES, rows):
+            v = (sym ^ _ADD[lo:lo + rows]) * _MUL[lo:lo + rows]
+            best[lo:lo + rows] = np.argpartition(v, ELL - 1, axis=1)[:, :ELL]
+        best.sort(axis=1)  # back to text order
+        picked = sym[best]
+    else:
+        picked = np.broadcast_to(sym, (SKETCHES, n))
+    sig = _ADD[:, 0].copy()
+    for j in range(picked.shape[1]):
+        sig = _mix(sig * _M + picked[:, j])
+    return sig.astype("int64").tolist()
 
 
 def similarity_at_least(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
@@ -127,17 +136,21 @@ def similarity_at_least(a: np.ndarray, b: np.ndarray, threshold: float = THRESHO
     return len(tails) >= need
 
 
-def _digest(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = WordHash()
-    for pdf in it:
-        keys, sigs, size = [], [], []
-        for t in pdf["_text"]:
-            ws = words(t)
-            keys.append(xxhash.xxh3_128_hexdigest(" ".join(ws) if ws else "\0" + (t or "")))
-            sym = symbols(ws, cache)
-            sigs.append(sketches(sym))
-            size.append(len(sym))
-        yield pdf.assign(_key=keys, _sigs=sigs, _n=np.array(size, dtype="int32"))
+def _digester():
+    @F.pandas_udf("struct<key string, sigs array<long>, n int>")
+    def digest(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cache = WordHash()
+        for texts in it:
+            keys, sigs, size = [], [], []
+            for t in texts:
+                ws = words(t)
+                keys.append(xxhash.xxh3_128_hexdigest(" ".join(ws) if ws else "\0" + (t or "")))
+                sym = symbols(ws, cache)
+                sigs.append(sketches(sym))
+                size.append(len(sym))
+            yield pd.DataFrame({"key": keys, "sigs": sigs, "n": np.array(size, dtype="int32")})
+
+    return digest
 
 
 def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,68 +167,50 @@ def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold."""
-    ta = texts.select(F.col("_key").alias("a"), F.col("_text").alias("ta"))
-    tb = texts.select(F.col("_key").alias("b"), F.col("_text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").mapInPandas(_verify, "a string, b string")
+    ta = texts.select(F.col("v").alias("a"), F.col("text").alias("ta"))
+    tb = texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(ta, "a").join(tb, "b").mapInPandas(_verify, "a long, b long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``_row`` (all columns), ``_key`` (text key), ``_class`` (smallest doc_id of the
-    class), ``_kept`` (one row of each class), ``_n`` (shingles)."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       F.coalesce("text", F.lit("")).alias("_text"), F.col("doc_id").cast("long").alias("_id"),
-                       F.monotonically_increasing_id().alias("_at"))
-    base = materialize(rows.mapInPandas(
-        _digest, _schema(rows, "_key string, _sigs array<long>, _n int")), "omh-rows")
-    first = F.struct(F.col("_id").isNull(), "_id", "_at")  # nulls last
+    """``_row`` (all columns), ``_class`` (smallest doc_id of the class), ``_kept`` (one row
+    of each class), ``_n`` (shingles)."""
+    base = materialize(
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_at"),
+                    _digester()(F.coalesce("text", F.lit(""))).alias("_d")), "omh-rows")
+    slim = base.select("_at", F.col("_row.doc_id").cast("long").alias("id"), F.col("_d.key").alias("key"), F.col("_d.n").alias("n"))
+    # a vertex is a distinct text, named by one of its rows: that of the smallest id, nulls last
     one = materialize(
-        base.groupBy("_key").agg(F.min(first).alias("_first"), F.first("_sigs").alias("_sigs"),
-                                 F.first("_n").alias("_n")), "omh-keys")
-    entries = (one.where("_n > 0")
-               .select("_key", "_n", "_sigs", F.posexplode("_sigs").alias("band", "sig")))
-    buckets = materialize(
-        entries.groupBy("band", "sig").agg(F.min(F.struct("_key", "_n")).alias("rep"), F.count(F.lit(1)).alias("size"))
-        .where("size > 1")
-        .join(entries.select("band", "sig", "_key", "_n", "_sigs"), ["band", "sig"]), "omh-buckets")
-    ratio = "least(na, nb) >= {} * greatest(na, nb)".format(THRESHOLD)
-    star = (buckets.select(F.col("rep._key").alias("a"), F.col("_key").alias("b"),
-                           F.col("rep._n").alias("na"), F.col("_n").alias("nb"))
+        slim.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_at")).alias("first"), F.first("n").alias("n"))
+        .select("key", "n", "first", F.col("first._at").alias("v")), "omh-texts")
+    sigs = base.select(F.col("_at").alias("v"), F.col("_d.sigs").alias("sigs")).join(one.where("n > 0").select("v", "n"), "v")
+    entries = (sigs.select("v", "n", F.posexplode("sigs").alias("band", "sig"))
+               .select(F.xxhash64("band", "sig").alias("bucket"), "v", "n"))
+    shared = (entries.groupBy("bucket").agg(F.min("v").alias("rep"), F.min(F.struct("v", "n")).alias("r"), F.count(F.lit(1)).alias("size"))
+              .where("size > 1").select("bucket", "rep", F.col("r.n").alias("rep_n")))
+    buckets = materialize(entries.join(shared, "bucket"), "omh-buckets")
+    ratio = f"least(na, nb) >= {THRESHOLD} * greatest(na, nb)"
+    star = (buckets.select(F.col("rep").alias("a"), F.col("v").alias("b"), F.col("rep_n").alias("na"), F.col("n").alias("nb"))
             .where("a <> b").where(ratio).select("a", "b").distinct())
-    # one row of each text that is in a bucket with others
     texts = materialize(
-        base.select("_key", "_at", "_text")
-        .join(one.select("_key", F.col("_first._at").alias("_at"))
-              .join(buckets.select("_key").distinct(), "_key"), ["_key", "_at"])
-        .select("_key", "_text"), "omh-texts")
-    vertices = one.select(F.col("_key").alias("v"))
+        base.select(F.col("_at").alias("v"), F.col("_row.text").alias("text")).join(buckets.select("v").distinct(), "v"), "omh-candidates")
+    vertices = one.select("v")
     near = materialize(_links(star, texts), "omh-links")
-    part = materialize(connected_components(vertices, near), "omh-part")
-    left = buckets.select("band", "sig", "_key", "_n", "_sigs").join(
-        part.select(F.col("v").alias("_key"), F.col("component").alias("_c")), "_key")
-    open_ = (left.groupBy("band", "sig").agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"))
-             .where("lo <> hi").select("band", "sig"))
-    left = left.join(open_, ["band", "sig"])
-    other = left.select("band", "sig", F.col("_key").alias("b"), F.col("_n").alias("nb"),
-                        F.col("_sigs").alias("sb"), F.col("_c").alias("cb"))
-    agree = " + ".join(f"int(_sigs[{i}] = sb[{i}])" for i in range(SKETCHES))
-    rest = (left.select("band", "sig", F.col("_key").alias("a"), F.col("_n").alias("na"), "_sigs", "_c")
-            .join(other, ["band", "sig"]).where("a < b and _c <> cb").where(ratio)
-            .where(f"{agree} >= {AGREE}").select("a", "b").distinct())
+    part = connected_components(vertices, near).select("v", F.col("component").alias("c"))
+    left = materialize(buckets.select("bucket", "v", "n").join(part, "v"), "omh-open")
+    open_ = (left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"))
+    left = left.join(open_, "bucket").join(sigs.select("v", "sigs"), "v")
+    other = left.select("bucket", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("sigs").alias("sb"), F.col("c").alias("cb"))
+    agree = " + ".join(f"int(sigs[{i}] = sb[{i}])" for i in range(SKETCHES))
+    rest = (left.select("bucket", F.col("v").alias("a"), F.col("n").alias("na"), "sigs", "c").join(other, "bucket")
+            .where("a < b and c <> cb").where(ratio).where(f"{agree} >= {AGREE}").select("a", "b").distinct())
     more = materialize(_links(rest, texts), "omh-more")
     final = connected_components(vertices, near.union(more))
-    ids = (one.select(F.col("_key").alias("v"), "_first").join(final, "v")
-           .select("v", "component", "_first"))
-    best = ids.groupBy("component").agg(F.min("_first").alias("_best"))
-    member = ids.join(best, "component").select(F.col("v").alias("_key"), "_best")
-    return (base.select("_row", "_key", "_at", "_n").join(member, "_key")
-            .select("_row", "_key", F.col("_best._id").alias("_class"),
-                    (F.col("_at") == F.col("_best._at")).alias("_kept"), "_n"))
-
-
-def _schema(df: DataFrame, more: str):
-    from pyspark.sql.types import StructType
-
-    return StructType(list(df.schema.fields) + list(StructType.fromDDL(more).fields))
+    ids = one.select("v", "key", "first").join(final, "v")
+    best = ids.groupBy("component").agg(F.min("first").alias("best"))
+    member = ids.join(best, "component").select("key", F.col("best.id").alias("_class"), F.col("best._at").alias("keep"))
+    out = slim.join(member, "key").select("_at", "_class", (F.col("_at") == F.col("keep")).alias("_kept"), F.col("n").alias("_n"))
+    return base.select("_row", "_at").join(out, "_at").drop("_at")
 
 
 def op4(docs: DataFrame) -> DataFrame:
