@@ -146,16 +146,16 @@ class Index:
 
 
 def _finder(items: list[tuple[int, list[str]]]):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<long>")
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = Index(items)
         get, zero = index.vocab.get, itertools.repeat(0)
-        for pdf in it:
+        for texts in it:
             docs = []
-            for t in pdf["_text"]:
+            for t in texts:
                 ws = words(t)
                 docs.append(np.fromiter(map(get, ws, zero), "int64", len(ws)))
-            found = index.find(docs)
-            yield pdf.assign(_items=[sorted({*old, *new}) for old, new in zip(pdf["_items"], found)])
+            yield pd.Series(index.find(docs))
 
     return run
 
@@ -165,12 +165,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> Dat
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long"), F.col("text"))
     blocks = max(1, -(-items.count() // block))
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                      F.col("text").alias("_text"), F.array().cast("array<long>").alias("_items"))
+                      F.coalesce("text", F.lit("")).alias("_text"))
+    found = []
     for b in range(blocks):
         mine = [(r[0], words(r[1])) for r in
                 items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()]
-        out = out.mapInPandas(_finder(mine), out.schema)
-    return out.select("_row", "_items")
+        found.append(_finder(mine)("_text"))
+    # the items are looked up once for each row, whatever is asked of the result
+    return out.select("_row", F.array_sort(F.array_distinct(F.concat(*found))).alias("_items"))
 
 
 def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
