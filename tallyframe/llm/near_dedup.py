@@ -14,12 +14,16 @@ Candidates are verified by banded alignment: symbols further apart than the
 number of edits that the threshold allows can't be matched, and the longest
 increasing subsequence of the matched positions is M exactly.
 
-No bucket is capped and no bucket's pairs are all emitted: texts with equal
-words are one vertex; every bucket's members are first compared with its
-smallest member (a star); then only members that are still in different
-components, whose lengths allow the threshold and which agree in ``AGREE``
-sketches at least (a pair at the threshold fails this with probability 1e-4),
-are compared with each other.
+No bucket is capped and no bucket's pairs are all emitted.  Texts with equal words are
+one vertex; every bucket's members are compared with its smallest member (a star).
+Members of a bucket that then still lie in different components are compared further,
+without loss.  With symbols ordered from rare to common, two linked texts
+share one of their first n - ceil(0.8 n) + 1 symbols (prefix filtering; any order is right, the
+counts behind it come from one fixed array of ``COUNTERS`` counters), so texts that share a common
+passage alone never meet.  Texts that meet, directly or by others, form a cluster; a cluster is
+cut into blocks of ``BLOCK`` texts, and a task takes two blocks: it counts the shared symbols of all
+their pairs with matrix products, aligns pairs of different components that can reach the
+threshold, and sends a spanning forest of its links, not the pairs.
 
 Edge cases: null text counts as empty; texts without words are compared as raw
 strings (all empty texts are one class); texts of under five words are one
@@ -31,6 +35,7 @@ table gives an empty result; other columns are carried along untouched.
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections.abc import Iterator
 
@@ -46,7 +51,9 @@ K = 5
 THRESHOLD = 0.8
 ELL = 4
 SKETCHES = 24
-AGREE = 3
+COUNTERS = 1 << 20
+BLOCK = 512
+_PARTS = 64
 _WORD = re.compile(r"[^\W_]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -165,6 +172,123 @@ def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[keep, ["a", "b"]]
 
 
+def _count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counters of the symbols in a task's texts, as _PARTS binary rows."""
+    cache, total = WordHash(), np.zeros(COUNTERS, dtype="int64")
+    for pdf in it:
+        for t in pdf["text"]:
+            np.add.at(total, (symbols(words(t), cache) % np.uint64(COUNTERS)).astype("int64"), 1)
+    yield pd.DataFrame({"part": np.arange(_PARTS), "counts": [x.tobytes() for x in np.split(total, _PARTS)]})
+
+
+def _add(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.sum([np.frombuffer(b, "int64") for b in pdf["counts"]], axis=0)
+    return pd.DataFrame({"part": pdf["part"].iloc[:1], "counts": [total.tobytes()]})
+
+
+def common_counts(texts: DataFrame) -> np.ndarray:
+    """Counters over all symbols of ``texts`` (COUNTERS numbers, whatever the input)."""
+    tasks = texts.mapInPandas(_count, "part int, counts binary")
+    # two levels, so that no task adds up more than a bounded number of rows for each part
+    some = (tasks.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("part", "salt")
+            .applyInPandas(_add, "part int, counts binary"))
+    rows = some.groupBy("part").applyInPandas(_add, "part int, counts binary").collect()
+    return np.concatenate([np.frombuffer(r.counts, "int64") for r in sorted(rows, key=lambda r: r.part)]) if rows else np.zeros(COUNTERS)
+
+
+def _prefixes(counts: np.ndarray):
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordHash()
+        for pdf in it:
+            vs, cs, keys = [], [], []
+            for v, c, t in zip(pdf["v"], pdf["c"], pdf["text"]):
+                sym = symbols(words(t), cache)
+                n = len(sym)
+                size = n - math.ceil(THRESHOLD * n - 1e-9) + 1
+                first = np.lexsort((sym, counts[(sym % np.uint64(COUNTERS)).astype("int64")]))[:size]
+                keys.append(sym[first].astype("int64"))
+                vs.append(np.full(size, v))
+                cs.append(np.full(size, c))
+            if keys:
+                yield pd.DataFrame({"key": np.concatenate(keys), "v": np.concatenate(vs), "c": np.concatenate(cs)})
+
+    return run
+
+
+def shared_symbols(syms: list[np.ndarray], rows: int) -> np.ndarray:
+    """Numbers of shared symbols of the first ``rows`` sequences with all of them."""
+    size = np.array([len(x) for x in syms])
+    _, column, seen = np.unique(np.concatenate(syms), return_inverse=True, return_counts=True)
+    rank = np.cumsum(seen > 1) - 1  # symbols of one sequence alone don't matter
+    doc = np.repeat(np.arange(len(syms)), size)
+    keep = seen[column] > 1
+    doc, column = doc[keep], rank[column[keep]]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    total = np.zeros((rows, len(syms)), dtype="float32")
+    width = 4096
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [lo, lo + width])
+        m = np.zeros((len(syms), width), dtype="float32")
+        m[doc[i:j], column[i:j] - lo] = 1
+        total += m[:rows] @ m.T
+    return total.astype("int64")
+
+
+def _compare(key, pdf):
+    """Forest of the links between two blocks (or within one) that join different components."""
+    i, j = key[1], key[2]
+    pdf = pdf.sort_values(["block", "v"])
+    cache = WordHash()
+    syms = [symbols(words(t), cache) for t in pdf["text"]]
+    v, n = pdf["v"].to_numpy(), np.array([len(x) for x in syms])
+    first = int((pdf["block"] == i).sum())
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    comp = pdf["c"].tolist()
+    both = shared_symbols(syms, first)
+    can = both >= THRESHOLD / (1 + THRESHOLD) * (n[:first, None] + n[None, :]) - 1e-9
+    if i == j:
+        can &= np.arange(first)[:, None] < np.arange(len(syms))[None, :]
+    else:
+        can[:, :first] = False
+    a, b = np.nonzero(can)
+    order = np.lexsort((b, a, -both[a, b] / (n[a] + n[b])))  # likely links first
+    out = []
+    for x, y in zip(a[order].tolist(), b[order].tolist()):
+        cx, cy = find(comp[x]), find(comp[y])
+        if cx != cy and similarity_at_least(syms[x], syms[y]):
+            root[cx] = cy
+            out.append((v[x], v[y]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def _rest(texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components c of texts (v, c, text), by prefix filtering."""
+    keys = materialize(texts.mapInPandas(_prefixes(common_counts(texts)), "key long, v long, c long"), "omh-prefixes")
+    shared = (keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("v").alias("a"))
+              .where("lo <> hi").select("key", "a"))
+    meet = materialize(keys.join(shared, "key").select("a", F.col("v").alias("b")).distinct(), "omh-meet")
+    clusters = materialize(
+        connected_components(meet.select(F.col("b").alias("v")).distinct(), meet).select("v", F.col("component").alias("cluster")),
+        "omh-clusters")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = (texts.join(clusters, "v").join(sizes, "cluster")
+            .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "v", "c", "text"))
+    return rows.groupBy("cluster", "i", "j").applyInPandas(_compare, "a long, b long")
+
+
+_RATIO = f"least(na, nb) >= {THRESHOLD} * greatest(na, nb)"
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold."""
     ta = texts.select(F.col("v").alias("a"), F.col("text").alias("ta"))
@@ -189,23 +313,18 @@ def classes(docs: DataFrame) -> DataFrame:
     shared = (entries.groupBy("bucket").agg(F.min("v").alias("rep"), F.min(F.struct("v", "n")).alias("r"), F.count(F.lit(1)).alias("size"))
               .where("size > 1").select("bucket", "rep", F.col("r.n").alias("rep_n")))
     buckets = materialize(entries.join(shared, "bucket"), "omh-buckets")
-    ratio = f"least(na, nb) >= {THRESHOLD} * greatest(na, nb)"
     star = (buckets.select(F.col("rep").alias("a"), F.col("v").alias("b"), F.col("rep_n").alias("na"), F.col("n").alias("nb"))
-            .where("a <> b").where(ratio).select("a", "b").distinct())
+            .where("a <> b").where(_RATIO).select("a", "b").distinct())
     texts = materialize(
         base.select(F.col("_at").alias("v"), F.col("_row.text").alias("text")).join(buckets.select("v").distinct(), "v"), "omh-candidates")
     vertices = one.select("v")
     near = materialize(_links(star, texts), "omh-links")
     part = connected_components(vertices, near).select("v", F.col("component").alias("c"))
-    left = materialize(buckets.select("bucket", "v", "n").join(part, "v"), "omh-open")
-    open_ = (left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket"))
-    left = left.join(open_, "bucket").join(sigs.select("v", "sigs"), "v")
-    other = left.select("bucket", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("sigs").alias("sb"), F.col("c").alias("cb"))
-    agree = " + ".join(f"int(sigs[{i}] = sb[{i}])" for i in range(SKETCHES))
-    rest = (left.select("bucket", F.col("v").alias("a"), F.col("n").alias("na"), "sigs", "c").join(other, "bucket")
-            .where("a < b and c <> cb").where(ratio).where(f"{agree} >= {AGREE}").select("a", "b").distinct())
-    more = materialize(_links(rest, texts), "omh-more")
-    final = connected_components(vertices, near.union(more))
+    left = buckets.select("bucket", "v").join(part, "v")
+    open_ = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket")
+    apart = left.join(open_, "bucket").select("v", "c").distinct()
+    rest = materialize(_rest(materialize(texts.join(apart, "v").select("v", "c", "text"), "omh-apart")), "omh-rest")
+    final = connected_components(vertices, near.union(rest))
     ids = one.select("v", "key", "first").join(final, "v")
     best = ids.groupBy("component").agg(F.min("first").alias("best"))
     member = ids.join(best, "component").select("key", F.col("best.id").alias("_class"), F.col("best._at").alias("keep"))

@@ -166,7 +166,7 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 _FOUND = "at long, links long, low long"
 
 
-def _search(key, members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _search(key, members, queries):
     if members.empty or queries.empty:
         return pd.DataFrame({"at": [], "links": [], "low": []}).astype("int64")
     members = members.sort_values("at")
