@@ -7,7 +7,10 @@ must equal the public source conventions for right results.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (public source conventions; keep in this natural order)
@@ -100,22 +103,43 @@ PERIOD_COLUMN_REGEX = r"A\d{4}"
 # ---------------------------------------------------------------------------
 
 
+def code_list(text: str) -> tuple[str, ...]:
+    """'75, 92' -> ('75', '92'); an empty list is an error."""
+    codes = tuple(code for code in map(str.strip, text.split(",")) if code)
+    if not codes:
+        raise ValueError(f"no area code in {text!r}")
+    return codes
+
+
+_SWITCH = {"on": True, "true": True, "yes": True, "1": True, "off": False, "false": False, "no": False, "0": False}
+
+
+def switch(text: str) -> bool:
+    """A yes/no word as a boolean; anything else is an error."""
+    try:
+        return _SWITCH[text.strip().lower()]
+    except KeyError:
+        raise ValueError(f"expected one of {sorted(_SWITCH)}, got {text!r}") from None
+
+
 @dataclass(frozen=True)
 class JobConfig:
-    """Run parameters (the reference reads them from the environment)."""
+    """Run parameters.  ``target_codes`` None keeps every area."""
 
-    target_codes: tuple[str, ...] = tuple(DEPARTMENTS)
+    target_codes: tuple[str, ...] | None = tuple(DEPARTMENTS)
     align_to_election_years: bool = True
     target_years: tuple[int, ...] = tuple(sorted(ELECTION_DATE_BY_YEAR))
     dedupe_measures: bool = False
-    extra: dict = field(default_factory=dict)
 
-    @staticmethod
-    def from_strings(codes: str | None = None, align: str | None = None) -> "JobConfig":
-        cfg = JobConfig()
+    def in_scope(self, code: Column) -> Column:
+        return F.lit(True) if self.target_codes is None else code.isin(list(self.target_codes))
+
+    @classmethod
+    def from_strings(cls, codes: str | None = None, align: str | None = None) -> "JobConfig":
+        """Parameters given as text (a command line, a scheduler); None keeps the default."""
+        given = {}
         if codes is not None:
-            cfg = JobConfig(target_codes=tuple(c.strip() for c in codes.split(",") if c.strip()))
+            given["target_codes"] = code_list(codes)
         if align is not None:
-            cfg = JobConfig(target_codes=cfg.target_codes,
-                            align_to_election_years=align.lower() in {"1", "true", "yes"})
-        return cfg
+            given["align_to_election_years"] = switch(align)
+        return cls(**given)

@@ -1,96 +1,101 @@
 """Accent / compatibility folding as native Spark expressions.
 
 Spark has no Unicode-normalize function, so the NFKD-then-drop-combining-marks
-fold is generated by rule from ``unicodedata`` on the driver:
+fold is generated by rule from ``unicodedata`` on the driver, over all of Unicode:
 
 * characters whose fold is one character (or nothing) go into one ``translate``;
-* the rarer characters whose fold is several characters (ligatures, fractions,
-  squared units, ...) are rewritten by a higher-order ``aggregate`` over a map
-  literal, evaluated only for strings that contain one of them.
+* Hangul syllables are taken apart by arithmetic, as Unicode defines them;
+* the other characters whose fold is several characters (ligatures, fractions,
+  squared units, ...) are looked up in a map literal.
 
-Hangul syllables are left whole (their NFKD form is conjoining jamo, which the
-key normalizer deletes anyway).
+The last two only touch the characters that a string really holds.  ``fold_text`` is the same
+fold for a Python string, from the same tables.
 """
 
 from __future__ import annotations
 
 import functools
+import sys
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_RANGES = ((0x80, 0xD800), (0xE000, 0x10000), (0x10000, 0x20000))
-_HANGUL = (0xAC00, 0xD7A4)
+_HANGUL = range(0xAC00, 0xD7A4)
+_LEADS = "".join(map(chr, range(0x1100, 0x1113)))
+_VOWELS = "".join(map(chr, range(0x1161, 0x1176)))
+_TAILS = "".join(map(chr, range(0x11A8, 0x11C3)))
 
 
 def _fold_char(ch: str) -> str:
-    decomposed = unicodedata.normalize("NFKD", ch)
-    return "".join(c for c in decomposed if not unicodedata.combining(c))
+    return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
 
 
 @functools.lru_cache(maxsize=1)
 def fold_tables() -> tuple[str, str, dict[str, str]]:
-    """(translate_from, translate_to, multi_char_map) generated from unicodedata."""
-    src, dst, dropped, multi = [], [], [], {}
-    for lo, hi in _RANGES:
-        for cp in range(lo, hi):
-            if _HANGUL[0] <= cp < _HANGUL[1]:
-                continue
-            ch = chr(cp)
-            folded = _fold_char(ch)
-            if folded == ch:
-                continue
-            if folded == "":
-                dropped.append(ch)
-            elif len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            else:
-                multi[ch] = folded
+    """(translate_from, translate_to, multi_char_map), without Hangul syllables."""
+    one, none, multi = {}, [], {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp < 0xE000 or cp in _HANGUL:
+            continue
+        ch = chr(cp)
+        folded = _fold_char(ch)
+        if folded == "":
+            none.append(ch)
+        elif folded != ch:
+            (one if len(folded) == 1 else multi)[ch] = folded
     # translate() deletes the characters of `from` that have no counterpart in `to`
-    return "".join(src) + "".join(dropped), "".join(dst), multi
-
-
-_MARK = "\u0001"
+    return "".join(one) + "".join(none), "".join(one.values()), multi
 
 
 @functools.lru_cache(maxsize=1)
-def _multi_parts():
-    _, _, multi = fold_tables()
-    keys = sorted(multi)
-    return keys, [multi[k] for k in keys]
+def _python_table() -> dict[int, str]:
+    src, dst, multi = fold_tables()
+    table = {ord(c): dst[i] if i < len(dst) else "" for i, c in enumerate(src)}
+    return table | {ord(k): v for k, v in multi.items()} | {cp: _fold_char(chr(cp)) for cp in _HANGUL}
 
 
-def has_multi_fold(c: Column) -> Column:
-    """True when the string holds a character whose fold is several characters.
-
-    `translate` (one hash lookup per character) maps those characters to a
-    marker; a regex character class of ~1,000 members would cost ~1,000
-    comparisons per character instead.  A marker already present in the
-    input only sends the row down the (correct) slow path.
-    """
-    keys, _ = _multi_parts()
-    return F.instr(F.translate(c, "".join(keys), _MARK * len(keys)), _MARK) > 0
+def fold_text(text: str) -> str:
+    return text.translate(_python_table())
 
 
+_MARK = "\u0001"
 _PAIR, _KV = "\u0002", "\u0003"
 
 
 @functools.lru_cache(maxsize=1)
 def _mapping_text() -> str:
-    """The multi-character fold map packed into one string (one literal, parsed by str_to_map)."""
-    keys, values = _multi_parts()
-    return _PAIR.join(k + _KV + v for k, v in zip(keys, values))
+    """The multi-character fold map packed into one string (one literal, parsed once by str_to_map)."""
+    return _PAIR.join(k + _KV + v for k, v in sorted(fold_tables()[2].items()))
+
+
+def _has_multi(c: Column) -> Column:
+    """True when the string holds a character of the map: `translate` (one hash lookup per
+    character) marks them; a regex class of over 1,000 members would cost as many comparisons."""
+    keys = "".join(sorted(fold_tables()[2]))
+    return F.instr(F.translate(c, keys, _MARK * len(keys)), _MARK) > 0
+
+
+def _rewrite(c: Column, present: Column, folded) -> Column:
+    """`c` with each character of the array `present` replaced by its fold."""
+    return F.aggregate(present, c, lambda acc, ch: F.replace(acc, ch, folded(ch)))
+
+
+def _syllable(ch: Column) -> Column:
+    i = F.ascii(ch) - _HANGUL[0]
+    tail = F.pmod(i, F.lit(28))
+    return F.concat(F.substring(F.lit(_LEADS), (F.floor(i / 588) + 1).cast("int"), F.lit(1)),
+                    F.substring(F.lit(_VOWELS), (F.floor(F.pmod(i, F.lit(588)) / 28) + 1).cast("int"), F.lit(1)),
+                    F.when(tail > 0, F.substring(F.lit(_TAILS), tail.cast("int"), F.lit(1))).otherwise(F.lit("")))
 
 
 def fold_accents(c: Column) -> Column:
     """NFKD + drop combining marks, as JVM expressions (no Python UDF)."""
-    src, dst, _ = fold_tables()
+    src, dst, multi = fold_tables()
     mapping = F.str_to_map(F.lit(_mapping_text()), F.lit(_PAIR), F.lit(_KV))
-    expanded = F.when(
-        has_multi_fold(c),
-        F.aggregate(F.map_entries(mapping), c,
-                    lambda acc, e: F.replace(acc, e["key"], e["value"])),
-    ).otherwise(c)
+    keys = F.split(F.lit(_PAIR.join(sorted(multi))), _PAIR)
+    chars = F.split(c, "")
+    expanded = F.when(_has_multi(c), _rewrite(c, F.array_intersect(chars, keys), lambda ch: mapping[ch])).otherwise(c)
+    syllables = F.array_distinct(F.filter(F.split(expanded, ""), lambda x: x.rlike("[가-힣]")))
+    expanded = F.when(expanded.rlike("[가-힣]"), _rewrite(expanded, syllables, _syllable)).otherwise(expanded)
     return F.translate(expanded, src, dst)

@@ -104,9 +104,13 @@ def parse_int_fr(c) -> Column:
 
 
 def parse_ratio_fr(c) -> Column:
-    """Percent text -> ratio: always divided by 100, rounded to 6 decimals (half-up)."""
-    dec = try_cast(_number_text(c), "decimal(38,18)")
-    return F.round(dec / F.lit(100), 6).cast("double")
+    """Percent text -> ratio: always divided by 100, rounded to 6 decimals (half-up).
+
+    Exact in decimals; numbers that a decimal(38,18) can't hold (1e20 and more) go through doubles.
+    """
+    text = _number_text(c)
+    exact = F.round(try_cast(text, "decimal(38,18)") / F.lit(100), 6).cast("double")
+    return F.coalesce(exact, try_cast(text, "double") / F.lit(100.0))
 
 
 # F6 -------------------------------------------------------------------------
@@ -136,12 +140,14 @@ def code2(c) -> Column:
 
 # F9 -------------------------------------------------------------------------
 def micro_ratio(n, d) -> Column:
-    """round(n/d, 6) * 1e6 for non-negative integer counts, exact (half-up); null if d is 0/null."""
-    n, d = col_(n).cast("bigint"), col_(d).cast("bigint")
-    num, den = n * 2000000 + d, d * 2
-    # exact integer division: (num - num mod den) / den is an exact multiple
+    """round(n/d, 6) * 1e6 for non-negative integer counts (half-up), null if d is 0 or either is null.
+
+    Integer division of decimals, so exact for every bigint count.
+    """
+    n, d = col_(n).cast("decimal(20,0)"), col_(d).cast("decimal(20,0)")
+    num = n * F.lit(2000000).cast("decimal(7,0)") + d
     return F.when(n.isNotNull() & d.isNotNull() & (d != 0),
-                  ((num - F.pmod(num, den)) / den).cast("bigint"))
+                  F.call_function("div", num, d * F.lit(2).cast("decimal(1,0)")))
 
 
 def safe_ratio(n, d) -> Column:

@@ -24,42 +24,33 @@ def lookup_code_by_name(df: DataFrame, name_col: str, lookup: DataFrame, out_col
             .join(lk, "__nk", "left").drop("__nk"))
 
 
-def attach_totals(measures: DataFrame, totals: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Many candidate rows -> their unit totals (left, equi)."""
-    return measures.join(totals, list(on), "left")
-
-
 def asof_align(values: DataFrame, keys: Sequence[str], time_col: str, targets: Sequence[int],
-               target_col: str = "target", max_explode: int = 64) -> DataFrame:
+               target_col: str = "target", span: int = 16) -> DataFrame:
     """Backward as-of onto a target list, per key.
 
     For each (key, target): the row at the latest `time_col` <= target (exact
     wins); no earlier row -> no output row.  `values` must be unique on
-    (keys, time_col) (apply ``rank.dedupe_last`` first).
-
-    Short target lists (the usual calendar): every row is exploded onto the
-    targets it can serve, `max(time)` per (key, target) is a hash aggregate with
-    a map-side combine (a hot key never lands whole in one task), and the
-    winning rows are fetched by an equi-join on (key, time).  No window, no
-    inequality join.  Long target lists (> `max_explode`, numeric times): the
-    (key x target) grid -- the output's upper bound -- probes ``asof_join``,
-    whose time buckets keep the work proportional to the output.
+    (keys, time_col) (apply ``rank.dedupe_last`` first); times are integers.
+
+    Every row serves the targets from its own time up to the next row's, so the rows are
+    exploded onto these: output-sized work, no join of values, one form whatever the length of the
+    list.  The next row's time comes from a window per (key, `span` time steps), and for the
+    last row of a span from a window over one row per span, so that a hot key is split.
     """
-    tgts = sorted(set(int(t) for t in targets))
-    tgt = F.array(*[F.lit(t) for t in tgts])
-    if len(tgts) > max_explode:
-        width = max(1, (tgts[-1] - tgts[0]) // max_explode)
-        grid = values.select(*keys).distinct().select(*keys, F.explode(tgt).alias(target_col))
-        others = [c for c in values.columns if c not in (*keys, time_col)]
-        out = asof_join(grid, values, keys, target_col, time_col, others,
-                        bucket=F.floor(F.col(target_col) / width), right_bucket=F.floor(F.col(time_col) / width),
-                        matched_time=time_col)
-        return out.where(F.col(time_col).isNotNull()).select(*keys, time_col, target_col, *others)
-    t = F.col(time_col)
-    cand = values.select(*keys, time_col,
-                         F.explode(F.filter(tgt, lambda x: x >= t)).alias(target_col))
-    best = cand.groupBy(*keys, target_col).agg(F.max(time_col).alias(time_col))
-    return best.join(values, [*keys, time_col], "inner")
+    keys = list(keys)
+    tgt = F.array(*[F.lit(t) for t in sorted({int(t) for t in targets})])
+    b = values.withColumn("__b", F.floor(F.col(time_col) / span))
+    part = Window.partitionBy(*keys, "__b").orderBy(time_col)
+    inside = b.withColumn("__in", F.lead(time_col).over(part))
+    firsts = b.groupBy(*keys, "__b").agg(F.min(time_col).alias("__first"))
+    firsts = firsts.withColumn("__after", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__b")))
+    on = [*keys, "__b"]
+    firsts = firsts.select(*[F.col(k).alias(f"__k_{k}") for k in on], "__after")
+    nxt = inside.join(firsts, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in on], "left") \
+        .withColumn("__next", F.coalesce("__in", "__after"))
+    t, u = F.col(time_col), F.col("__next")
+    return nxt.select(*values.columns, F.explode(
+        F.filter(tgt, lambda x: (x >= t) & (u.isNull() | (x < u)))).alias(target_col))
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str,

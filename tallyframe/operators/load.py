@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import joins
 
 
@@ -27,24 +28,23 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, offset=0,
               partitions: int | None = None) -> DataFrame:
     """Consecutive ids offset+1.. in `order`, computed without a single-task window.
 
-    Range-partition by `order` and sort inside each partition; a row's position
-    inside its partition is `monotonically_increasing_id()` minus the partition's
-    base (partition id << 33), so no second shuffle is needed.  The row counts
-    of all earlier partitions (a table with one row per partition, bounded by
-    the partition count) are added as offsets.  Deterministic on retry: the
-    range bounds are fixed once and each partition is re-sorted identically.
+    The rows are range-partitioned and sorted by `order` once and written as a reliable
+    checkpoint (range bounds are sampled: a second evaluation could place rows differently).
+    Both the rows and the row counts of the partitions are read from it; a row's position in its
+    partition is `monotonically_increasing_id()` minus the partition's base, and the
+    counts of all earlier partitions (one row per partition) are added as offsets.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    local = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-             .withColumn("__pid", F.spark_partition_id())
+    fixed = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    local = (fixed.withColumn("__pid", F.spark_partition_id())
              .withColumn("__rn", F.monotonically_increasing_id()
                          - F.shiftleft(F.col("__pid").cast("bigint"), 33) + F.lit(1)))
-    counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    counts = fixed.groupBy(F.spark_partition_id().alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__n").over(
             Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     base = offset if not isinstance(offset, int) else F.lit(offset)
-    return (local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
+    return (local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")  # one row per partition
             .withColumn(id_col, (base + F.col("__off") + F.col("__rn")).cast("bigint"))
             .drop("__pid", "__rn", "__off"))
 
@@ -52,22 +52,19 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, offset=0,
 def assign_keys(current: DataFrame, incoming: DataFrame, nk: Sequence[str], id_col: str) -> DataFrame:
     """L1 get-or-create: new natural keys (null-safe) get ids after max(current id).
 
-    Returns the next state of the dimension (current rows + new members).
+    Returns the next state of the dimension (current rows + new members).  The current
+    state is evaluated once, as a checkpoint.
     """
+    current = cut_lineage(current)
     inc = incoming.select(*nk).distinct()
     new = inc.join(current, _nk_cond(inc, current, nk), "left_anti")
-    max_id = current.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    new_ids = dense_ids(new, nk, id_col, offset=max_id)
+    max_id = current.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+    new_ids = dense_ids(new, nk, id_col, offset=int(max_id))
     cols = current.columns
     return current.unionByName(new_ids.select(*[c if c in new_ids.columns else F.lit(None).cast(
         current.schema[c].dataType).alias(c) for c in cols]))
 
 
-def lookup_ids(df: DataFrame, dim: DataFrame, nk: Sequence[str], id_col: str) -> DataFrame:
-    """Attach dimension ids by natural key (null-safe)."""
-    return joins.null_safe_join(df, dim.select(*nk, id_col), nk, "left")
-
-
 def insert_ignore(current: DataFrame, incoming: DataFrame, pk: Sequence[str]) -> DataFrame:
     """L2: first write wins; incoming keys already present are ignored."""
     return current.unionByName(incoming.join(current.select(*pk), list(pk), "left_anti"))

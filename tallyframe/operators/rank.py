@@ -59,34 +59,33 @@ def latest_snapshot(df: DataFrame, time_col: str, where: Column | None = None) -
 
 def with_history(df: DataFrame, keys: Sequence[str], time_col: str, cols: Sequence[str],
                  n: int = 1, bucket: Column | None = None) -> DataFrame:
-    """Previous values (lag 1..n) and change vs previous per key.
-
-    With `bucket` (a monotone function of the time, e.g. the decade) and n = 1
-    the lag is computed without a per-key window, so a hot key is split: a
-    window per (key, bucket) gives the in-bucket previous row, and the first
-    row of each bucket takes the last row of the nearest earlier non-empty
-    bucket (one row per bucket, carried by a window over buckets).  Times
-    must be unique per key.
+    """Previous values (lag 1..n) and change vs previous per key.  Times must be unique per key.
+
+    With `bucket` (a monotone function of the time, e.g. the decade) a hot key is
+    split: a window per (key, bucket) gives the lags inside the bucket, and a
+    window per key over the edges alone (the first and last n rows of each bucket) gives the
+    lags of the first n rows of each bucket.  Keys match null-safely.
     """
-    if bucket is None or n != 1:
-        w = Window.partitionBy(*keys).orderBy(time_col)
-        out = df
-        for c in cols:
-            for k in range(1, n + 1):
-                out = out.withColumn(f"{c}_lag{k}", F.lag(c, k).over(w))
-            out = out.withColumn(f"{c}_change", F.col(c) - F.col(f"{c}_lag1"))
-        return out
     keys = list(keys)
-    b = df.withColumn("__b", bucket)
-    wb = Window.partitionBy(*keys, "__b").orderBy(time_col)
-    inb = b.select("*", F.row_number().over(wb).alias("__rn"),
-                   *[F.lag(c, 1).over(wb).alias(f"__in_{c}") for c in cols])
-    last = b.groupBy(*keys, "__b").agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.col(time_col)).alias("__last"))
-    wk = Window.partitionBy(*keys).orderBy("__b")
-    carry = last.select(*keys, "__b", F.lag("__last", 1).over(wk).alias("__prev"))
-    out = inb.join(carry, [*keys, "__b"], "left")
-    for c in cols:
-        prev = F.when(F.col("__rn") == 1, F.col("__prev")[c]).otherwise(F.col(f"__in_{c}"))
-        out = out.withColumn(f"{c}_lag1", prev).withColumn(f"{c}_change", F.col(c) - F.col(f"{c}_lag1"))
-    return out.drop("__b", "__rn", "__prev", *[f"__in_{c}" for c in cols])
+    lags = [(c, k) for c in cols for k in range(1, n + 1)]
+
+    def add(frame: DataFrame, w, prefix: str) -> DataFrame:
+        return frame.select("*", *[F.lag(c, k).over(w).alias(f"{prefix}{c}_lag{k}") for c, k in lags])
+
+    if bucket is None:
+        out = add(df, Window.partitionBy(*keys).orderBy(time_col), "")
+    else:
+        b = df.withColumn("__b", bucket)
+        part = Window.partitionBy(*keys, "__b")
+        inb = add(b.select("*", F.row_number().over(part.orderBy(time_col)).alias("__rn"),
+                           F.count(F.lit(1)).over(part).alias("__size")), part.orderBy(time_col), "__in_")
+        edge = inb.where(F.col("__rn") <= n).select(*keys, "__b", "__rn", time_col, *cols).union(
+            inb.where((F.col("__rn") > n) & (F.col("__rn") > F.col("__size") - n)).select(*keys, "__b", "__rn", time_col, *cols))
+        edge = add(edge, Window.partitionBy(*keys).orderBy(time_col), "__e_").where(F.col("__rn") <= n)
+        on = [*keys, "__b", "__rn"]
+        edge = edge.select(*[F.col(k).alias(f"__k_{k}") for k in on], *[f"__e_{c}_lag{k}" for c, k in lags])
+        match = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in on]
+        out = inb.join(edge, match, "left").select(
+            *df.columns, *[F.when(F.col("__rn") <= n, F.col(f"__e_{c}_lag{k}")).otherwise(F.col(f"__in_{c}_lag{k}"))
+                           .alias(f"{c}_lag{k}") for c, k in lags])
+    return out.withColumns({f"{c}_change": F.col(c) - F.col(f"{c}_lag1") for c in cols})

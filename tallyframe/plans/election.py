@@ -58,7 +58,7 @@ def extract_wide_sheet(spark: SparkSession, sheet: DataFrame, year, cfg: JobConf
     else:
         lk = aliases if aliases is not None else F.broadcast(readers.spec_tables(spark)["aliases"])
         df = J.lookup_code_by_name(df, "__name", lk, out_col="__code")
-    df = df.where(F.col("__code").isin(list(cfg.target_codes)))
+    df = df.where(cfg.in_scope(F.col("__code")))
     df = df.join(_department_names(spark, departments), df["__code"] == F.col("dept_code"), "left") \
         .drop("dept_code")
     df = df.withColumn("__name", S.coalesce_name("__name", "__ref_name", "__code"))
@@ -114,7 +114,7 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
     """
     unit = ["dept_code", "commune", "bureau"]
     df = (parsed.withColumn("dept_code", S.normalize_area_code("dept_raw"))
-          .where(F.col("dept_code").isin(list(cfg.target_codes))))
+          .where(cfg.in_scope(F.col("dept_code"))))
     df = df.join(_department_names(spark, departments), "dept_code", "left").select(
         "dept_code", S.coalesce_name("name_raw", "__ref_name", "dept_code").alias("dept_name"),
         S.ustrip("commune_raw").alias("commune"), S.ustrip("bureau_raw").alias("bureau"), "ordinal",

@@ -19,7 +19,7 @@ from ..sources.schema import discover_periods, to_canonical
 def scope_indicator_rows(wide: DataFrame, cfg: JobConfig = JobConfig(), geo_col: str = "codgeo") -> DataFrame:
     """S3 + P1: normalize the area code and keep the target scope."""
     return (wide.withColumn(geo_col, S.normalize_area_code(geo_col))
-            .where(F.col(geo_col).isin(list(cfg.target_codes))))
+            .where(cfg.in_scope(F.col(geo_col))))
 
 
 def select_series(rows: DataFrame, specs: DataFrame) -> DataFrame:

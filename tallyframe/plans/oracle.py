@@ -77,11 +77,13 @@ IAGG = f"""iagg as (
          cast(geo as varchar) codgeo, case pri {_VAR} end variable,
          case st when 'F' then 'total' when 'P' then ' total ' else null end sous_champ,
          geo * 100 + cast(substr(pri, 1, 1) as int) * 10 + case st when 'F' then 0 when 'O' then 1 else 2 end ordinal
-  from (select *, yr - (yr - {P.INDICATOR_YEARS[0]}) % 2 as pyr from ofacts) o
+  from (select *, yr - (yr - 1) % 2 as pyr from ofacts) o
   group by geo, pri, st, pyr)"""
-SHEET = "sheet as (select codgeo, variable, sous_champ, ordinal, " + ", ".join(
-    f"max(case when yr = {y} then replace(cast(v as varchar), '.', ',') end) A{y}" for y in P.INDICATOR_YEARS
-) + " from iagg group by codgeo, variable, sous_champ, ordinal)"
+CELLS = """cells as (
+  select r.*, 'A' || p.yr period, replace(cast(i.v as varchar), '.', ',') raw
+  from (select distinct codgeo, variable, sous_champ, ordinal from iagg) r
+  cross join (select distinct yr - (yr - 1) % 2 yr from ofacts) p
+  left join iagg i on i.ordinal = r.ordinal and i.yr = p.yr)"""
 SPECS = "specs as (select * from (values " + ", ".join(
     f"({_sq(s[0])}, {_sq(s[3])}, {_sq(s[4]) if s[4] is not None else 'NULL'}, {i})"
     for i, s in enumerate(C.INDICATOR_SPECS)) + ") t(indicator_code, svar, ssc, spec_order))"
@@ -96,12 +98,16 @@ VALS = f"""vals as (
 IND = [OFACTS, IAGG, SPECS, VALS]
 
 
+YEARS = "(select list(distinct year(o_orderdate)) from orders)"
+
+
 def aligned(targets) -> str:
+    targets = targets if isinstance(targets, str) else _list(targets)
     return f"""aligned as (
   select g.indicator_code, g.insee_code, cast(g.t as bigint) as year, v.value,
          case when v.year = g.t then v.source_file
               else v.source_file || ' [aligned_from=' || cast(v.year as varchar) || ']' end source_file
-  from (select indicator_code, insee_code, unnest({_list(targets)}) t
+  from (select indicator_code, insee_code, unnest({targets}) t
         from (select distinct indicator_code, insee_code from vals)) g
   asof join vals v on g.indicator_code = v.indicator_code and g.insee_code = v.insee_code and g.t >= v.year)"""
 
@@ -146,10 +152,10 @@ select yr, geo, geo_name, opt, votes, micro_share, micro_turnout
 from (select *, row_number() over (partition by yr, geo order by votes desc, opt asc) rn from results) x
 where rn = 1"""
 
-ORACLE["scan_union_by_year"] = f"""
+ORACLE["scan_union_by_year"] = """
 select cast(year(o_orderdate) as bigint) yr, count(*) n_orders,
        cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) total_price
-from orders where year(o_orderdate) in {_in(P.PROXY_YEARS)} group by 1"""
+from orders group by 1"""
 
 ORACLE["scan_station_rows"] = with_(STATION, ROWS) + """
 select lpad(cast(geo as varchar), 2, '0') dept_code, cast(commune as varchar) commune,
@@ -179,21 +185,20 @@ select lpad(cast(c.geo as varchar), 2, '0') dept_code, c.candidate_name, c.votes
        (2 * d.cst * 1000000 + d.reg) // (2 * d.reg) micro_turnout
 from cand c join dtot d on c.geo = d.geo"""
 
-_YCOLS = ", ".join(f"A{y}" for y in P.INDICATOR_YEARS)
-ORACLE["scan_indicator_filter"] = with_(OFACTS, IAGG, SHEET) + f"""
-select lpad(codgeo, 2, '0') codgeo, variable, sous_champ, {_YCOLS}
-from sheet where lpad(codgeo, 2, '0') in {TARGETS}"""
+ORACLE["scan_indicator_filter"] = with_(OFACTS, IAGG, CELLS) + f"""
+select lpad(codgeo, 2, '0') codgeo, variable, sous_champ, period, raw
+from cells where lpad(codgeo, 2, '0') in {TARGETS}"""
 
 ORACLE["scope_filter"] = with_(R3) + f"""
 select yr, dept_code, opt candidate_name, votes from results where dept_code in {TARGETS}"""
 
-ORACLE["series_select"] = with_(OFACTS, IAGG, SHEET, SPECS) + f"""
-select s.indicator_code, lpad(w.codgeo, 2, '0') codgeo, w.sous_champ, w.A1995, w.A2001
-from sheet w join specs s on {MATCH}"""
+ORACLE["series_select"] = with_(OFACTS, IAGG, CELLS, SPECS) + f"""
+select s.indicator_code, lpad(w.codgeo, 2, '0') codgeo, w.sous_champ, w.period, w.raw
+from cells w join specs s on {MATCH}"""
 
-ORACLE["empty_specs"] = with_(OFACTS, IAGG, SHEET, SPECS) + f"""
+ORACLE["empty_specs"] = with_(OFACTS, IAGG, SPECS) + f"""
 select indicator_code, svar variable from specs where indicator_code not in (
-  select s.indicator_code from sheet w join specs s on {MATCH})"""
+  select s.indicator_code from iagg w join specs s on {MATCH})"""
 
 ORACLE["unpivot_periods"] = with_(OFACTS, IAGG) + """
 select codgeo, variable, sous_champ, yr as year, v as value from iagg"""
@@ -294,8 +299,10 @@ select yr, dept_code, geo_name dept_name, upper(opt) candidate_name, valid votes
        cast(round_even(valid * (micro_share / 1e6), 0) as bigint) votes, micro_share, micro_turnout
 from results"""
 
-ORACLE["pivot_matrix"] = with_(BASE, TOTALS) + "select lpad(cast(geo as varchar), 2, '0') dept_code, " + ", ".join(
-    f"max(case when yr = {y} then valid end) y{y}" for y in P.PROXY_YEARS) + " from totals group by geo"
+_AREAS_YEARS = "(select distinct geo from totals) a cross join (select distinct year(o_orderdate) yr from orders) y"
+ORACLE["pivot_matrix"] = with_(BASE, TOTALS) + f"""
+select lpad(cast(a.geo as varchar), 2, '0') dept_code, cast(y.yr as varchar) yr, t.valid
+from {_AREAS_YEARS} left join totals t on t.geo = a.geo and t.yr = y.yr"""
 
 ORACLE["collapse_duplicates"] = with_(R3) + """
 select yr, dept_code, opt candidate_name, eligible registered, valid votes_valid,
@@ -422,12 +429,13 @@ select count(*) filter (where votes % 3 = 0) null_votes_in, count(*) filter (whe
 ORACLE["turnout_trend"] = with_(R3, TURN) + """
 select dept_code, yr as year, micro_turnout micro_pct_turnout, dept_code || ' - ' || geo_name label from turn"""
 
-ORACLE["leader_matrix"] = with_(R3) + """
-select dept_code, """ + ", ".join(f"max(case when yr = {y} then micro_share end) y{y}" for y in P.PROXY_YEARS) + """
-from (select *, row_number() over (partition by yr, geo order by micro_share desc, opt asc) rk from results) x
-where rk = 1 group by dept_code"""
+ORACLE["leader_matrix"] = with_(R3) + f"""
+select lpad(cast(a.geo as varchar), 2, '0') dept_code, cast(y.yr as varchar) yr, l.micro_share
+from {_AREAS_YEARS.replace('totals', 'results')}
+left join (select *, row_number() over (partition by yr, geo order by micro_share desc, opt asc) rk from results) l
+on l.rk = 1 and l.geo = a.geo and l.yr = y.yr"""
 
-ORACLE["indicator_trend"] = with_(IND, aligned(P.PROXY_YEARS)) + """
+ORACLE["indicator_trend"] = with_(IND, aligned(YEARS)) + """
 select substr(insee_code, 1, 2) dept_code, "year", value from aligned where indicator_code = 'unemployment_rate'"""
 
 ORACLE["latest_snapshot"] = with_(R3, IND) + """
@@ -453,7 +461,7 @@ from results group by yr"""
 
 ORACLE["coverage_gaps"] = with_(IND) + f"""
 select g.indicator_code, g.insee_code, cast(g.year as bigint) as year
-from (select indicator_code, insee_code, unnest({_list(P.PROXY_YEARS)}) as year
+from (select indicator_code, insee_code, unnest({YEARS}) as year
       from (select distinct indicator_code, insee_code from vals)) g
 where not exists (select 1 from vals v where v.indicator_code = g.indicator_code
                   and v.insee_code = g.insee_code and v.year = g.year)"""
@@ -461,12 +469,13 @@ where not exists (select 1 from vals v where v.indicator_code = g.indicator_code
 _PIV = "piv as (select insee_code, year, " + ", ".join(
     f"max(case when indicator_code = {_sq(s[0])} then value end) {s[0]}" for s in C.INDICATOR_SPECS
 ) + " from aligned group by insee_code, year)"
-ORACLE["feature_join"] = with_(R3, IND, aligned(P.PROXY_YEARS), _PIV) + "select r.yr, r.geo, r.opt, r.micro_share, " + \
+ORACLE["feature_join"] = with_(R3, IND, aligned(YEARS), _PIV) + "select r.yr, r.geo, r.opt, r.micro_share, " + \
     ", ".join(f"p.{s[0]}" for s in C.INDICATOR_SPECS) + \
     " from results r left join piv p on r.dept_code || '000' = p.insee_code and r.yr = p.year"
 
 ORACLE["temporal_split"] = with_(R3) + """
-select yr, geo, opt, case when yr < 2001 then 'train' else 'test' end split from results where yr <= 2001"""
+select yr, geo, opt, case when yr < (select max(year(o_orderdate)) from orders) then 'train' else 'test' end split
+from results"""
 
 ORACLE["regression_metrics"] = with_(R3, LAGP) + """
 select yr, count(*) n, cast(round(avg(abs(e)) * 1000) as bigint) mae_milli,

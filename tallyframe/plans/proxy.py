@@ -24,21 +24,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 PROXY_TARGET_CODES = ("01", "03", "05", "07", "11", "13", "17", "19")
 # Target years of the proxy alignment: no-prior, carried, exact, beyond-last.
 PROXY_CALENDAR = (1994, 1996, 1998, 2000, 2001, 2003)
-PROXY_YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
-INDICATOR_YEARS = (1995, 1997, 1999, 2001)
+# Most columns that a matrix or sheet may get from the data; more is an error, never a cut.
+MAX_COLUMNS = 10_000
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table (the DataFrame is memoized per session: no repeated footer reads)."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+def column_values(df: DataFrame, col: str) -> list:
+    """Sorted distinct values of a column that becomes a matrix header (an error beyond MAX_COLUMNS)."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(rows) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} distinct values of {col}: too many for columns")
+    return sorted(r[0] for r in rows)
+
+
+def years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The order years in the data."""
+    return column_values(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("yr")), "yr")
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +135,6 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Landed-file shapes built from the tables (so the parsers run on real volume)
 # --------------------------------------------------------------------------
 
-ALL_CODES = tuple(f"{i:02d}" for i in range(25))
 # FIXED VALUES: header of the polling-station file format (public file layout)
 STATION_HEADER = ["Code du département", "Libellé du département", "Code de la commune",
                   "Code du b.vote", "Inscrits", "Votants", "Exprimés", "N°Panneau", "Sexe", "Nom",
@@ -182,11 +185,11 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("gs", lambda s: s["g"]), ";"))
     copies = F.when(F.col("urgent"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return rows.select(line.alias("line"), "station", "chunk", F.explode(copies).alias("copy")) \
-        .select("line", (F.col("station") * 1024 + F.col("chunk") * 2 + F.col("copy")).alias("ordinal"))
+        .select("line", F.struct("station", "chunk", "copy").alias("ordinal"))
 
 
 def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide indicator file: codgeo, variable, sous_champ, A1995..A2001 (comma decimals), ordinal.
+    """Wide indicator file: codgeo, variable, sous_champ, one A<year> per period (comma decimals), ordinal.
 
     value = order-price sum per (priority, status, geo, two-year period named by its odd
     first year: 1995-96 -> 1995, ...), so the series has gaps; sous_champ
@@ -194,7 +197,7 @@ def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     # biennial survey: every order counts towards the odd year that opens its two-year period
     of = order_facts(spark, sf_dir).withColumn(
-        "yr", F.col("yr") - F.pmod(F.col("yr") - F.lit(INDICATOR_YEARS[0]), F.lit(2)))
+        "yr", F.col("yr") - F.pmod(F.col("yr") - F.lit(1), F.lit(2)))
     var = F.coalesce(*[F.when(F.col("pri") == k, F.lit(v)) for k, v in VARIABLE_BY_PRIORITY.items()])
     sc = (F.when(F.col("st") == "F", F.lit("total")).when(F.col("st") == "P", F.lit(" total "))
           .otherwise(F.lit(None).cast("string")))
@@ -203,11 +206,12 @@ def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = (of.groupBy("geo", "pri", "st", "yr")
            .agg(F.sum(F.col("price").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v")))
     txt = F.translate(F.col("v").cast("string"), ".", ",")
+    periods = sorted({y - (y - 1) % 2 for y in years(spark, sf_dir)})
     wide = (agg.withColumn("codgeo", F.col("geo").cast("string")).withColumn("variable", var)
             .withColumn("sous_champ", sc).withColumn("ordinal", F.col("geo") * 100 + pri_rank * 10 + st_rank)
             .groupBy("codgeo", "variable", "sous_champ", "ordinal")
-            .pivot("yr", list(INDICATOR_YEARS)).agg(F.max(txt)))
-    return wide.toDF("codgeo", "variable", "sous_champ", "ordinal", *[f"A{y}" for y in INDICATOR_YEARS])
+            .pivot("yr", periods).agg(F.max(txt)))
+    return wide.toDF("codgeo", "variable", "sous_champ", "ordinal", *[f"A{y}" for y in periods])
 
 
 def _pct_text(micro) -> Column:
@@ -224,10 +228,8 @@ def results_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _brands(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The option (brand) columns of the wide sheets: the part dimension's distinct brands
-    (what `pivot` would discover itself; a dimension, bounded by the pivot value limit)."""
-    rows = table(spark, sf_dir, "part").select("p_brand").distinct().orderBy("p_brand").collect()
-    return [r[0] for r in rows]
+    """The option (brand) columns of the wide sheets: the part dimension's distinct brands."""
+    return column_values(table(spark, sf_dir, "part"), "p_brand")
 
 
 def sheet_layout_a(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,14 @@ from ..config import JobConfig
 from ..functions import scalars as S
 from ..operators import aggregate as A
 from ..operators import joins as J
-from ..operators.layout import spread
 from ..operators import load as L
 from ..operators import model as M
 from ..operators import quality as Q
 from ..operators import rank as W
 from ..operators import reshape as R
 from ..sources import readers
+from ..sources.schema import discover_periods
+from ..session import cut_lineage
 from . import dashboard as D
 from . import election as EL
 from . import indicators as IN
@@ -41,7 +42,7 @@ def query(name: str):
     return deco
 
 
-ALL = JobConfig(target_codes=P.ALL_CODES)
+ALL = JobConfig(target_codes=None)
 SCOPED = JobConfig(target_codes=P.PROXY_TARGET_CODES)
 
 
@@ -54,8 +55,8 @@ def _lineitem(spark, d):
 
 
 def _lineitem_rows(spark, d, *cols):
-    """Line items for row-wise scalar work (spread over the cluster if under-partitioned)."""
-    return spread(_lineitem(spark, d).select(*_key_cols(), *cols))
+    """Line items for row-wise scalar work."""
+    return _lineitem(spark, d).select(*_key_cols(), *cols)
 
 
 def _micro_results(spark, d):
@@ -87,7 +88,7 @@ def scan_union_by_year(spark, d):
     root = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
     (P.table(spark, d, "orders").select(F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
      .write.partitionBy("yr").parquet(root))
-    sheets = readers.read_wide_results(spark, {y: f"{root}/yr={y}" for y in P.PROXY_YEARS}, fmt="parquet")
+    sheets = readers.read_wide_results(spark, {y: f"{root}/yr={y}" for y in P.years(spark, d)}, fmt="parquet")
     u = R.union_sources([df.select(F.lit(y).cast("bigint").alias("yr"), "o_orderkey", "o_totalprice")
                          for y, df in sheets.items()])
     return u.groupBy("yr").agg(
@@ -162,7 +163,7 @@ def share_of_total(spark, d):
 def scan_indicator_filter(spark, d):
     """S3 + F2 + P1: indicator rows, area code normalized, target scope kept."""
     w = IN.scope_indicator_rows(P.indicator_sheet(spark, d), SCOPED)
-    return w.drop("ordinal")
+    return _cells(w.drop("ordinal"), ["codgeo", "variable", "sous_champ"], "period", "raw")
 
 
 @query("scope_filter")
@@ -173,6 +174,11 @@ def scope_filter(spark, d):
         .select(F.col("year").cast("bigint").alias("yr"), "dept_code", "candidate_name", "votes")
 
 
+def _cells(matrix, ids, column, value):
+    """Every cell of a matrix whose columns come from the data, empty cells included."""
+    return matrix.unpivot(ids, [c for c in matrix.columns if c not in ids], column, value)
+
+
 def _specs(spark):
     return IN.with_spec_order(readers.spec_tables(spark)["indicator_specs"])
 
@@ -182,7 +188,8 @@ def series_select(spark, d):
     """Spec rows (null-safe sub-field, stripped) selected by one broadcast join."""
     rows = P.indicator_sheet(spark, d).withColumn("codgeo", S.normalize_area_code("codgeo"))
     sel = IN.select_series(rows, _specs(spark))
-    return sel.select("indicator_code", "codgeo", "sous_champ", "A1995", "A2001")
+    ids = ["indicator_code", "codgeo", "sous_champ"]
+    return _cells(sel.select(*ids, *discover_periods(sel.columns)), ids, "period", "raw")
 
 
 @query("empty_specs")
@@ -197,7 +204,7 @@ def empty_specs(spark, d):
 def unpivot_periods(spark, d):
     """R4 + F18 + F4: A<yyyy> columns -> (year, value), empty cells dropped."""
     w = P.indicator_sheet(spark, d)
-    long = R.melt_periods(w, ["codgeo", "variable", "sous_champ"], [f"A{y}" for y in P.INDICATOR_YEARS])
+    long = R.melt_periods(w, ["codgeo", "variable", "sous_champ"], discover_periods(w.columns))
     long = long.withColumn("value", S.parse_float_fr("raw")).where(F.col("value").isNotNull())
     return long.select("codgeo", "variable", "sous_champ", F.col("year").cast("bigint").alias("year"),
                        F.col("value").cast("decimal(18,2)").alias("value"))
@@ -243,14 +250,14 @@ def asof_join_tables(spark, d):
 @query("normalize_key")
 def normalize_key(spark, d):
     """F1 over whole document texts."""
-    doc = spread(P.table(spark, d, "documents").select("doc_id", "text"))
+    doc = P.table(spark, d, "documents").select("doc_id", "text")
     return doc.select("doc_id", S.normalize_key("text").alias("norm_key"))
 
 
 @query("canonical_label")
 def canonical_label(spark, d):
     """F6 over whole document texts turned into column labels (_VOIX / _exp suffix)."""
-    doc = spread(P.table(spark, d, "documents").select("doc_id", "text"))
+    doc = P.table(spark, d, "documents").select("doc_id", "text")
     label = F.concat(F.translate("text", " ", "_"),
                      F.when(F.col("doc_id") % 2 == 0, F.lit("_VOIX")).otherwise(F.lit("_exp")))
     return doc.select("doc_id", S.canonical_label(label).alias("label"))
@@ -422,10 +429,10 @@ def unpivot_measures(spark, d):
 
 @query("pivot_matrix")
 def pivot_matrix(spark, d):
-    """Valid votes matrix, area x year (explicit year columns)."""
+    """Valid votes matrix, area x year (a column for each year in the data), as cells."""
     t = P.totals(spark, d).select(S.code2("geo").alias("dept_code"), "yr", "valid")
-    m = R.pivot_matrix(t, "dept_code", "yr", "valid", list(P.PROXY_YEARS))
-    return m.toDF("dept_code", *[f"y{y}" for y in P.PROXY_YEARS])
+    m = R.pivot_matrix(t, "dept_code", "yr", "valid", P.years(spark, d))
+    return _cells(m, ["dept_code"], "yr", "valid")
 
 
 # ---------------------------------------------------------------- aggregations
@@ -564,7 +571,8 @@ def resolve_indicator_key(spark, d):
 
 
 def _party_rows(spark, d):
-    r = _micro_results(spark, d)
+    """Party rows, written once: key assignment reads them several times."""
+    r = cut_lineage(_micro_results(spark, d).select("yr", "geo", "opt"))
     g3 = (F.col("geo") % 3).cast("string")
     party = (F.when(F.col("geo") % 2 == 0, F.lit(None).cast("string"))
              .when(F.col("yr") >= 2000, F.concat(F.lit("Q"), g3)).otherwise(F.concat(F.lit("P"), g3)))
@@ -690,14 +698,14 @@ def turnout_trend(spark, d):
 
 @query("leader_matrix")
 def leader_matrix(spark, d):
-    """Leader share % matrix, area x year."""
-    m = D.leader_matrix(_canonical_results(spark, d), list(P.PROXY_YEARS))
-    return m.select("dept_code", *[F.round(F.col(str(y)) * 10000).cast("bigint").alias(f"y{y}")
-                                   for y in P.PROXY_YEARS])
+    """Leader share % matrix, area x year, as cells."""
+    m = D.leader_matrix(_canonical_results(spark, d), P.years(spark, d))
+    cells = _cells(m, ["dept_code"], "yr", "pct")
+    return cells.select("dept_code", "yr", F.round(F.col("pct") * 10000).cast("bigint").alias("micro_share"))
 
 
-def _aligned_indicators(spark, d, targets=P.PROXY_YEARS):
-    return IN.align_values(_indicator_values(spark, d), targets)
+def _aligned_indicators(spark, d):
+    return IN.align_values(_indicator_values(spark, d), P.years(spark, d))
 
 
 @query("indicator_trend")
@@ -737,9 +745,9 @@ def quality_bounds(spark, d):
 
 @query("coverage_gaps")
 def coverage_gaps(spark, d):
-    """Q2: (indicator, area) x 1995..2001 cells with no value."""
+    """Q2: (indicator, area) x order year cells with no value."""
     v = _indicator_values(spark, d).withColumn("key", F.concat_ws("|", "indicator_code", "insee_code"))
-    gaps = Q.coverage(v, "key", "year", list(P.PROXY_YEARS))
+    gaps = Q.coverage(v, "key", "year", P.years(spark, d))
     return gaps.select(F.split("key", r"\|")[0].alias("indicator_code"),
                        F.split("key", r"\|")[1].alias("insee_code"), F.col("year").cast("bigint").alias("year"))
 
@@ -763,9 +771,9 @@ def feature_join(spark, d):
 
 @query("temporal_split")
 def temporal_split(spark, d):
-    """M2: train = years before 2001, test = 2001."""
+    """M2: train = years before the last one, test = the last year."""
     f = _features(spark, d)
-    train, test = M.temporal_split(f, "yr", 2001)
+    train, test = M.temporal_split(f, "yr", P.years(spark, d)[-1])
     return (train.select("yr", "geo", "opt", F.lit("train").alias("split"))
             .unionByName(test.select("yr", "geo", "opt", F.lit("test").alias("split"))))
 

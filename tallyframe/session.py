@@ -1,9 +1,8 @@
 """Spark session helpers.
 
 Cluster jobs get their session from the platform; ``get_spark`` is for local
-runs and tests.  ``checkpoint_dir`` honours ``spark.checkpoint.dir`` when the
-cluster names one and only falls back to a fresh local folder when it is unset
-(tests, laptops).
+runs and tests.  ``checkpoint_dir`` is the folder in ``spark.checkpoint.dir``; only a
+local master gets a fresh one when it is unset.
 """
 
 from __future__ import annotations
@@ -42,28 +41,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure_session(spark: SparkSession) -> None:
     """Session settings every job relies on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        checkpoint_dir(spark)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
-        pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local master (tests, laptops) gets a folder of its own when none is named;
+    on a cluster that would be each executor's own disk, so it is an error.
+    """
     global _LOCAL_CHECKPOINT_ROOT
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    if _LOCAL_CHECKPOINT_ROOT is None:
-        _LOCAL_CHECKPOINT_ROOT = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", _LOCAL_CHECKPOINT_ROOT)
-    spark.sparkContext.setCheckpointDir(_LOCAL_CHECKPOINT_ROOT)
-    return _LOCAL_CHECKPOINT_ROOT
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if _LOCAL_CHECKPOINT_ROOT is None:
+            _LOCAL_CHECKPOINT_ROOT = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
+        named = _LOCAL_CHECKPOINT_ROOT
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    return named
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

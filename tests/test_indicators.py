@@ -53,13 +53,19 @@ def test_asof_never_looks_forward(spark):
         assert prior and src[(r.indicator_code, r.insee_code, max(prior))] == r.value
 
 
-def test_asof_align_long_target_list_matches_short_path(spark):
+def test_asof_align_one_form_for_any_list_and_span(spark):
     from tallyframe.operators import joins as J
 
-    v = values(spark)
-    targets = list(range(1990, 2030))
-    a = J.asof_align(v, ["indicator_code", "insee_code"], "year", targets, "t", max_explode=64)
-    b = J.asof_align(v, ["indicator_code", "insee_code"], "year", targets, "t", max_explode=4)
-    cols = ["indicator_code", "insee_code", "t", "year", "value", "source_file"]
-    ra, rb = sorted(map(tuple, a.select(cols).collect())), sorted(map(tuple, b.select(cols).collect()))
-    assert ra == rb and len(ra) == 23 + 23 + 13
+    rows = [("a", t, float(t)) for t in (1991, 1992, 2003, 2004, 2030)] + [(None, 1995, 5.0), (None, 2010, 10.0), ("b", 2020, 2.0)]
+    v = spark.createDataFrame(rows, "k string, year int, value double")
+    targets = [1980, *range(1990, 2030), 2050]
+    want = set()
+    for k in ("a", None, "b"):
+        for t in targets:
+            past = [r for r in rows if r[0] == k and r[1] <= t]
+            if past:
+                best = max(past, key=lambda r: r[1])
+                want.add((k, best[1], best[2], t))
+    for span in (1, 3, 16, 1000):
+        got = J.asof_align(v, ["k"], "year", targets, "t", span=span).collect()
+        assert len(got) == len(want) and {(r.k, r.year, r.value, r.t) for r in got} == want

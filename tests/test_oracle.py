@@ -10,7 +10,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
+from tallyframe.plans.oracle import ORACLE  # noqa: E402
 from tallyframe.plans.proxy import TABLES  # noqa: E402
+from tallyframe.plans.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +25,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rel = con.sql(E.oracle_sql()[key])
@@ -31,7 +33,7 @@ def test_query_matches_oracle(spark, con, key):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, key):
     assert E.queries()[key](spark, SF).count() > 0
 

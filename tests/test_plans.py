@@ -1,6 +1,8 @@
 """Plan assertions: JVM-only expressions, no cartesian / nested-loop joins, pushed-down scans."""
 
 import __spark_entry__ as E
+from tallyframe.plans.oracle import ORACLE
+from tallyframe.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -10,13 +12,13 @@ def plan(df):
 
 
 def test_no_python_udf_in_any_sql_checked_query(spark):
-    for key in E.oracle_sql():
+    for key in ORACLE:
         p = plan(E.queries()[key](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
 
 
 def test_no_cartesian_or_nested_loop_join(spark):
-    for key in E.queries():
+    for key in QUERIES:
         if key in ("fit_regressors", "compare_models"):
             continue
         p = plan(E.queries()[key](spark, SF))

@@ -18,16 +18,42 @@ def test_normalize_key(spark):
     assert run(spark, S.normalize_key, vals) == ["valdoise", "valdoise", "npanneau", "exprimes", "", "fin12", "dzemal"]
 
 
-def test_normalize_key_matches_python_on_latin_text(spark):
-    import re
+def test_normalize_key_on_compatibility_characters(spark):
+    vals = ["Élodie Ñúñez Grüße", "Œuvre & Æther", "ḾḺḉ №5 ™ ①", "Ångström ½ ¾", "ŉ ſ ǅ", "각나 한국 a", "\U0002F800x\U0002FA1D"]
+    want = ["elodienunezgrue", "uvrether", "mlcno5tm1", "angstrom1234", "nsdz", "a", "x"]
+    assert run(spark, S.normalize_key, vals) == want
 
-    def py(v):
-        t = unicodedata.normalize("NFKD", v.strip())
-        t = "".join(c for c in t if not unicodedata.combining(c)).lower()
-        return re.sub(r"[^a-z0-9]+", "", t)
 
-    vals = ["Élodie Ñúñez Grüße", "Œuvre & Æther", "ḾḺḉ №5 ™ ①", "Ångström ½ ¾", "ŉ ſ ǅ"]
-    assert run(spark, S.normalize_key, vals) == [py(v) for v in vals]
+def test_fold_covers_all_of_unicode(spark):
+    """Every assigned character folds as NFKD without combining marks does, in Spark and in Python."""
+    import sys
+
+    from tallyframe.functions.fold import fold_accents, fold_text
+
+    chars = [chr(c) for c in range(0x20, sys.maxunicode + 1, 1) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFKD", chr(c)) != chr(c)]
+    blocks = ["".join(chars[i:i + 40]) for i in range(0, len(chars), 40 * 7)] + ["각나힣가", "plain", "", "é…½™x…"]
+    want = ["".join(c for c in unicodedata.normalize("NFKD", b) if not unicodedata.combining(c)) for b in blocks]
+    assert [fold_text(b) for b in blocks] == want
+    assert run(spark, fold_accents, blocks) == want
+
+
+def test_fold_cost_of_one_special_character(spark):
+    """A text with one multi-character fold costs about as much as one without."""
+    import time
+
+    from tallyframe.functions.fold import fold_accents
+
+    def seconds(extra):
+        df = spark.range(3000).select(F.concat(F.repeat(F.lit("some words of a long text "), 200), F.lit(extra)).alias("t"))
+        best = 1e9
+        for _ in range(3):
+            t0 = time.perf_counter()
+            df.select(F.sum(F.length(fold_accents(F.col("t"))))).collect()
+            best = min(best, time.perf_counter() - t0)
+        return best
+
+    plain = seconds(".")
+    assert seconds("…") < 4 * plain + 0.5  # 1,153 replacements a text made it ten times as dear
 
 
 def test_normalize_area_code(spark):
@@ -56,6 +82,22 @@ def test_canonical_label(spark):
     assert run(spark, S.canonical_label, vals) == ["LE GALL", "HERVE DUPRE", "", "", "DUPONT", "STRASSE"]
 
 
+def test_ratio_is_exact_and_does_not_overflow(spark):
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(1)
+    rows = [(rng.randrange(1, 10 ** e), rng.randrange(1, 10 ** e)) for e in (4, 9, 12, 15, 18) for _ in range(40)]
+    rows = [(min(a, b), max(a, b)) for a, b in rows]
+    out = spark.createDataFrame(rows, "n long, d long").select("n", "d", S.micro_ratio("n", "d").alias("m")).collect()
+    assert all(r.m == int(Fraction(2 * r.n * 10 ** 6 + r.d, 2 * r.d)) for r in out)
+
+
+def test_ratio_text_beyond_decimals(spark):
+    got = run(spark, S.parse_ratio_fr, ["1e20", "1e22", "12345678901234567890123"])
+    assert got == pytest.approx([1e18, 1e20, 1.2345678901234568e20])
+
+
 def test_safe_ratio_and_storage(spark):
     df = spark.createDataFrame([(1, 3, 0.123455), (2, 0, 12.5), (None, 5, 0.1)], "n long, d long, s double")
     out = df.select(S.safe_ratio("n", "d").alias("r"), S.to_storage_share("s").alias("st")).collect()
