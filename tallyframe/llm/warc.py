@@ -133,7 +133,8 @@ def _inflate(piece: bytes) -> tuple[str, bytes]:
 class _Joiner:
     """Takes candidates in file order; gives records and keeps what can't be decided here."""
 
-    def __init__(self):
+    def __init__(self, payload: bool = True):
+        self.payload = payload
         self.open: list[bytes] | None = None
         self.records: list[tuple] = []
         self.stray: list[tuple[int, bytes]] = []  # (place, piece) before the first sure member of a range
@@ -166,7 +167,8 @@ class _Joiner:
     def _keep(self, raw: bytes) -> None:
         self.sure = True
         if raw:  # not the empty member behind a long one
-            self.records.append(_parse(raw))
+            r = _parse(raw)
+            self.records.append(r if self.payload else (*r[:4], None, *r[5:]))
 
 
 _PIECE = RECORD + ", kind string, file string, start long, place long, piece binary"
@@ -179,7 +181,7 @@ def _frame(records: list[tuple], pieces: list[tuple] = ()) -> pd.DataFrame:
     return f.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes", "start", "place")})
 
 
-def _scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(it: Iterator[pd.DataFrame], payload: bool) -> Iterator[pd.DataFrame]:
     at, joiner, n = None, None, 0
 
     def left() -> list[tuple]:
@@ -195,7 +197,7 @@ def _scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if joiner is not None:
                     records += joiner.records
                     pieces += left()
-                at, joiner, n = (file, start), _Joiner(), 0
+                at, joiner, n = (file, start), _Joiner(payload), 0
             n += 1
             if n == 1 and start == 0 and value == b"":
                 continue  # what stands before the first magic of a file
@@ -208,22 +210,23 @@ def _scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _frame(joiner.records, left())
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """RECORD columns of every record under ``path``."""
+def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """RECORD columns of every record under ``path``; without ``payload`` that column is null (its
+    digest and length are checked all the same)."""
     lines = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
                      F.col("value").cast("binary").alias("value")))
-    found = materialize(lines.mapInPandas(_scan, _PIECE), "warc-scan")
+    found = materialize(lines.mapInPandas(lambda it: _scan(it, payload), _PIECE), "warc-scan")
     names = [c.split()[0] for c in RECORD.split(", ")]
     whole = found.where("kind = 'record'").select(*names)
     split = (found.where("kind <> 'record'").select("file", "start", "place", "piece")
-             .groupBy("file").applyInPandas(_stitch, RECORD))
+             .groupBy("file").applyInPandas(lambda pdf: _stitch(pdf, payload), RECORD))
     return whole.union(split)
 
 
-def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
+def _stitch(pdf: pd.DataFrame, payload: bool) -> pd.DataFrame:
     """Members cut by the end of a range: the open piece, then the strays of the next ranges."""
-    joiner = _Joiner()
+    joiner = _Joiner(payload)
     for place, piece in pdf.sort_values(["start", "place"])[["place", "piece"]].itertuples(index=False):
         joiner.take(place, piece, False)
     if joiner.open is not None:
@@ -235,7 +238,7 @@ def op6(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Writes the archives, reads them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     path = scratch_path(spark, "warc")
     write(pages.select("page_id", "url", "html"), path)
-    return read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    return read(spark, path, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 ORACLE = """
