@@ -52,11 +52,12 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, offset=0,
 def assign_keys(current: DataFrame, incoming: DataFrame, nk: Sequence[str], id_col: str) -> DataFrame:
     """L1 get-or-create: new natural keys (null-safe) get ids after max(current id).
 
-    Returns the next state of the dimension (current rows + new members).  The current
-    state is evaluated once, as a checkpoint.
+    Returns the next state of the dimension (current rows + new members); other columns of
+    the dimension that `incoming` has come along.  The current state is evaluated once, as a checkpoint.
     """
     current = cut_lineage(current)
-    inc = incoming.select(*nk).distinct()
+    more = [c for c in current.columns if c in incoming.columns and c not in nk and c != id_col]
+    inc = incoming.select(*nk).distinct() if not more else incoming.select(*nk, *more).dropDuplicates(list(nk))
     new = inc.join(current, _nk_cond(inc, current, nk), "left_anti")
     max_id = current.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
     new_ids = dense_ids(new, nk, id_col, offset=int(max_id))

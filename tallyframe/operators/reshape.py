@@ -79,22 +79,19 @@ def pivot_matrix(df: DataFrame, row: str, col: str, val: str, col_values: Sequen
                  row_order: DataFrame | None = None) -> DataFrame:
     """Rows x explicit columns matrix; optional driving row list (missing -> null row).
 
-    The (row, col) pair must be unique upstream; `max` of one value is that value.
+    A (row, col) pair that occurs twice is an error: the aggregate checks it while it runs, so
+    it costs no extra pass.
     """
-    m = df.groupBy(row).pivot(col, list(col_values)).agg(F.max(val))
+    one = F.when(F.count(F.lit(1)) <= 1, F.max(val)).otherwise(
+        F.raise_error(F.concat(F.lit(f"more than one row for a cell of {row} x {col}: "), F.max(F.col(row)).cast("string"))))
+    cells = df.groupBy(row, col).agg(one.alias("__cell"))
+    m = cells.groupBy(row).pivot(col, list(col_values)).agg(F.max("__cell"))
     m = m.toDF(row, *[str(v) for v in col_values])
     if row_order is not None:
         m = row_order.select(row).join(m, row, "left")
     return m
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when a key repeats (one distributed aggregation; returns at most one row)."""
-    dup = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate key {keys}: {dup[0].asDict()}")
-
-
 def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union into canonical columns by name."""
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -22,9 +22,10 @@ def turnout_rows(results: DataFrame) -> DataFrame:
     return first.select("year", "dept_code", "dept_name", "turnout_rate")
 
 
-def turnout_trend(results: DataFrame) -> DataFrame:
-    """Turnout % per dept over years, labelled `code - name`."""
-    t = turnout_rows(results)
+def turnout_trend(results: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """Turnout % per dept over years, labelled `code - name`, for the driving areas."""
+    t = J.reindex(order if order is not None else dept_order(results), turnout_rows(results), "dept_code",
+                  drop_missing=["year"])
     return t.select("dept_code", "year", S.to_pct("turnout_rate").alias("turnout_pct"),
                     F.concat_ws(" - ", "dept_code", "dept_name").alias("label"))
 
@@ -47,10 +48,11 @@ def leader_matrix(results: DataFrame, years: Sequence[int], order: DataFrame | N
                           row_order=order if order is not None else dept_order(results))
 
 
-def indicator_trend(values: DataFrame, code: str) -> DataFrame:
-    """D3: one indicator by dept over years."""
-    return (values.where(F.col("indicator_code") == code)
+def indicator_trend(values: DataFrame, code: str, order: DataFrame) -> DataFrame:
+    """D3: one indicator over years for the driving areas (areas without turnout don't appear)."""
+    rows = (values.where(F.col("indicator_code") == code)
             .select(S.geo_code("insee_code").alias("dept_code"), "year", "value"))
+    return J.reindex(order, rows, "dept_code", drop_missing=["year"])
 
 
 def latest_indicator(values: DataFrame, code: str, order: DataFrame) -> DataFrame:

@@ -435,8 +435,9 @@ from {_AREAS_YEARS.replace('totals', 'results')}
 left join (select *, row_number() over (partition by yr, geo order by micro_share desc, opt asc) rk from results) l
 on l.rk = 1 and l.geo = a.geo and l.yr = y.yr"""
 
-ORACLE["indicator_trend"] = with_(IND, aligned(YEARS)) + """
-select substr(insee_code, 1, 2) dept_code, "year", value from aligned where indicator_code = 'unemployment_rate'"""
+ORACLE["indicator_trend"] = with_(R3, IND, aligned(YEARS)) + """
+select substr(insee_code, 1, 2) dept_code, "year", value from aligned where indicator_code = 'unemployment_rate'
+  and substr(insee_code, 1, 2) in (select dept_code from results)"""
 
 ORACLE["latest_snapshot"] = with_(R3, IND) + """
 select o.dept_code, v.year, v.value from (select distinct dept_code from results) o

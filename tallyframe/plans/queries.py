@@ -711,7 +711,7 @@ def _aligned_indicators(spark, d):
 @query("indicator_trend")
 def indicator_trend(spark, d):
     """D3: one indicator by area over years."""
-    t = D.indicator_trend(_aligned_indicators(spark, d), "unemployment_rate")
+    t = D.indicator_trend(_aligned_indicators(spark, d), "unemployment_rate", D.dept_order(_canonical_results(spark, d)))
     return t.select("dept_code", F.col("year").cast("bigint").alias("year"),
                     F.col("value").cast("decimal(18,2)").alias("value"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql.types import (DateType, DecimalType, DoubleType, IntegerType, LongType,
                                ShortType, StringType, StructField, StructType)
 
@@ -83,13 +85,28 @@ INDICATOR_VALUE = StructType([
     StructField("source_file", StringType()),
 ])
 
-# name -> (schema, primary key, partition column or None)
+@dataclass(frozen=True)
+class Table:
+    """A warehouse table: its schema, keys and, for facts, the partition column."""
+
+    schema: StructType
+    pk: tuple[str, ...]
+    unique: tuple[tuple[str, ...], ...] = ()  # natural keys (null equals null)
+    fks: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()  # columns -> table, its columns
+    partition: str | None = None
+
+
 WAREHOUSE = {
-    "geo_department": (GEO_DEPARTMENT, ["dept_code"], None),
-    "geo_commune": (GEO_COMMUNE, ["insee_code"], None),
-    "election": (ELECTION, ["election_id"], None),
-    "candidate": (CANDIDATE, ["candidate_id"], None),
-    "election_result": (ELECTION_RESULT, ["election_id", "insee_code", "candidate_id"], "election_id"),
-    "indicator": (INDICATOR, ["indicator_id"], None),
-    "indicator_value": (INDICATOR_VALUE, ["indicator_id", "insee_code", "year"], "year"),
+    "geo_department": Table(GEO_DEPARTMENT, ("dept_code",)),
+    "geo_commune": Table(GEO_COMMUNE, ("insee_code",), fks=((("dept_code",), "geo_department", ("dept_code",)),)),
+    "election": Table(ELECTION, ("election_id",), unique=(("election_type", "election_date", "round", "scope"),)),
+    "candidate": Table(CANDIDATE, ("candidate_id",), unique=(("candidate_name", "party_code"),)),
+    "election_result": Table(
+        ELECTION_RESULT, ("election_id", "insee_code", "candidate_id"), partition="election_id",
+        fks=((("election_id",), "election", ("election_id",)), (("insee_code",), "geo_commune", ("insee_code",)),
+             (("candidate_id",), "candidate", ("candidate_id",)))),
+    "indicator": Table(INDICATOR, ("indicator_id",), unique=(("indicator_code",),)),
+    "indicator_value": Table(
+        INDICATOR_VALUE, ("indicator_id", "insee_code", "year"), partition="year",
+        fks=((("indicator_id",), "indicator", ("indicator_id",)), (("insee_code",), "geo_commune", ("insee_code",)))),
 }

@@ -6,9 +6,10 @@ Everything is read as strings (no schema inference) and typed later with
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,45 +17,74 @@ from .. import config as C
 from .schema import normalize_name, require_columns, trim_headers
 
 
-def _read(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame:
-    if fmt == "parquet":
-        return spark.read.parquet(path)
-    reader = spark.read.option("header", True).option("inferSchema", False)
+def landed_headers(names: list[str | None]) -> list[str]:
+    """H1: unique column names of a landed header row: stripped; blank ones and repeats become
+    ``Unnamed: <position>``, which no role, pair or measure takes (H2: the first one counts)."""
+    out: list[str] = []
+    for i, name in enumerate(names):
+        name = (name or "").strip()
+        if name and name in out:
+            warnings.warn(f"column {name!r} occurs again at position {i}; the first one is used")
+        out.append(f"Unnamed: {i}" if not name or name in out else name)
+    return out
+
+
+def source_order(df: DataFrame) -> DataFrame:
+    """Adds ``ordinal``: (file, start of the split, position in it), the order of rows in the files.
+
+    (A position number alone follows how splits are packed into tasks, largest files first.)
+    """
+    return df.withColumn("ordinal", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at")))
+
+
+def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
+    """A landed CSV file as strings; the header row is read as data, so that Spark renames nothing."""
+    reader = spark.read.option("inferSchema", False)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    first = reader.option("header", False).csv(path).first()
+    names = landed_headers(list(first) if first is not None else [])
+    schema = StructType([StructField(n, StringType()) for n in names])
+    if not names:
+        return spark.createDataFrame([], schema)
+    return reader.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
 
 
 def read_wide_results(spark: SparkSession, paths_by_year: Mapping[int, str], fmt: str = "csv",
                       **options) -> dict[int, DataFrame]:
     """One landed sheet per year (ascending); year comes from the map, not the data."""
-    return {year: trim_headers(_read(spark, paths_by_year[year], fmt, **options))
-            for year in sorted(paths_by_year)}
+    def read(path: str) -> DataFrame:
+        return trim_headers(spark.read.parquet(path)) if fmt == "parquet" else _csv(spark, path, **options)
+
+    return {year: read(paths_by_year[year]) for year in sorted(paths_by_year)}
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Whole lines of a delimited text file, decoded with `encoding`, splittable.
+    """Whole lines of a delimited text file, decoded with `encoding`, splittable, in source order."""
+    lines = source_order(spark.read.text(path))
+    return lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("line"), "ordinal")
 
-    (The plain text source ignores `encoding`; a CSV read with a delimiter that
-    never occurs and no quoting keeps each line whole.)
-    """
-    schema = StructType([StructField("line", StringType())])
-    return (spark.read.schema(schema).option("sep", "\u0001").option("quote", "")
-            .option("escape", "").option("encoding", encoding).option("header", False).csv(path)
-            .withColumn("ordinal", F.monotonically_increasing_id()))
+
+def split_line(line: Column, sep: str = ";") -> Column:
+    """Tokens of a delimited line; a token in double quotes may hold the separator and doubled quotes."""
+    outside = sep + '(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a separator with an even number of quotes behind it
+    quoted = F.transform(F.split(line, outside, -1), lambda t: F.when(
+        t.rlike('^\\s*".*"\\s*$'), F.replace(F.regexp_extract(t, '^\\s*"(.*)"\\s*$', 1), F.lit('""'), F.lit('"'))).otherwise(t))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, sep, -1))
 
 
 def station_header(lines: DataFrame, sep: str = ";") -> list[str]:
-    """Header tokens of a station file.
+    """Header tokens of a station file: the first line of the first file.
 
-    Reads one row: the first row of the first split, which starts at offset 0 of a
-    file (every file of a station dataset carries the same header; header lines
-    are dropped from every file by ``parse_station_lines``).  No sort.
+    (Every file of a station dataset carries the same header; header lines are
+    dropped from every file by ``parse_station_lines``.)
     """
-    first = lines.select("line").first()
-    if first is None or first[0] is None:
-        return []
-    return first[0].split(sep)
+    first = lines.where(F.col("ordinal.start") == 0).select(split_line(F.col("line"), sep).alias("t"), "ordinal") \
+        .agg(F.min_by("t", "ordinal")).first()[0] if isinstance(lines.schema["ordinal"].dataType, StructType) \
+        else lines.agg(F.min_by(split_line(F.col("line"), sep), "ordinal")).first()[0]
+    return [t.strip() for t in first or []]
 
 
 def parse_station_lines(lines: DataFrame, header: list[str], sep: str = ";",
@@ -70,9 +100,9 @@ def parse_station_lines(lines: DataFrame, header: list[str], sep: str = ";",
     for i, n in enumerate(norm):  # the station reader keeps the last duplicate header
         idx[n] = i
     start = idx["npanneau"]
-    toks = F.split(F.col("line"), sep, -1)
-    parsed = lines.where(F.col("line") != sep.join(header)).select(
-        "ordinal", toks.alias("tokens"))
+    names = F.array(*[F.lit(h.strip()) for h in header])
+    parsed = (lines.select("ordinal", split_line(F.col("line"), sep).alias("tokens"))
+              .where(F.transform("tokens", lambda t: F.trim(t)) != names))
 
     def at(name):
         return F.element_at(F.col("tokens"), idx[name] + 1)
@@ -101,8 +131,7 @@ def read_station_file(spark: SparkSession, path: str, encoding: str = "ISO-8859-
 def read_indicator_file(spark: SparkSession, path: str, sep: str = ";",
                         encoding: str = "ISO-8859-1") -> DataFrame:
     """S3: wide indicator CSV, all strings, plus a source-order `ordinal` (file, then offset)."""
-    df = trim_headers(_read(spark, path, "csv", sep=sep, encoding=encoding))
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    return source_order(_csv(spark, path, sep=sep, encoding=encoding))
 
 
 def spec_tables(spark: SparkSession) -> dict[str, DataFrame]:

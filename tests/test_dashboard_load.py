@@ -1,5 +1,6 @@
 """FX7 (dashboard datasets) and FX8 (keyed loads, idempotence)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyframe import schema as SC
@@ -72,6 +73,39 @@ def test_dense_ids_are_consecutive(spark):
     assert [i for _, i in pairs] == list(range(11, 5011))
 
 
+def test_dense_ids_with_other_columns_and_without_exchange_reuse(spark):
+    """Range bounds are sampled: rows and counts must come from one evaluation."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(1_000_000).select(F.xxhash64("id").alias("k"), F.concat(F.lit("name "), F.col("id")).alias("n"))
+        out = L.dense_ids(df, ["k"], "id", partitions=8)
+        n, distinct, lo, hi = out.agg(F.count("id"), F.count_distinct("id"), F.min("id"), F.max("id")).first()
+        assert (n, distinct, lo, hi) == (1_000_000, 1_000_000, 1, 1_000_000)
+        cur = L.assign_keys(df.where("false").select("k", F.lit(1).cast("bigint").alias("id")), df, ["k"], "id")
+        assert cur.agg(F.count_distinct("id"), F.max("id")).first() == (1_000_000, 1_000_000)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_matrix_with_a_cell_twice_is_an_error(spark):
+    from tallyframe.operators import reshape as R
+
+    df = spark.createDataFrame([("75", 2012, 1), ("75", 2012, 2)], "d string, y int, v int")
+    with pytest.raises(Exception, match="more than one row"):
+        R.pivot_matrix(df, "d", "y", "v", [2012]).collect()
+
+
+def test_bucketed_lags_equal_the_plain_window(spark):
+    from tallyframe.operators import rank as W
+
+    rows = [(k, t, t * 10) for k in ("a", None) for t in (0, 1, 2, 4, 9, 10, 30, 31, 32, 33)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    for n in (1, 2, 3):
+        want = sorted(map(str, W.with_history(df, ["k"], "t", ["v"], n=n).collect()))
+        got = W.with_history(df, ["k"], "t", ["v"], n=n, bucket=F.floor(F.col("t") / 3))
+        assert sorted(map(str, got.collect())) == want
+
+
 def test_constraints(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k long, v string")
     assert [tuple(r) for r in L.pk_violations(df, ["k"]).collect()] == [(1, 2)]

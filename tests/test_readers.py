@@ -52,3 +52,52 @@ def test_dashboard_and_export_sinks(spark, tmp_path):
     assert [(r.dept_code, r.year) for r in back] == [("75", 2007), ("75", 2012), ("92", 2017)]
     export_clean(df, str(tmp_path / "csv"), partition_by=["dept_code"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
+
+
+def test_quoted_station_rows(spark, tmp_path):
+    from test_election import STATION_TEXT
+
+    lines = STATION_TEXT.split("\n")
+    plain = tmp_path / "plain.txt"
+    plain.write_bytes(STATION_TEXT.encode("latin-1"))
+    quoted = [";".join(f'"{t}"' if i % 2 == 0 else t for i, t in enumerate(x.split(";"))) if x and k else x
+              for k, x in enumerate(lines)]
+    path = tmp_path / "quoted.txt"
+    path.write_bytes("\n".join(quoted).encode("latin-1"))
+    want = sorted(map(str, (r.asDict() for r in readers.read_station_file(spark, str(plain)).drop("ordinal").collect())))
+    got = sorted(map(str, (r.asDict() for r in readers.read_station_file(spark, str(path)).drop("ordinal").collect())))
+    assert got == want and len(got) > 0
+
+
+def test_split_line_keeps_separators_inside_quotes(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([('a;"b;c";"d ""e""";;',), ("x;y",), ("",)], "line string")
+    got = [r[0] for r in df.select(readers.split_line(F.col("line"))).collect()]
+    assert got == [["a", "b;c", 'd "e"', "", ""], ["x", "y"], [""]]
+
+
+def test_blank_and_repeated_headers_are_no_candidates(spark, tmp_path):
+    import pytest
+
+    p = tmp_path / "2022.csv"
+    p.write_text("Département;Participation;Exprimés;Blancs;Blancs;DUPONT;;MARTIN;DUPONT; \n"
+                 "Paris;80;1000;1;2;60;5;40;7;9\n")
+    with pytest.warns(UserWarning, match="occurs again"):
+        sheets = readers.read_wide_results(spark, {2022: str(p)}, sep=";")
+    got = {r.candidate_name: r.votes for r in EL.collect_results(spark, sheets).collect()}
+    assert got == {"DUPONT": 600, "MARTIN": 400}
+
+
+def test_ordinal_follows_files_and_lines(spark, tmp_path):
+    d = tmp_path / "many"
+    d.mkdir()
+    (d / "a.txt").write_text("\n".join(f"a{i}" for i in range(50)))
+    (d / "b.txt").write_text("\n".join(f"b{i:05d}" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        lines = [r.line for r in readers.read_lines(spark, str(d)).orderBy("ordinal").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert lines == [f"a{i}" for i in range(50)] + [f"b{i:05d}" for i in range(20000)]

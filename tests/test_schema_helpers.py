@@ -45,3 +45,12 @@ def test_job_config_from_strings():
     cfg = JobConfig.from_strings(" 75, 92,,", "no")
     assert cfg.target_codes == ("75", "92") and cfg.align_to_election_years is False
     assert JobConfig.from_strings(align="TRUE").align_to_election_years is True
+
+
+def test_job_config_rejects_unknown_text():
+    import pytest
+
+    with pytest.raises(ValueError):
+        JobConfig.from_strings(align="maybe")
+    with pytest.raises(ValueError):
+        JobConfig.from_strings(codes=" , ")
