@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -32,12 +32,6 @@ def rollup_headers(df: DataFrame, unit_key: Sequence[str], geo: str, ordinal: st
     return per_unit.groupBy(geo).agg(*outs)
 
 
-def rollup_measures(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
-    """A2: sum of a measure (null -> 0) over all rows, duplicates included."""
-    return df.groupBy(*keys).agg(
-        F.sum(F.coalesce(F.col(value), F.lit(0))).cast("bigint").alias(out or value))
-
-
 def collapse_results(df: DataFrame, keys: Sequence[str] = ("year", "dept_code", "candidate_name"),
                      name: str = "dept_name") -> DataFrame:
     """A3: one row per key: max of counts/ratios, votes = sum (null if all null), name = min.
@@ -79,11 +73,30 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Descriptive statistics per group (exact median via percentile)."""
+    """Descriptive statistics per group, with the exact median.
+
+    Values are counted per (group, value) first; the median is found by a running count over
+    these rows, so that no aggregation buffer holds a group's values.
+    """
+    keys = list(keys)
+    counts = (df.select(*keys, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
+              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy(*keys)
+    ranked = counts.select("*", F.sum("__n").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)).alias("__upto"),
+                           F.sum("__n").over(w).alias("__all"))
+
+    def at(position: Column) -> Column:  # the value at a 0-based position of the sorted values
+        return F.max(F.when((F.col("__upto") > position) & (F.col("__upto") - F.col("__n") <= position), F.col("__v")))
+
+    low, high = F.floor((F.col("__all") - 1) / 2), F.ceil((F.col("__all") - 1) / 2)
+    medians = ranked.groupBy(*keys).agg(((at(low) + at(high)) / 2.0).alias("median"))
     v = F.col(value)
-    return df.groupBy(*keys).agg(
+    stats = df.groupBy(*keys).agg(
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
-        F.min(v).alias("min"), F.percentile(v, 0.5).alias("median"), F.max(v).alias("max"))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    right = medians.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "median")
+    return stats.join(right, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left") \
+        .select(*keys, "n", "mean", "stddev", "min", "median", "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int, lo: float, hi: float,
@@ -101,7 +114,3 @@ def correlate(df: DataFrame, xs: Sequence[str], y: str, by: Sequence[str] = ())
     """Pearson correlation of each x with y per group (one pass, decomposable)."""
     aggs = [F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"corr_{x}") for x in xs]
     return df.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("n"))
-
-
-def count_if(cond: Column, name: str) -> Column:
-    return F.count_if(cond).alias(name)

@@ -87,6 +87,11 @@ def pk_violations(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def unique_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Natural keys (null equals null) that occur more than once."""
+    return pk_violations(df, key)
+
+
 def null_violations(df: DataFrame, not_null: Sequence[str]) -> DataFrame:
     """One row with the null count of every NOT NULL column."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null])

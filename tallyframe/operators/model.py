@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .rank import with_history
 
 
@@ -18,6 +19,12 @@ def build_features(results: DataFrame, indicators: DataFrame, geo: str, time_col
     return results.join(wide, [geo, time_col], "left")
 
 
+def training_set(features: DataFrame, keys: Sequence[str], time_col: str, target: str, lags: int = 1,
+                 bucket=None) -> DataFrame:
+    """M1: features with the target's own history (lag 1..n and change) per key."""
+    return with_history(features, keys, time_col, [target], n=lags, bucket=bucket)
+
+
 def temporal_split(df: DataFrame, time_col: str, test_period) -> tuple[DataFrame, DataFrame]:
     """M2: train on periods before `test_period`, test on `test_period`."""
     return df.where(F.col(time_col) < test_period), df.where(F.col(time_col) == test_period)
@@ -30,6 +37,13 @@ def fit_regressors(train: DataFrame, features: Sequence[str], label: str, kinds=
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
+    cast_train = cut_lineage(train.select(*[F.col(c).cast("double").alias(c) for c in features],
+                              F.col(label).cast("double").alias(label)))  # imputer and fits read it
+    # a series without a single value so far can't be imputed and says nothing
+    filled = cast_train.agg(*[F.count(c) for c in features]).first()
+    features = [c for c, n in zip(features, filled) if n]
+    if not features:
+        raise ValueError("no feature has a value in the training rows")
     imputed = [f"{f}__imp" for f in features]
     prep = [Imputer(inputCols=list(features), outputCols=imputed, strategy="median"),
             VectorAssembler(inputCols=imputed, outputCol="features", handleInvalid="keep")]
@@ -38,8 +52,6 @@ def fit_regressors(train: DataFrame, features: Sequence[str], label: str, kinds=
         "forest": RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=20, seed=seed),
         "gbt": GBTRegressor(featuresCol="features", labelCol=label, maxIter=20, seed=seed),
     }
-    cast_train = train.select(*[F.col(c).cast("double").alias(c) for c in features],
-                              F.col(label).cast("double").alias(label))
     return {k: Pipeline(stages=prep + [estimators[k]]).fit(cast_train) for k in kinds}
 
 
@@ -95,6 +107,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, time_col:
     from functools import reduce
 
     frames = []
+    df = cut_lineage(df)  # every fit and every score reads the same rows
     for p in test_periods:
         train, test = temporal_split(df, time_col, p)
         models = fit_regressors(train, features, label, kinds)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
+
 
 def quality_report(df: DataFrame, key: Sequence[str], not_null: Sequence[str],
                    bounds: Mapping[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
@@ -33,11 +35,31 @@ def quality_report(df: DataFrame, key: Sequence[str], not_null: Sequence[str],
         .select("*", "__dup.dup_rows", "__dup.dup_keys").drop("__dup")
 
 
-def completeness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Share of non-null cells per column, as integer millionths."""
-    return df.agg(*[
-        ((F.count(F.col(c)) * 2000000 + F.count(F.lit(1))) / (2 * F.count(F.lit(1)))).cast("bigint")
-        .alias(f"micro_filled_{c}") for c in cols])
+def completeness(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Q1: share of non-null cells per column, as integer millionths (null without rows)."""
+    return df.groupBy(*by).agg(*[S.micro_ratio(F.count(F.col(c)), F.count(F.lit(1))).alias(f"micro_filled_{c}") for c in cols])
+
+
+def coherence(df: DataFrame, unit: Sequence[str], votes: str, chain: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Q1: rows that break votes <= chain[0] <= chain[1] ..., and units whose votes don't add up to chain[0].
+
+    ``unit`` identifies the rows that share their counts (an area's election); one aggregation per
+    unit feeds both, so the input is read once.
+    """
+    ordered = [votes, *chain]
+    broken = [F.count_if(F.col(a) > F.col(b)).alias(f"{a}_over_{b}") for a, b in zip(ordered, ordered[1:])]
+    names = [f"{a}_over_{b}" for a, b in zip(ordered, ordered[1:])]
+    units = df.groupBy(*unit).agg(*broken, F.count(F.lit(1)).alias("n_rows"), F.sum(votes).alias("__sum"),
+                                  F.max(chain[0]).alias("__whole"))
+    return units.groupBy(*by).agg(
+        F.sum("n_rows").cast("bigint").alias("n_rows"), *[F.sum(n).cast("bigint").alias(n) for n in names],
+        F.count_if(F.col("__sum") != F.col("__whole")).alias("sum_mismatch"))
+
+
+def traceability(df: DataFrame, lineage: str, by: Sequence[str] = ()) -> DataFrame:
+    """Q1: rows without a lineage label (null or blank)."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"),
+                               F.count_if(S.blank_to_null(lineage).isNull()).alias("n_untraced"))
 
 
 def coverage(df: DataFrame, row_key: str, period: str, expected_periods: Sequence[int],

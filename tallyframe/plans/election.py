@@ -134,24 +134,28 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
     is_group = F.col("panel").isNotNull()
     recs = recs.select(
         *unit, "ordinal", "dept_name", "registered", "votes_cast", "votes_valid",
-        is_group.alias("is_group"),
-        F.when(is_group, S.canonical_label(S.ustrip("last_name"))).alias("candidate_name"),
+        is_group.alias("is_group"), F.when(is_group, F.col("last_name")).alias("written"),
         F.when(is_group, F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0))).alias("votes"))
     if cfg.dedupe_measures:
         # candidate groups only from the first row of each station, like the totals
         firsts = df.groupBy(*unit).agg(F.min("ordinal").alias("ordinal"))
         recs = recs.where(~F.col("is_group")).unionByName(
             recs.where(F.col("is_group")).join(firsts, [*unit, "ordinal"], "left_semi"))
-    # level 1 per (unit, candidate): header records (null candidate) keep the first row's
-    # counts, group records sum their votes; level 2 per (area, candidate) sums them; a
-    # window over the aggregated rows of each area attaches the totals (no join, no
-    # branch, so the input is parsed once)
+    # level 1 per (unit, name as written): header records keep the first row's counts, group
+    # records sum their votes; level 2 per (area, name as written); the names are canonicalized
+    # there, on the few distinct ones, and level 3 sums what has become one name; a window
+    # over the aggregated rows of each area attaches the totals (no join, no branch, so the
+    # input is parsed once)
     counts = ("registered", "votes_cast", "votes_valid")
-    per_unit = recs.groupBy(*unit, "candidate_name").agg(
-        F.max("is_group").alias("is_group"), F.sum("votes").alias("votes"), F.min("ordinal").alias("first"),
+    per_unit = recs.groupBy(*unit, "is_group", "written").agg(
+        F.sum("votes").alias("votes"), F.min("ordinal").alias("first"),
         *[F.min_by(c, "ordinal").alias(c) for c in (*counts, "dept_name")])
-    per_area = per_unit.groupBy("dept_code", "candidate_name").agg(
-        F.max("is_group").alias("is_group"), F.sum("votes").cast("bigint").alias("votes"),
+    per_name = per_unit.groupBy("dept_code", "is_group", "written").agg(
+        F.sum("votes").alias("votes"), F.min("first").alias("first"),
+        *[F.sum(c).alias(c) for c in counts], F.min_by("dept_name", "first").alias("dept_name"))
+    named = per_name.withColumn("candidate_name", F.when(F.col("is_group"), S.canonical_label(S.ustrip("written"))))
+    per_area = named.groupBy("dept_code", "is_group", "candidate_name").agg(
+        F.sum("votes").cast("bigint").alias("votes"),
         *[F.sum(c).cast("bigint").alias(c) for c in counts], F.min_by("dept_name", "first").alias("dept_name"))
     area = Window.partitionBy("dept_code")
     head = ~F.col("is_group")

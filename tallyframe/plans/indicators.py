@@ -23,14 +23,13 @@ def scope_indicator_rows(wide: DataFrame, cfg: JobConfig = JobConfig(), geo_col:
 
 
 def select_series(rows: DataFrame, specs: DataFrame) -> DataFrame:
-    """One equi-join on `variable` against the (fixed, broadcast) spec table.
+    """One equi-join on `variable` against the spec table (Spark broadcasts it by its size).
 
     A spec with a null sub-field matches rows whose sub-field is null; otherwise
     the stripped sub-field must equal it.
     """
-    sp = F.broadcast(specs.select(
-        "indicator_code", F.col("variable").alias("__sv"), F.col("sous_champ").alias("__ssc"),
-        F.col("__spec_order")))
+    sp = specs.select("indicator_code", F.col("variable").alias("__sv"), F.col("sous_champ").alias("__ssc"),
+                      F.col("__spec_order"))
     sc = F.col("sous_champ")
     cond = (F.col("variable") == F.col("__sv")) & (
         (F.col("__ssc").isNull() & sc.isNull())

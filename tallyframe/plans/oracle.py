@@ -248,6 +248,10 @@ from lineitem"""
 ORACLE["turnout_rate"] = with_(BASE, TOTALS) + """
 select yr, geo, (2 * cast_n * 1000000 + eligible) // (2 * eligible) micro_turnout from totals"""
 
+ORACLE["turnout_rate_scaled"] = with_(BASE, TOTALS) + """
+select yr, geo, cast((2 * (cast(cast_n as hugeint) * 1000000 + 1) * 1000000 + (cast(eligible as hugeint) * 1000000 + 7))
+       // (2 * (cast(eligible as hugeint) * 1000000 + 7)) as bigint) micro_turnout from totals"""
+
 ORACLE["abstention_rate"] = with_(BASE, TOTALS) + """
 select yr, geo, 1000000 - (2 * cast_n * 1000000 + eligible) // (2 * eligible) micro_abstention from totals"""
 
@@ -329,6 +333,11 @@ select dept_code, count(votes) n, cast(round(avg(votes) * 1000) as bigint) mean_
        cast(round(quantile_cont(votes, 0.5) * 1000) as bigint) median_milli, max(votes) max_votes
 from results group by dept_code"""
 
+ORACLE["describe_by_area_election"] = with_(R3) + """
+select dept_code, yr, count(votes) n, cast(round(avg(votes) * 1000) as bigint) mean_milli,
+       cast(round(quantile_cont(votes, 0.5) * 1000) as bigint) median_milli, min(votes) min_votes, max(votes) max_votes
+from results group by dept_code, yr"""
+
 ORACLE["histogram"] = with_(R3) + """
 select cast(case when votes < 0 then 0 when votes >= 500 then (case when votes = 500 then 10 else 11 end)
             else floor(votes / 50) + 1 end as bigint) bin, count(*) n
@@ -422,6 +431,9 @@ where dept_code || '000' not in (
 ORACLE["pk_violations"] = """
 select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2 having count(*) > 1"""
 
+ORACLE["unique_violations"] = with_(R3, PARTY) + """
+select candidate_name, party_code, count(*) n from prow group by 1, 2 having count(*) > 1"""
+
 ORACLE["null_violations"] = with_(R3) + """
 select count(*) filter (where votes % 3 = 0) null_votes_in, count(*) filter (where votes % 5 = 0) null_share_in,
        cast(0 as bigint) null_opt from results"""
@@ -460,6 +472,24 @@ select yr, count(*) n_rows, count(*) filter (where micro_share > 100000) share_h
        count(*) filter (where micro_turnout < 400000 or micro_turnout > 800000) turnout_out
 from results group by yr"""
 
+ORACLE["quality_coherence"] = with_(R3) + """
+select yr, cast(count(*) as bigint) n_rows, count(*) filter (where v > valid) votes_over_valid,
+       count(*) filter (where valid > cast_n) valid_over_cast_n, count(*) filter (where cast_n > eligible) cast_n_over_eligible,
+       count(distinct case when s <> valid then geo end) sum_mismatch
+from (select *, sum(v) over (partition by yr, geo) s
+      from (select *, case when votes % 11 = 0 then valid + 1 else votes end v from results) a) b
+group by yr"""
+
+ORACLE["completeness"] = with_(R3) + """
+select yr, (2 * count(*) filter (where votes % 3 <> 0) * 1000000 + count(*)) // (2 * count(*)) micro_filled_votes_in,
+       (2 * count(*) filter (where votes % 5 <> 0) * 1000000 + count(*)) // (2 * count(*)) micro_filled_share_in,
+       1000000::bigint micro_filled_opt
+from results group by yr"""
+
+ORACLE["traceability"] = with_(IND) + """
+select indicator_code, count(*) n_rows, count(*) filter (where insee_code in ('03000', '05000')) n_untraced
+from vals group by 1"""
+
 ORACLE["coverage_gaps"] = with_(IND) + f"""
 select g.indicator_code, g.insee_code, cast(g.year as bigint) as year
 from (select indicator_code, insee_code, unnest({YEARS}) as year
@@ -474,6 +504,30 @@ ORACLE["feature_join"] = with_(R3, IND, aligned(YEARS), _PIV) + "select r.yr, r.
     ", ".join(f"p.{s[0]}" for s in C.INDICATOR_SPECS) + \
     " from results r left join piv p on r.dept_code || '000' = p.insee_code and r.yr = p.year"
 
+_CODES = [s[0] for s in C.INDICATOR_SPECS]
+ORACLE["training_set"] = with_(R3, IND, aligned(YEARS), _PIV) + f"""
+select r.yr, r.geo, r.opt, r.micro_share, r.l1 micro_share_lag1, r.l2 micro_share_lag2, r.micro_share - r.l1 micro_share_change,
+       {", ".join(f"p.{c}" for c in _CODES)}
+from (select *, lag(micro_share) over w l1, lag(micro_share, 2) over w l2 from results
+      window w as (partition by geo, opt order by yr)) r
+left join piv p on r.dept_code || '000' = p.insee_code and r.yr = p.year"""
+
+ORACLE["indicator_correlations"] = with_(R3, IND, aligned(YEARS)) + """
+select opt, indicator_code, count(*) n,
+       cast(round(case when isfinite(c) then c end * 10000) as bigint) corr_e4
+from (select opt, indicator_code, count(*) n0, corr(cast(value as double), micro_share / 1e6) c, unnest(range(count(*))) u
+      from results r join aligned a on r.dept_code || '000' = a.insee_code and r.yr = a.year group by 1, 2) x
+group by opt, indicator_code, c"""
+
+ORACLE["fit_regressors"] = with_(R3, LAGP) + """
+select yr, geo, opt, votes, prediction lag_votes,
+       cast(round((select regr_intercept(votes, prediction) + 0 from fit) * 100
+                  + (select regr_slope(votes, prediction) from fit) * prediction * 100) as bigint) prediction_centi
+from lagp where prediction is not null and yr = (select max(year(o_orderdate)) from orders)"""
+ORACLE["fit_regressors"] = ORACLE["fit_regressors"].replace("\nselect yr, geo, opt, votes, prediction", """,
+fit as (select votes, prediction from lagp where prediction is not null and yr < (select max(year(o_orderdate)) from orders))
+select yr, geo, opt, votes, prediction""", 1)
+
 ORACLE["temporal_split"] = with_(R3) + """
 select yr, geo, opt, case when yr < (select max(year(o_orderdate)) from orders) then 'train' else 'test' end split
 from results"""

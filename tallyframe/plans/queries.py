@@ -8,6 +8,7 @@ compared as exact integer millionths.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +26,7 @@ from ..operators import rank as W
 from ..operators import reshape as R
 from ..sources import readers
 from ..sources.schema import discover_periods
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from . import dashboard as D
 from . import election as EL
 from . import indicators as IN
@@ -81,11 +82,7 @@ def leader_per_group(spark, d):
 def scan_union_by_year(spark, d):
     """S1 + R6: orders landed once as one Parquet folder per year (in the shared checkpoint
     folder), then read back file by file with the year taken from the file map, unionByName."""
-    import uuid
-
-    from ..session import checkpoint_dir
-
-    root = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    root = _landed(spark, "orders")
     (P.table(spark, d, "orders").select(F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
      .write.partitionBy("yr").parquet(root))
     sheets = readers.read_wide_results(spark, {y: f"{root}/yr={y}" for y in P.years(spark, d)}, fmt="parquet")
@@ -96,6 +93,10 @@ def scan_union_by_year(spark, d):
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total_price"))
 
 
+def _landed(spark, what):
+    return f"{checkpoint_dir(spark).rstrip('/')}/landed-{what}-{uuid.uuid4().hex}"
+
+
 def _stations(spark, d):
     lines = P.station_lines(spark, d)
     return readers.parse_station_lines(lines, P.STATION_HEADER)
@@ -103,8 +104,11 @@ def _stations(spark, d):
 
 @query("scan_station_rows")
 def scan_station_rows(spark, d):
-    """Ragged rows -> prefix fields + token count."""
-    s = _stations(spark, d)
+    """Station files, landed once in the shared folder, read back -> prefix fields + token count."""
+    path = _landed(spark, "stations")
+    (P.station_lines(spark, d).select(F.col("line").alias(";".join(P.STATION_HEADER)))
+     .write.option("header", True).option("sep", "\u0001").option("quote", "").option("encoding", "ISO-8859-1").csv(path))
+    s = readers.read_station_file(spark, path)
     return s.select(S.normalize_area_code("dept_raw").alias("dept_code"),
                     S.ustrip("commune_raw").alias("commune"), S.ustrip("bureau_raw").alias("bureau"),
                     S.parse_int_fr("registered_raw").alias("registered"),
@@ -161,8 +165,12 @@ def share_of_total(spark, d):
 
 @query("scan_indicator_filter")
 def scan_indicator_filter(spark, d):
-    """S3 + F2 + P1: indicator rows, area code normalized, target scope kept."""
-    w = IN.scope_indicator_rows(P.indicator_sheet(spark, d), SCOPED)
+    """S3 + F2 + P1: indicator file, landed once, read back, area code normalized, target scope kept."""
+    path = _landed(spark, "indicators")
+    (P.indicator_sheet(spark, d).drop("ordinal").write.option("header", True).option("sep", ";")
+     .option("encoding", "ISO-8859-1").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    w = IN.scope_indicator_rows(readers.read_indicator_file(spark, path), SCOPED)
     return _cells(w.drop("ordinal"), ["codgeo", "variable", "sous_champ"], "period", "raw")
 
 
@@ -320,6 +328,14 @@ def turnout_rate(spark, d):
     return t.select("yr", "geo", S.to_micro(S.turnout("cast_n", "eligible")).alias("micro_turnout"))
 
 
+@query("turnout_rate_scaled")
+def turnout_rate_scaled(spark, d):
+    """F9 on counts a million times as large: exact where doubles and 64-bit products are not."""
+    t = P.totals(spark, d)
+    big = F.lit(1000000)
+    return t.select("yr", "geo", S.micro_ratio(F.col("cast_n") * big + 1, F.col("eligible") * big + 7).alias("micro_turnout"))
+
+
 @query("abstention_rate")
 def abstention_rate(spark, d):
     """1 - turnout."""
@@ -502,6 +518,16 @@ def describe_by_group(spark, d):
                     milli("median"), F.col("max").alias("max_votes"))
 
 
+@query("describe_by_area_election")
+def describe_by_area_election(spark, d):
+    """A9 per department and election."""
+    r = _canonical_results(spark, d)
+    s = A.describe_by(r, ["dept_code", "year"], "votes")
+    return s.select("dept_code", F.col("year").cast("bigint").alias("yr"), "n", F.round(F.col("mean") * 1000).cast("bigint").alias("mean_milli"),
+                    F.round(F.col("median") * 1000).cast("bigint").alias("median_milli"),
+                    F.col("min").alias("min_votes"), F.col("max").alias("max_votes"))
+
+
 @query("histogram")
 def histogram(spark, d):
     """A10: votes in 10 bins of 50 over [0, 500), overflow bin 11."""
@@ -518,6 +544,17 @@ def indicator_correlation(spark, d):
                     F.round(F.col("corr_turnout_rate") * 1000000).cast("bigint").alias("corr_micro"))
 
 
+@query("indicator_correlations")
+def indicator_correlations(spark, d):
+    """Correlation of every indicator with the vote share, per option (round(corr*1e4))."""
+    codes = [s[0] for s in C.INDICATOR_SPECS]
+    f = _features(spark, d).withColumn("share", F.col("micro_share") / F.lit(1000000.0))
+    pairs = f.unpivot(["opt", "share"], [F.col(c).cast("double").alias(c) for c in codes], "indicator_code", "value") \
+        .where(F.col("value").isNotNull())
+    c = A.correlate(pairs, ["value"], "share", by=["opt", "indicator_code"])
+    return c.select("opt", "indicator_code", "n", F.round(F.nanvl("corr_value", F.lit(None)) * 10000).cast("bigint").alias("corr_e4"))
+
+
 # ---------------------------------------------------------------- windows
 @query("dedupe_keep_last")
 def dedupe_keep_last(spark, d):
@@ -680,6 +717,12 @@ def pk_violations(spark, d):
     return L.pk_violations(_lineitem(spark, d), ["l_orderkey", "l_linenumber"])
 
 
+@query("unique_violations")
+def unique_violations(spark, d):
+    """Natural keys (name, party; null equals null) held by more than one row."""
+    return L.unique_violations(_party_rows(spark, d), ["candidate_name", "party_code"])
+
+
 @query("null_violations")
 def null_violations(spark, d):
     """Null counts of NOT NULL columns on a holed results frame."""
@@ -743,6 +786,27 @@ def quality_bounds(spark, d):
         F.count_if((F.col("turnout_rate") < 0.4) | (F.col("turnout_rate") > 0.8)).alias("turnout_out"))
 
 
+@query("quality_coherence")
+def quality_coherence(spark, d):
+    """Q1: votes <= valid <= cast <= registered per row, votes summing to valid per area, per year."""
+    r = _micro_results(spark, d).withColumn("votes", F.when(F.col("votes") % 11 == 0, F.col("valid") + 1).otherwise(F.col("votes")))
+    return Q.coherence(r, ["yr", "geo"], "votes", ["valid", "cast_n", "eligible"], by=["yr"])
+
+
+@query("completeness")
+def completeness(spark, d):
+    """Q1: share of filled cells per column and year."""
+    return Q.completeness(_holed_results(spark, d), ["votes_in", "share_in", "opt"], by=["yr"])
+
+
+@query("traceability")
+def traceability(spark, d):
+    """Q1: indicator values without a lineage label (blanked for two areas), per indicator."""
+    v = _indicator_values(spark, d).withColumn(
+        "source_file", F.when(F.col("insee_code") == "03000", F.lit(" ")).when(F.col("insee_code") != "05000", F.col("source_file")))
+    return Q.traceability(v, "source_file", by=["indicator_code"])
+
+
 @query("coverage_gaps")
 def coverage_gaps(spark, d):
     """Q2: (indicator, area) x order year cells with no value."""
@@ -769,6 +833,15 @@ def feature_join(spark, d):
                     *[F.col(s[0]).cast("decimal(18,2)").alias(s[0]) for s in C.INDICATOR_SPECS])
 
 
+@query("training_set")
+def training_set(spark, d):
+    """M1: indicators and the share's own history per (area, option)."""
+    f = M.training_set(_features(spark, d).select("yr", "geo", "opt", "micro_share", *[s[0] for s in C.INDICATOR_SPECS]),
+                       ["geo", "opt"], "yr", "micro_share", lags=2, bucket=F.floor(F.col("yr") / 4))
+    return f.select("yr", "geo", "opt", "micro_share", "micro_share_lag1", "micro_share_lag2", "micro_share_change",
+                    *[F.col(s[0]).cast("decimal(18,2)").alias(s[0]) for s in C.INDICATOR_SPECS])
+
+
 @query("temporal_split")
 def temporal_split(spark, d):
     """M2: train = years before the last one, test = the last year."""
@@ -822,25 +895,28 @@ def scenario_projection(spark, d):
 
 @query("fit_regressors")
 def fit_regressors(spark, d):
-    """M3 (rows-only): linear regression on lagged votes, predictions for the test year."""
+    """M3: linear regression on lagged votes, fitted before the last year, predictions for it (quantized)."""
     lag = _lag_predictions(spark, d).where(F.col("prediction").isNotNull()) \
         .withColumnRenamed("prediction", "lag_votes")
-    train, test = M.temporal_split(lag, "yr", 2001)
+    train, test = M.temporal_split(lag, "yr", P.years(spark, d)[-1])
     models = M.fit_regressors(train, ["lag_votes"], "votes", kinds=("linear",))
     pred = models["linear"].transform(test.select(F.col("lag_votes").cast("double").alias("lag_votes"),
                                                   F.col("votes").cast("double").alias("votes"),
                                                   "yr", "geo", "opt"))
-    return pred.select("yr", "geo", "opt", "votes", "lag_votes", "prediction")
+    return pred.select("yr", "geo", "opt", F.col("votes").cast("bigint").alias("votes"),
+                       F.col("lag_votes").cast("bigint").alias("lag_votes"),
+                       F.round(F.col("prediction") * 100).cast("bigint").alias("prediction_centi"))
 
 
 @query("compare_models")
 def compare_models(spark, d):
-    """M6 (rows-only): expanding-window comparison of linear regression, random forest and the
-    last-year baseline, fit on years before each test year."""
-    lag = _lag_predictions(spark, d).where(F.col("prediction").isNotNull()) \
-        .withColumnRenamed("prediction", "lag_votes")
-    return M.compare_models(lag, ["lag_votes"], "votes", "yr", [2000, 2001], kinds=("linear", "forest"),
-                            by_baseline="lag_votes")
+    """M6 (rows-only): expanding-window comparison of linear regression, forest, boosted trees and the
+    last-period baseline on the training set with indicators and history, for each year that has
+    two years before it."""
+    f = training_set(spark, d).where(F.col("micro_share_lag1").isNotNull())
+    features = ["micro_share_lag1", *[s[0] for s in C.INDICATOR_SPECS]]
+    return M.compare_models(f, features, "micro_share", "yr", P.years(spark, d)[2:], kinds=("linear", "forest", "gbt"),
+                            by_baseline="micro_share_lag1")
 
 
 # ---------------------------------------------------------------- streaming
