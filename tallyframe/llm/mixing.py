@@ -77,9 +77,9 @@ def deal(children: DataFrame, parent: list[str], order: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """leaves: domain, lang, source, tokens, docs -> the same with ``budget``."""
     cap = leaves.withColumn("cap", F.col("tokens") * mix.max_epochs)
-    total = leaves.agg(F.floor(F.sum("tokens") * mix.budget_percent / 100).cast("long").alias("parent_budget"))
+    total = leaves.agg(F.floor(F.sum("tokens") * mix.budget_percent / 100).cast("long"))
     domains = (cap.groupBy("domain").agg(F.sum("cap").alias("cap"))
-               .join(F.broadcast(total))  # one row
+               .withColumn("parent_budget", total.scalar())
                .withColumn("w", _weight(mix.domain, mix.default, "domain")))
     domains = deal(domains, [], "domain").withColumnRenamed("budget", "parent_budget")
     langs = (cap.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).join(domains, "domain")
