@@ -12,30 +12,58 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tallyframe.plans.queries import QUERIES  # noqa: E402
 from tallyframe.session import get_spark  # noqa: E402
 
 
-def summarize(plan: str) -> dict:
-    final = plan.split("== Initial Plan ==")[0]
+def _seq(scala_seq) -> list:
+    return [scala_seq.apply(i) for i in range(scala_seq.size())]
+
+
+def nodes(plan) -> list:
+    """Every node of the plan that ran: final plans of adaptive nodes, query stages and subqueries included."""
+    out, todo, seen = [], [plan], set()
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ReusedExchangeExec":
+            out.append((kind, node.simpleString(200)))
+            continue
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            out.append((kind, node.simpleString(2000)))
+            todo += _seq(node.children())
+        for sub in _seq(node.subqueries()):
+            if sub.id() not in seen:
+                seen.add(sub.id())
+                todo.append(sub)
+    return out
+
+
+def summarize(plan) -> dict:
+    found = nodes(plan)
 
     def n(pattern):
-        return len(re.findall(pattern, final))
+        return sum(bool(re.match(pattern, kind)) for kind, _ in found)
 
-    pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", final)))
+    pushed = sorted({p for _, text in found for p in re.findall(r"PushedFilters: \[([^\]]+)\]", text)})
     return {
-        "shuffles": n(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin|Exchange SinglePartition"),
-        "reused": n(r"ReusedExchange"),
-        "bhj": n(r"BroadcastHashJoin"),
-        "smj": n(r"SortMergeJoin"),
-        "shj": n(r"ShuffledHashJoin"),
-        "nlj": n(r"BroadcastNestedLoopJoin|CartesianProduct"),
-        "hash_agg": n(r"HashAggregate\("),
-        "sort_agg": n(r"SortAggregate\("),
-        "obj_agg": n(r"ObjectHashAggregate\("),
-        "windows": n(r"\bWindow \["),
-        "wgl": n(r"WindowGroupLimit"),
-        "python": n(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas"),
+        "scans": n("FileSourceScanExec|BatchScanExec"),
+        "shuffles": n("ShuffleExchangeExec"),
+        "reused": n("ReusedExchangeExec"),
+        "bhj": n("BroadcastHashJoinExec"),
+        "smj": n("SortMergeJoinExec"),
+        "shj": n("ShuffledHashJoinExec"),
+        "nlj": n("BroadcastNestedLoopJoinExec|CartesianProductExec"),
+        "hash_agg": n("HashAggregateExec"),
+        "sort_agg": n("SortAggregateExec"),
+        "obj_agg": n("ObjectHashAggregateExec"),
+        "windows": n("WindowExec"),
+        "wgl": n("WindowGroupLimitExec"),
+        "python": n(".*(Python|Pandas|Arrow).*"),
         "pushed": "; ".join(p[:80] for p in pushed)[:160],
     }
 
@@ -43,21 +71,22 @@ def summarize(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark()
-    cols = ["shuffles", "reused", "bhj", "smj", "shj", "nlj", "hash_agg", "sort_agg", "obj_agg",
+    cols = ["scans", "shuffles", "reused", "bhj", "smj", "shj", "nlj", "hash_agg", "sort_agg", "obj_agg",
             "windows", "wgl", "python", "pushed"]
     print("# PLANS — final physical plan shape per query key\n")
     print(f"Generated by `scripts/plan_report.py` at `{sf}` on local mode after one execution "
           "(AQE final plans). bhj/smj/shj = broadcast-hash / sort-merge / shuffled-hash joins, "
           "nlj = nested-loop or cartesian (must be 0), wgl = WindowGroupLimit (partial top-k before "
-          "the shuffle), python = Python evaluation operators (must be 0).\n")
+          "the shuffle), python = Python evaluation operators (must be 0).  The whole tree is counted, subqueries and "
+          "query stages included; jobs that a query runs before its last plan (checkpoints, landed files) are not.\n")
     print("| key | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         if k in ("fit_regressors", "compare_models", "incremental_load"):
             continue
         df = fn(spark, sf)
         df.collect()
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
+        s = summarize(df._jdf.queryExecution().executedPlan())
         print(f"| {k} | " + " | ".join(str(s[c]) for c in cols) + " |")
     print("\n`fit_regressors`, `compare_models` (Spark ML fits) and `incremental_load` (a stream "
           "with foreachBatch) run several jobs each and are not single plans.")
