@@ -30,8 +30,15 @@ def melt_pairs(df: DataFrame, ids: Sequence[str], pairs: Sequence[tuple[str, str
 
 
 def melt_measures(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
-                  label_col: str = "label", value_col: str = "raw") -> DataFrame:
-    """R2: single-measure columns -> (label, raw) rows.  Nulls are kept (filter later)."""
+                  label_col: str = "label", value_col: str = "raw", labels: Sequence[str] | None = None) -> DataFrame:
+    """R2: single-measure columns -> (label, raw) rows.  Nulls are kept (filter later).
+
+    ``labels`` are the rows' labels in the order of ``cols`` (default: the column names).
+    """
+    if labels is not None:
+        cells = [F.struct(F.lit(n).alias(label_col), F.col(f"`{c}`").cast("string").alias(value_col)) for n, c in zip(labels, cols, strict=True)]
+        none = F.array().cast(f"array<struct<{label_col}:string,{value_col}:string>>")
+        return df.select(*ids, F.inline(F.array(*cells) if cells else none))
     narrow = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in cols])
     return narrow.unpivot(list(ids), list(cols), label_col, value_col)
 

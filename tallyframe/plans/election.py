@@ -20,7 +20,7 @@ from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..sources import readers
-from ..sources.schema import discover_measures, discover_pairs, resolve_roles, to_canonical
+from ..sources.schema import canonical_header, discover_measures, discover_pairs, resolve_roles, to_canonical
 
 
 def _department_names(spark: SparkSession, departments: DataFrame | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def extract_wide_sheet(spark: SparkSession, sheet: DataFrame, year, cfg: JobConf
     ids = ["__year", *keep, "__code", "__name", "__registered", "__cast", "__valid", "__turnout"]
     pairs = discover_pairs(cols)
     if pairs:
-        long = R.melt_pairs(df, ids, [(v, v, s) for v, s in pairs])
+        long = R.melt_pairs(df, ids, [(canonical_header(v), v, s) for v, s in pairs])
         votes0 = S.parse_int_fr("votes_raw")
         share0 = S.parse_ratio_fr("share_raw")
         long = long.withColumn("votes", votes0).withColumn("vote_share", share0)
@@ -84,7 +84,7 @@ def extract_wide_sheet(spark: SparkSession, sheet: DataFrame, year, cfg: JobConf
     else:
         used = {c for c in (code_c, name_c) if c}
         measures = discover_measures(cols, C.METADATA_COLUMNS, exclude=used)
-        long = R.melt_measures(df, ids, measures, "label", "raw")
+        long = R.melt_measures(df, ids, measures, "label", "raw", [canonical_header(m) for m in measures])
         long = long.withColumn("vote_share", S.parse_ratio_fr("raw"))
         long = long.withColumn("votes", F.when(
             F.col("__valid").isNotNull() & F.col("vote_share").isNotNull(),
@@ -92,7 +92,7 @@ def extract_wide_sheet(spark: SparkSession, sheet: DataFrame, year, cfg: JobConf
     long = long.where(F.col("vote_share").isNotNull())
     return long.select(
         F.col("__year").alias("year"), *keep, F.col("__code").alias("dept_code"),
-        F.col("__name").alias("dept_name"), S.canonical_label("label").alias("candidate_name"),
+        F.col("__name").alias("dept_name"), F.col("label").alias("candidate_name"),
         F.col("__registered").alias("registered"), F.col("__cast").alias("votes_cast"),
         F.col("__valid").alias("votes_valid"), F.col("votes").cast("bigint").alias("votes"),
         F.col("vote_share").cast("double").alias("vote_share"),

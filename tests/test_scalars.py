@@ -82,6 +82,13 @@ def test_canonical_label(spark):
     assert run(spark, S.canonical_label, vals) == ["LE GALL", "HERVE DUPRE", "", "", "DUPONT", "STRASSE"]
 
 
+def test_header_and_data_labels_agree(spark):
+    from tallyframe.sources.schema import canonical_header
+
+    vals = ["LE_GALL_VOIX", "Hervé  Dupré_exp", "_VOIX", "Dupont", "straße_VOIX", "Ångström_½_Exp", " a\u00a0b "]
+    assert run(spark, S.canonical_label, vals) == [canonical_header(v) for v in vals]
+
+
 def test_ratio_is_exact_and_does_not_overflow(spark):
     import random
     from fractions import Fraction
