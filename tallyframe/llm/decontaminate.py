@@ -11,7 +11,8 @@ Every start in the text is a window, so that walks which start behind an early
 edit also find the item.  Candidates are verified by exact (Sellers) edit distance.
 
 Windows that can't match are left out before the walk, without loss: at least
-n - floor(0.2 n) of their words must be words of the items of that length.
+n - floor(0.2 n) of their words must be words of the items of that length, and as many
+different ones as the least varied of these items has, less floor(0.2 n).
 
 The query set (the items) is handled in blocks of ``BLOCK`` items, each against
 all rows; nothing is shuffled.  Edge cases: null and empty texts and items
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.near_dedup import words
 
 EDITS = 0.2
-WALKS, SAMPLES, BITS = 4, 12, 4
+WALKS, SAMPLES, BITS = 8, 12, 4
 BLOCK = 5_000
 SEED = 20_251
 
@@ -73,12 +74,13 @@ class Index:
         for i, ws in items:
             if ws:
                 self.lengths.setdefault(len(ws), []).append((i, np.array([self.vocab[w] for w in ws])))
-        self.own = {}  # by length: weight of each word id; the last one is the gap between documents
+        self.own, self.distinct = {}, {}  # by length: weight of each word id, the last one for the gap between documents
         for n, group in self.lengths.items():
             own = np.zeros(len(self.vocab) + 2, dtype="int32")
             own[np.concatenate([x for _, x in group])] = 1
-            own[-1] = -(10 ** 6)  # no window reaches over the end of a document
+            own[-1] = -n  # no window reaches over the end of a document
             self.own[n] = own
+            self.distinct[n] = min(len(np.unique(x)) for _, x in group) - limit_of(n)
         self.keys = {n: [self.embed(np.concatenate([x for _, x in group]), np.arange(len(group)) * n, n, w)
                          for w in range(WALKS)] for n, group in self.lengths.items()}
 
@@ -110,12 +112,25 @@ class Index:
         tokens = np.concatenate([x for d in docs for x in (d, gap)])
         ends = np.cumsum([len(d) + 1 for d in docs])
         seen = np.zeros(len(self.vocab) + 2, dtype=bool)
-        total = np.zeros(len(tokens) + 1, dtype="int64")
+        total = np.zeros(len(tokens) + 1, dtype="int32")
+        # place of the same word's occurrence before (-1: none)
+        narrow = tokens.astype("uint16") if len(self.vocab) + 2 < 1 << 16 else tokens
+        order = np.argsort(narrow, kind="stable")
+        again = narrow[order[1:]] == narrow[order[:-1]]
+        before = np.full(len(tokens), -1)
+        before[order[1:][again]] = order[:-1][again]
         for n, group in self.lengths.items():
             if len(tokens) < n:
                 continue
-            np.cumsum(self.own[n][tokens], out=total[1:])
+            own = self.own[n]
+            np.cumsum(np.take(own, tokens), out=total[1:])
             starts = np.flatnonzero(total[n:] - total[:-n] >= n - limit_of(n))
+            varied = [np.zeros(0, dtype="int64")]
+            for lo in range(0, len(starts), 20_000):
+                at = starts[lo:lo + 20_000, None]
+                place = at + np.arange(n)
+                varied.append(at[((before[place] < at) & (own[tokens[place]] > 0)).sum(axis=1) >= self.distinct[n], 0])
+            starts = np.concatenate(varied)
             if not len(starts):
                 continue
             pairs: set[tuple[int, int]] = set()
