@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
 
     s = (SparkSession.builder.master("local[4]").appName("llm-tests")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
