@@ -69,11 +69,16 @@ def _mapping_text() -> str:
     return _PAIR.join(k + _KV + v for k, v in sorted(fold_tables()[2].items()))
 
 
-def _has_multi(c: Column) -> Column:
-    """True when the string holds a character of the map: `translate` (one hash lookup per
+@functools.lru_cache(maxsize=1)
+def _special() -> str:
+    """Characters with a fold of several characters: those of the map, and Hangul syllables."""
+    return "".join(sorted(fold_tables()[2])) + "".join(map(chr, _HANGUL))
+
+
+def _has_special(c: Column) -> Column:
+    """True when the string holds such a character: `translate` (one hash lookup per
     character) marks them; a regex class of over 1,000 members would cost as many comparisons."""
-    keys = "".join(sorted(fold_tables()[2]))
-    return F.instr(F.translate(c, keys, _MARK * len(keys)), _MARK) > 0
+    return F.instr(F.translate(c, _special(), _MARK * len(_special())), _MARK) > 0
 
 
 def _rewrite(c: Column, present: Column, folded) -> Column:
@@ -90,12 +95,15 @@ def _syllable(ch: Column) -> Column:
 
 
 def fold_accents(c: Column) -> Column:
-    """NFKD + drop combining marks, as JVM expressions (no Python UDF)."""
+    """NFKD + drop combining marks, as JVM expressions (no Python UDF).
+
+    Both rewrites look at the characters of the given string: no fold brings forth a
+    character that has to be folded again.
+    """
     src, dst, multi = fold_tables()
     mapping = F.str_to_map(F.lit(_mapping_text()), F.lit(_PAIR), F.lit(_KV))
     keys = F.split(F.lit(_PAIR.join(sorted(multi))), _PAIR)
     chars = F.split(c, "")
-    expanded = F.when(_has_multi(c), _rewrite(c, F.array_intersect(chars, keys), lambda ch: mapping[ch])).otherwise(c)
-    syllables = F.array_distinct(F.filter(F.split(expanded, ""), lambda x: x.rlike("[가-힣]")))
-    expanded = F.when(expanded.rlike("[가-힣]"), _rewrite(expanded, syllables, _syllable)).otherwise(expanded)
-    return F.translate(expanded, src, dst)
+    syllables = F.array_distinct(F.filter(chars, lambda x: x.rlike("[가-힣]")))
+    expanded = _rewrite(_rewrite(c, F.array_intersect(chars, keys), lambda ch: mapping[ch]), syllables, _syllable)
+    return F.translate(F.when(_has_special(c), expanded).otherwise(c), src, dst)
