@@ -8,7 +8,9 @@ close in edit distance get outputs that are close in Hamming distance.  Each of
 ``WALKS`` walks is sampled ``SAMPLES`` times at ``BITS`` output positions, and
 a window that agrees with an item in all positions of a sample is a candidate.
 Every start in the text is a window, so that walks which start behind an early
-edit also find the item.  Candidates are verified by exact (Sellers) edit distance.
+edit also find the item; up to floor(0.2 n) words of a window may lie before the document's
+start or behind its end (padding), so that documents shorter than the item and stretches at either end
+are found as those in the middle are.  Candidates are verified by exact (Sellers) edit distance.
 
 Windows that can't match are left out before the walk, without loss: at least
 n - floor(0.2 n) of their words must be words of the items of that length, and as many
@@ -74,18 +76,19 @@ class Index:
         for i, ws in items:
             if ws:
                 self.lengths.setdefault(len(ws), []).append((i, np.array([self.vocab[w] for w in ws])))
-        self.own, self.distinct = {}, {}  # by length: weight of each word id, the last one for the gap between documents
+        self.own, self.distinct = {}, {}  # by length: weight of each word id, the last one for the gap between documents (full windows)
         for n, group in self.lengths.items():
             own = np.zeros(len(self.vocab) + 2, dtype="int32")
             own[np.concatenate([x for _, x in group])] = 1
-            own[-1] = -n  # no window reaches over the end of a document
+            own[-1] = -n  # no full window reaches over the end of a document
             self.own[n] = own
             self.distinct[n] = min(len(np.unique(x)) for _, x in group) - limit_of(n)
-        self.keys = {n: [self.embed(np.concatenate([x for _, x in group]), np.arange(len(group)) * n, n, w)
+        self.keys = {n: [self.embed(np.concatenate([x for _, x in group]), np.arange(len(group)) * n, 0, n, n, w)
                          for w in range(WALKS)] for n, group in self.lengths.items()}
 
-    def embed(self, tokens: np.ndarray, starts: np.ndarray, n: int, walk: int) -> np.ndarray:
-        """Sample keys (SAMPLES x windows) of the n-word windows at ``starts``."""
+    def embed(self, tokens: np.ndarray, starts: np.ndarray, front: np.ndarray | int, stop: np.ndarray | int, n: int,
+              walk: int) -> np.ndarray:
+        """Sample keys (SAMPLES x windows) of the n-word windows at ``starts``; words outside [front, stop) are padding."""
         steps = max(1, round(1.6 * n))
         at = np.minimum((self.at[walk] * steps).astype(int), steps - 1)
         needed = set(at.ravel().tolist())
@@ -93,7 +96,7 @@ class Index:
         i = np.zeros(len(starts), dtype="int64")
         bits = self.bits[walk]
         for j in range(max(needed) + 1):
-            sym = np.where(i < n, tokens[starts + np.minimum(i, n - 1)], pad)
+            sym = np.where((i >= front) & (i < stop), tokens[starts + np.clip(i, front, stop - 1)], pad)
             if j in needed:
                 out[j] = sym.astype("int64")
             i = i + bits[j, sym]
@@ -110,7 +113,8 @@ class Index:
             return [[] for _ in docs]
         gap = np.full(1, len(self.vocab) + 1)
         tokens = np.concatenate([x for d in docs for x in (d, gap)])
-        ends = np.cumsum([len(d) + 1 for d in docs])
+        size = np.array([len(d) for d in docs])
+        ends = np.cumsum(size + 1)
         seen = np.zeros(len(self.vocab) + 2, dtype=bool)
         total = np.zeros(len(tokens) + 1, dtype="int32")
         # place of the same word's occurrence before (-1: none)
@@ -120,36 +124,47 @@ class Index:
         before = np.full(len(tokens), -1)
         before[order[1:][again]] = order[:-1][again]
         for n, group in self.lengths.items():
-            if len(tokens) < n:
-                continue
-            own = self.own[n]
+            own, m = self.own[n], limit_of(n)
             np.cumsum(np.take(own, tokens), out=total[1:])
-            starts = np.flatnonzero(total[n:] - total[:-n] >= n - limit_of(n))
-            varied = [np.zeros(0, dtype="int64")]
-            for lo in range(0, len(starts), 20_000):
-                at = starts[lo:lo + 20_000, None]
-                place = at + np.arange(n)
-                varied.append(at[((before[place] < at) & (own[tokens[place]] > 0)).sum(axis=1) >= self.distinct[n], 0])
-            starts = np.concatenate(varied)
+            starts = np.flatnonzero(total[n:] - total[:-n] >= n - m)
+            parts = [np.stack([starts, np.zeros_like(starts), np.full_like(starts, n)])]  # start, first and last place in the document
+            some = size >= n - m
+            begin, length = (ends - size - 1)[some], size[some]
+            for r in range(n - m, n):  # r words before the document's end, the rest is padding
+                at = (begin + length - r)[length >= r]
+                at = at[total[at + r] - total[at] >= n - m]
+                parts.append(np.stack([at, np.zeros_like(at), np.full_like(at, r)]))
+            for f in range(1, m + 1):  # f words of padding before the document's start
+                r = np.minimum(n - f, length)
+                ok = total[begin + r] - total[begin] >= n - m
+                parts.append(np.stack([begin[ok] - f, np.full(ok.sum(), f), f + r[ok]]))
+            windows = np.concatenate(parts, axis=1)
+            varied = []
+            for lo in range(0, windows.shape[1], 20_000):
+                at, front, stop = windows[:, lo:lo + 20_000, None]
+                i = np.arange(n)
+                place = at + np.clip(i, front, stop - 1)
+                new = (before[place] < at + front) & (own[tokens[place]] > 0) & (i >= front) & (i < stop)
+                varied.append(new.sum(axis=1) >= self.distinct[n])
+            starts, front, stop = windows[:, np.concatenate([np.zeros(0, dtype=bool), *varied])]
             if not len(starts):
                 continue
             pairs: set[tuple[int, int]] = set()
             for w in range(WALKS):
-                mine = self.embed(tokens, starts, n, w)
+                mine = self.embed(tokens, starts, front, stop, n, w)
                 for s in range(SAMPLES):
                     keys = self.keys[n][w][s]
                     order = np.argsort(keys)
                     ranked = keys[order]
                     lo, hi = np.searchsorted(ranked, mine[s], "left"), np.searchsorted(ranked, mine[s], "right")
                     for p in np.flatnonzero(hi > lo).tolist():
-                        pairs.update((starts[p], k) for k in order[lo[p]:hi[p]].tolist())
+                        pairs.update((starts[p] + front[p], k) for k in order[lo[p]:hi[p]].tolist())
             doc_of = {p: int(np.searchsorted(ends, p, "right")) for p in {p for p, _ in pairs}}
             for p, k in sorted(pairs):
                 item, x = group[k]
                 d = doc_of[p]
                 if item in found[d]:
                     continue
-                m = limit_of(n)
                 lo = max(p - m, ends[d] - len(docs[d]) - 1)
                 stretch = tokens[lo:min(p + n + 2 * m, ends[d] - 1)]
                 seen[stretch] = True

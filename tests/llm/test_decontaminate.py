@@ -75,3 +75,19 @@ def test_edges(spark):
                                            (4, True, [9]), (5, True, [1, 2])], key=str)
     assert {r.contaminated for r in X.op5(d, b.limit(0)).collect()} == {False} and X.op5(d.limit(0), b).count() == 0
     assert X.find_items(d, b).select("_row.*").columns == d.columns
+
+
+def test_passages_at_both_ends_and_documents_shorter_than_the_item():
+    rng = random.Random(4)
+    other = [f"z{i}" for i in range(70)]
+    for n in (20, 40):
+        items = [[f"w{rng.randrange(9000)}" for _ in range(n)] for _ in range(100)]
+        index = X.Index(list(enumerate(items)))
+        for deleted in (int(0.12 * n), X.limit_of(n)):
+            cut = [[w for k, w in enumerate(it) if k not in gone] for it in items for gone in [set(rng.sample(range(n), deleted))]]
+            for place in ([ws for ws in cut], [other + ws for ws in cut], [ws + other for ws in cut]):
+                found = index.find([np.array([index.vocab.get(w, 0) for w in ws]) for ws in place])
+                assert sum(i in f for i, f in enumerate(found)) >= (97 if deleted < X.limit_of(n) else 88)
+    # one word too few is no match
+    short = [np.array([index.vocab[w] for w in it[X.limit_of(40) + 1:]]) for it in items]
+    assert index.find(short) == [[] for _ in items]
