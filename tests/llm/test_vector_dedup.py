@@ -72,3 +72,17 @@ def test_table_recall(spark):
     e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     found = X.materialize(X.op9(e), "test")
     assert X.audit_recall(e, found) >= 0.99 and found.count() == e.count()
+
+
+def test_isolated_pairs_in_hundreds_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(X, "SHARD", 16)  # about 375 centres in one label
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(0, 1, (2, 3000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    both = np.stack([a, 0.935 * a + np.sqrt(1 - 0.935 ** 2) * b], axis=1).reshape(-1, 64)
+    df = spark.createDataFrame([(i, [float(x) for x in e], 1, "") for i, e in enumerate(both)], SCHEMA).repartition(4)
+    got = {r.vec_id: r.n_links for r in X.op9(df).collect()}
+    assert sum(got.values()) >= 0.98 * len(both) and max(got.values()) == 1
+    assert sum(got[i] != got[i + 1] for i in range(0, len(both), 2)) <= 0.005 * len(both)  # a link counts for both ends
