@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyframe.llm import (
-    chat, class_lm, decontaminate, html_text, licenses, mixing, near_dedup, toxicity, vector_dedup, warc)
+    chat, class_lm, decontaminate, html_text, licenses, mixing, near_dedup, piece_bpe, toxicity, vector_dedup, warc)
 from tallyframe.llm.common import table
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_class_lm": lambda spark, d: class_lm.op8(table(spark, d, "documents")),
     "op9_vector_dedup": lambda spark, d: vector_dedup.op9(table(spark, d, "embeddings")),
     "op10_html_text": lambda spark, d: html_text.op10(table(spark, d, "pages")),
+    "op11_piece_bpe": lambda spark, d: piece_bpe.op11(table(spark, d, "documents")),
 }
 
 ORACLE = {
