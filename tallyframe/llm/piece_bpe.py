@@ -12,9 +12,9 @@ to do so would also be the first choice between the two neighbours alone.  So a
   replaced by its next shorter prefix.  The encoding of a prefix is unique, so a position that failed
   once never has to be tried again.
 
-Texts are normalised as the model says.  Where no piece holds a space mark behind another character
-(tested on the vocabulary), no merge crosses such a place, so texts are cut there and the encodings of words
-are kept in a bounded table; otherwise a text is one segment.  Characters without a piece become byte
+Texts are normalised as the model says.  No merge crosses two characters that are neighbours in no piece; texts
+are cut at such places as far as the vocabulary shows them (letters against punctuation, words against spaces), and
+the encodings of the segments are kept in a bounded table.  Characters without a piece become byte
 pieces where the model has these, else the unknown id (a run of them is one).
 
 Edge cases: null text is empty; an empty text has no ids and decodes to the empty text; texts of any length
@@ -36,11 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
-#: Bounds of what a task keeps: words (of at most WORD_CHARS) with their ids, and pairs of tokens.
-WORDS, WORD_CHARS, PAIRS = 200_000, 64, 1_000_000
+#: Bounds of what a worker keeps: words (of at most WORD_CHARS) with their ids, twice, and pairs of tokens.
+WORDS, WORD_CHARS, PAIRS = 500_000, 64, 1_000_000
 #: A result batch is sent once it holds so many ids.
 BATCH_IDS = 1_000_000
 _SPACE = "▁"
+_NONE = float("-inf")
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -53,6 +54,31 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
+def _cuts(pieces) -> str:
+    """A pattern of segments that no piece reaches out of.
+
+    Characters that are neighbours in some piece are of one kind; two characters of different kinds
+    are never merged, nor are any character and a space mark behind it where no piece has such a pair.
+    """
+    if any(_SPACE in piece.lstrip(_SPACE) for piece in pieces):
+        return r"(?s).+"
+    kind: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while kind.setdefault(c, c) != c:
+            kind[c] = c = kind[kind[c]]
+        return c
+
+    pairs = {(a, b) for piece in pieces for a, b in zip(piece.lstrip(_SPACE), piece.lstrip(_SPACE)[1:])}
+    for a, b in pairs:
+        kind[find(a)] = find(b)
+    kinds: dict[str, str] = {}
+    for c in sorted(kind):
+        kinds[find(c)] = kinds.get(find(c), "") + c
+    runs = [f"[{re.escape(''.join(k))}]+" for k in sorted(kinds.values(), key=len, reverse=True)]
+    return f"(?s){_SPACE}*(?:{'|'.join([*runs, f'[^{_SPACE}]'])})|{_SPACE}+"
+
+
 class Encoder:
     """Ids of texts under one merge-type model."""
 
@@ -73,65 +99,79 @@ class Encoder:
         for piece in self.ids:
             self.automaton.add_word(piece)
         self.automaton.make_automaton()
-        inside = any(_SPACE in piece.lstrip(_SPACE) for piece in self.ids)
-        self.cut = re.compile(r"(?s).+" if inside else f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
-        self.words: dict[str, list[int]] = {}
+        self.cut = re.compile(_cuts(self.ids))
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
+    @classmethod
+    def of_worker(cls, model: bytes) -> Encoder:
+        """This worker's encoder.  A class that is sent by value is one object in a worker, so the tables
+        that a task has filled serve the worker's later tasks of the job."""
+        if getattr(cls, "_model", None) != model:
+            cls._model, cls._encoder = model, cls(model)
+        return cls._encoder
+
     def merge(self, text: str) -> list[str]:
         """The tokens of a short text by merging (best score first, then leftmost)."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.scores.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                return parts
+        parts, score, none = list(text), self.scores.get, _NONE
+        pairs = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == none:
+                break
+            at = pairs.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], none)
+        return parts
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether the two tokens stay as they are when their characters are merged anew."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
-        return known
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
+        return fits
 
     def tokens(self, text: str) -> list[str]:
         """The tokens of one segment, by backtracking."""
         n = len(text)
-        lengths: list[list[int]] = [[] for _ in range(n)]
-        for end, length in self.automaton.iter(text):  # by end, so ascending for each start
-            lengths[end - length + 1].append(length)
-        for i in range(n):
-            if not lengths[i] or lengths[i][0] != 1:
-                lengths[i].insert(0, 1)  # a character without a piece
+        starts = [2] * n  # bit k: a piece of k characters starts here; a character alone always can
+        for end, length in self.automaton.iter(text):
+            starts[end - length + 1] |= 1 << length
         failed = bytearray(n // 8 + 1)
-        stack: list[tuple[int, int]] = []
-        pos, choice, before = 0, len(lengths[0]) - 1 if n else -1, ""
+        stack: list[tuple[str, int, int]] = []  # token, its start, the shorter pieces not tried yet
+        pos, left, before, pairs = 0, starts[0] if n else 0, "", self.pairs
         while pos < n:
-            while choice >= 0:
-                end = pos + lengths[pos][choice]
-                if not failed[end >> 3] >> (end & 7) & 1 and self.compatible(before, text[pos:end]):
+            while left:
+                length = left.bit_length() - 1
+                left ^= 1 << length
+                end = pos + length
+                if failed[end >> 3] >> (end & 7) & 1:
+                    continue
+                token = text[pos:end]
+                fits = pairs.get((before, token))
+                if fits or (fits is None and self.compatible(before, token)):
+                    stack.append((token, pos, left))
+                    before, pos = token, end
+                    left = starts[pos] if pos < n else 0
                     break
-                choice -= 1
-            if choice >= 0:
-                stack.append((pos, choice))
-                before, pos = text[pos:end], end
-                choice = len(lengths[pos]) - 1 if pos < n else -1
             else:
+                failed[pos >> 3] |= 1 << (pos & 7)
                 if not stack:
                     raise AssertionError("no encoding")  # merging always yields one
-                failed[pos >> 3] |= 1 << (pos & 7)
-                pos, choice = stack.pop()
-                choice -= 1
-                before = text[stack[-1][0]:pos] if stack else ""
-        return [text[p:p + lengths[p][c]] for p, c in stack]
+                _, pos, left = stack.pop()
+                before = stack[-1][0] if stack else ""
+        return [token for token, _, _ in stack]
 
     def _ids(self, tokens: list[str]) -> list[int]:
+        try:
+            return list(map(self.ids.__getitem__, tokens))
+        except KeyError:
+            pass
         out: list[int] = []
         unknown = False
         for t in tokens:
@@ -146,21 +186,25 @@ class Encoder:
                 unknown = True
         return out
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit integers."""
         segments = self.cut.findall(self.sp.normalize(text)) if text else []
         if self.bytes is None:  # runs of unknown characters may cross a cut
-            return self._ids([t for s in segments for t in self.tokens(s)])
+            return array("i", self._ids([t for s in segments for t in self.tokens(s)])).tobytes()
+        out: list[bytes] = []
         for word in segments:
             ids = self.words.get(word)
             if ids is None:
-                ids = self._ids(self.tokens(word))
+                ids = self.older.get(word) or array("i", self._ids(self.tokens(word))).tobytes()
                 if len(word) <= WORD_CHARS:
-                    if len(self.words) >= WORDS:
-                        self.words.clear()
+                    if len(self.words) >= WORDS:  # words not met again since the last turn are forgotten
+                        self.older, self.words = self.words, {}
                     self.words[word] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids) if ids else ""
@@ -175,19 +219,19 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: byte
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(model)
-            start, flat, ends, texts = 0, array("i"), array("i", [0]), []
+            encoder = encoder or Encoder.of_worker(model)
+            start, flat, ends, texts = 0, bytearray(), array("i", [0]), []
             for row in range(batch.num_rows):
-                ids = encoder.encode(batch.column(1)[row].as_py())
-                flat.extend(ids)
-                ends.append(len(flat))
-                texts.append(encoder.decode(ids))
-                if len(flat) >= BATCH_IDS or row == batch.num_rows - 1:
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                ids = encoder.packed(batch.column(1)[row].as_py())
+                flat += ids
+                ends.append(len(flat) // 4)
+                texts.append(encoder.decode(array("i", ids).tolist()))
+                if len(flat) >= 4 * BATCH_IDS or row == batch.num_rows - 1:
+                    values = pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(bytes(flat))])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, row + 1 - start), lists, pa.array(texts, pa.string())],
-                        names=["_key", "ids", "decoded"])
-                    start, flat, ends, texts = row + 1, array("i"), array("i", [0]), []
+                        [batch.column(0).slice(start, row + 1 - start), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+                         pa.array(texts, pa.string())], names=["_key", "ids", "decoded"])
+                    start, flat, ends, texts = row + 1, bytearray(), array("i", [0]), []
 
     return rows.mapInArrow(run, f"_key {keys}, ids array<int>, decoded string").withColumnRenamed("_key", key)
 
