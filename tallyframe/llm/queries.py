@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tallyframe.llm import (
-    chat, class_lm, decontaminate, html_text, licenses, mixing, near_dedup, piece_bpe, toxicity, vector_dedup, warc)
+    chat, class_lm, decontaminate, html_text, licenses, merkle, mixing, near_dedup, piece_bpe, toxicity, vector_codes, vector_dedup,
+    warc)
 from tallyframe.llm.common import table
 
 QUERIES = {
@@ -18,6 +19,8 @@ QUERIES = {
     "op9_vector_dedup": lambda spark, d: vector_dedup.op9(table(spark, d, "embeddings")),
     "op10_html_text": lambda spark, d: html_text.op10(table(spark, d, "pages")),
     "op11_piece_bpe": lambda spark, d: piece_bpe.op11(table(spark, d, "documents")),
+    "op12_merkle": lambda spark, d: merkle.op12(table(spark, d, "documents")),
+    "op13_vector_codes": lambda spark, d: vector_codes.op13(table(spark, d, "embeddings")),
 }
 
 ORACLE = {
@@ -25,4 +28,6 @@ ORACLE = {
     "op2_mix": mixing.oracle(),
     "op6_warc": warc.ORACLE,
     "op7_chat": chat.ORACLE,
+    "op12_merkle": merkle.oracle(),
+    "op13_vector_codes": vector_codes.oracle(),
 }
