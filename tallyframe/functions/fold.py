@@ -8,8 +8,9 @@ fold is generated by rule from ``unicodedata`` on the driver, over all of Unicod
 * the other characters whose fold is several characters (ligatures, fractions,
   squared units, ...) are looked up in a map literal.
 
-The last two only touch the characters that a string really holds.  ``fold_text`` is the same
-fold for a Python string, from the same tables.
+The last two only touch strings that hold such characters: a class of a few ranges finds strings beyond
+plain Latin, these lose all other characters at once, and the distinct ones of what is left are replaced.  ``fold_text``
+is the same fold for a Python string, from the same tables.
 """
 
 from __future__ import annotations
@@ -59,8 +60,9 @@ def fold_text(text: str) -> str:
     return text.translate(_python_table())
 
 
-_MARK = "\u0001"
 _PAIR, _KV = "\u0002", "\u0003"
+#: Below this code point, characters without a fold of several characters count as plain.
+_PLAIN_END = 0x250
 
 
 @functools.lru_cache(maxsize=1)
@@ -70,20 +72,20 @@ def _mapping_text() -> str:
 
 
 @functools.lru_cache(maxsize=1)
-def _special() -> str:
-    """Characters with a fold of several characters: those of the map, and Hangul syllables."""
-    return "".join(sorted(fold_tables()[2])) + "".join(map(chr, _HANGUL))
+def _beyond_plain() -> str:
+    """Regex class, of few ranges, of the characters that are not plain."""
+    multi = fold_tables()[2]
+    plain = [cp for cp in range(_PLAIN_END) if chr(cp) not in multi]
+    starts = [cp for cp in plain if cp - 1 not in plain]
+    ends = [cp for cp in plain if cp + 1 not in plain]
+    return "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends)) + "]"
 
 
-def _has_special(c: Column) -> Column:
-    """True when the string holds such a character: `translate` (one hash lookup per
-    character) marks them; a regex class of over 1,000 members would cost as many comparisons."""
-    return F.instr(F.translate(c, _special(), _MARK * len(_special())), _MARK) > 0
-
-
-def _rewrite(c: Column, present: Column, folded) -> Column:
-    """`c` with each character of the array `present` replaced by its fold."""
-    return F.aggregate(present, c, lambda acc, ch: F.replace(acc, ch, folded(ch)))
+@functools.lru_cache(maxsize=1)
+def _single() -> str:
+    """Characters below _PLAIN_END or with a fold of one or no character, which need no rewriting."""
+    src, _, multi = fold_tables()
+    return "".join(dict.fromkeys([*(chr(cp) for cp in range(1, _PLAIN_END) if chr(cp) not in multi), *src]))
 
 
 def _syllable(ch: Column) -> Column:
@@ -97,13 +99,18 @@ def _syllable(ch: Column) -> Column:
 def fold_accents(c: Column) -> Column:
     """NFKD + drop combining marks, as JVM expressions (no Python UDF).
 
-    Both rewrites look at the characters of the given string: no fold brings forth a
+    The rewriting looks at the characters of the given string: no fold brings forth a
     character that has to be folded again.
     """
     src, dst, multi = fold_tables()
     mapping = F.str_to_map(F.lit(_mapping_text()), F.lit(_PAIR), F.lit(_KV))
-    keys = F.split(F.lit(_PAIR.join(sorted(multi))), _PAIR)
-    chars = F.split(c, "")
-    syllables = F.array_distinct(F.filter(chars, lambda x: x.rlike("[가-힣]")))
-    expanded = _rewrite(_rewrite(c, F.array_intersect(chars, keys), lambda ch: mapping[ch]), syllables, _syllable)
-    return F.translate(F.when(_has_special(c), expanded).otherwise(c), src, dst)
+    keys = F.lit("".join(sorted(multi)))
+
+    def syllable(ch):
+        return (ch >= chr(_HANGUL[0])) & (ch <= chr(_HANGUL[-1]))
+
+    left = F.array_distinct(F.split(F.translate(c, _single(), ""), ""))
+    present = F.filter(left, lambda ch: (ch != "") & (syllable(ch) | (F.instr(keys, ch) > 0)))
+    expanded = F.aggregate(present, c, lambda acc, ch: F.replace(
+        acc, ch, F.when(syllable(ch), _syllable(ch)).otherwise(mapping[ch])))
+    return F.translate(F.when(c.rlike(_beyond_plain()), expanded).otherwise(c), src, dst)

@@ -519,15 +519,164 @@ from (select opt, indicator_code, count(*) n0, corr(cast(value as double), micro
       from results r join aligned a on r.dept_code || '000' = a.insee_code and r.yr = a.year group by 1, 2) x
 group by opt, indicator_code, c"""
 
-ORACLE["fit_regressors"] = with_(R3, LAGP) + """
+ORACLE["fit_lag_regressor"] = with_(R3, LAGP) + """
 select yr, geo, opt, votes, prediction lag_votes,
        cast(round((select regr_intercept(votes, prediction) + 0 from fit) * 100
                   + (select regr_slope(votes, prediction) from fit) * prediction * 100) as bigint) prediction_centi
 from lagp where prediction is not null and yr = (select max(year(o_orderdate)) from orders)"""
-ORACLE["fit_regressors"] = ORACLE["fit_regressors"].replace("\nselect yr, geo, opt, votes, prediction", """,
+ORACLE["fit_lag_regressor"] = ORACLE["fit_lag_regressor"].replace("\nselect yr, geo, opt, votes, prediction", """,
 fit as (select votes, prediction from lagp where prediction is not null and yr < (select max(year(o_orderdate)) from orders))
 select yr, geo, opt, votes, prediction""", 1)
 
+
+# ---- least squares from normal equations, written out: gram -> centred products -> Gauss-Jordan, one CTE a step
+_FEATURES = ["l1", *_CODES]
+_K = len(_FEATURES)
+_PAIRS = [(i, j) for i in range(_K + 1) for j in range(i, _K + 1)]
+_MASKS = {"history": [0], "indicators": list(range(1, _K)), "full": list(range(_K))}
+
+
+def _trows(where: str = "l1 is not null") -> str:
+    cols = ", ".join(f"cast({c} as decimal(18,2)) v{i}" for i, c in enumerate(["l1", *[f"p.{c}" for c in _CODES], "micro_share"]))
+    return f"""trows as (select r.yr, r.geo, r.opt, r.micro_share, {cols}
+  from (select *, lag(micro_share) over (partition by geo, opt order by yr) l1 from results) r
+  left join piv p on r.dept_code || '000' = p.insee_code and r.yr = p.year where {where})"""
+
+
+TRAIN = [*R3, *IND, aligned(YEARS), _PIV]
+_LAST = "(select max(year(o_orderdate)) from orders)"
+
+
+def least_squares(src: str, by: str, masks: dict[str, list[int]] | None = None) -> list[str]:
+    """CTEs from `src` (by, v0..vk; vk is the label) to `fit` (by, model, n, c0.., m0.., icpt, rss, ncoef)."""
+    masks = masks or {"linear": list(range(_K))}
+    g = f"{by}, " if by else ""
+    group = f" group by {by}" if by else ""
+    sums = ", ".join(
+        f"count(case when v{i} is not null and v{j} is not null then 1 end) n{i}_{j}, "
+        f"coalesce(cast(sum(case when v{j} is not null then v{i} end) as double), 0) x{i}_{j}, "
+        f"coalesce(cast(sum(case when v{i} is not null then v{j} end) as double), 0) y{i}_{j}, "
+        f"coalesce(cast(sum(v{i} * v{j}) as double), 0) q{i}_{j}" for i, j in _PAIRS)
+    out = [f"gsum as (select {g}{sums} from {src}{group})",
+           f"gmean as (select *, " + ", ".join(f"case when n{i}_{i} > 0 then x{i}_{i} / n{i}_{i} else 0 end m{i}" for i in range(_K + 1))
+           + f" from gsum where n{_K}_{_K} > 0)"]
+    centred = {(i, j): f"(q{i}_{j} - m{j} * x{i}_{j} - m{i} * y{i}_{j} + n{i}_{j} * m{i} * m{j})" for i, j in _PAIRS}
+    out.append(f"gprod as (select *, " + ", ".join(
+        (f"case when {centred[i, j]} > 1e-12 * q{i}_{j} then {centred[i, j]} else 0 end" if i == j else centred[i, j]) + f" p{i}_{j}"
+        for i, j in _PAIRS) + " from gmean)")
+    masked = ", ".join("(" + _sq(name) + ", " + ", ".join(str(int(i in used)) for i in range(_K)) + ")" for name, used in masks.items())
+
+    def start(i, j):
+        a, b = min(i, j), max(i, j)
+        scale = f"sqrt(p{i}_{i})" + ("" if j == _K else f" * sqrt(p{j}_{j})")
+        use = f"u{i}" + ("" if j == _K else f" * u{j}")
+        return f"case when p{i}_{i} > 0" + ("" if j == _K else f" and p{j}_{j} > 0") + f" then {use} * p{a}_{b} / ({scale}) else 0 end a{i}_{j}"
+
+    out.append("t0 as (select *, " + ", ".join(start(i, j) for i in range(_K) for j in range(_K + 1))
+               + f" from gprod cross join (values {masked}) k(model, " + ", ".join(f"u{i}" for i in range(_K)) + "))")
+    for k in range(_K):
+        cells = []
+        for i in range(_K):
+            for j in range(_K + 1):
+                swept = f"a{k}_{j} / a{k}_{k}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k}"
+                gone = "0" if i == k or j == k else f"a{i}_{j}"
+                cells.append(f"case when a{k}_{k} < 1e-8 then {gone} else {swept} end as a{i}_{j}")
+        out.append(f"t{k + 1} as (select * replace ({', '.join(cells)}) from t{k})")
+    coefs = ", ".join(f"case when p{i}_{i} > 0 then a{i}_{_K} / sqrt(p{i}_{i}) else 0 end c{i}" for i in range(_K))
+    ncoef = " + ".join(f"case when a{i}_{i} > 0.5 then 1 else 0 end" for i in range(_K))
+    out.append(f"tc as (select *, {coefs}, {ncoef} ncoef from t{_K})")
+    shift = " - ".join(f"c{i} * m{i}" for i in range(_K))
+    explained = " - ".join(f"c{i} * p{i}_{_K}" for i in range(_K))
+    out.append(f"fit as (select {g}model, n{_K}_{_K} n, " + ", ".join(f"c{i}, m{i}" for i in range(_K))
+               + f", m{_K} - {shift} icpt, greatest(p{_K}_{_K} - {explained}, 0) rss, ncoef from tc)")
+    return out
+
+
+_PREDICT = "icpt + " + " + ".join(f"c{i} * coalesce(cast(v{i} as double), m{i})" for i in range(_K))
+_SPLIT = [*TRAIN, _trows(), f"train as (select * from trows where yr < {_LAST})"]
+ORACLE["fit_regressors"] = with_(_SPLIT, least_squares("train", "")) + f"""
+select yr, geo, opt, micro_share, cast(round(({_PREDICT}) * 1000) as bigint) prediction_milli
+from trows, fit where yr = {_LAST}"""
+ORACLE["fit_regressors_by_area"] = with_(_SPLIT, least_squares("train", "geo")) + f"""
+select yr, t.geo, opt, micro_share, cast(round(({_PREDICT}) * 1000) as bigint) prediction_milli
+from trows t join fit f on t.geo = f.geo where yr = {_LAST}"""
+
+_VARS = ["micro_share", "micro_share_lag1", *_CODES]
+_PLACE = [f"v{_K}", *[f"v{i}" for i in range(_K)]]
+ORACLE["correlation_matrix"] = with_(TRAIN, _trows("true")) + " union all ".join(
+    f"""select geo, {_sq(_VARS[i])} x, {_sq(_VARS[j])} y, count(case when {_PLACE[i]} is not null and {_PLACE[j]} is not null then 1 end) n,
+       cast(round(case when isfinite(corr(cast({_PLACE[i]} as double), cast({_PLACE[j]} as double)))
+                       then corr(cast({_PLACE[i]} as double), cast({_PLACE[j]} as double)) end * 10000) as bigint) corr_e4
+from trows group by geo""" for i in range(len(_VARS)) for j in range(i + 1, len(_VARS)))
+
+# every window's training rows are joined anew: all rows of the years before
+_WINDOWS = [*TRAIN, _trows(), """periods as (select yr w from (select distinct yr from trows)
+  where (select count(distinct yr) from trows t where t.yr < periods0.yr) >= 2)""".replace(
+    "(select distinct yr from trows)", "(select distinct yr from trows) periods0"),
+    "train as (select p.w, t.* from trows t join periods p on t.yr < p.w)"]
+_WPRED = [*_WINDOWS, *least_squares("train", "w", _MASKS),
+          f"wpred as (select model, yr, geo, opt, micro_share, {_PREDICT} pred from trows t join fit f on t.yr = f.w)"]
+_METRICS = [*_WPRED, """wall as (select * from wpred union all
+  select 'persistence', yr, geo, opt, micro_share, cast(v0 as double) from trows where yr in (select w from periods))""",
+            """metrics as (select model, yr period, count(*) n, avg(abs(micro_share - pred)) mae, sqrt(avg((micro_share - pred) * (micro_share - pred))) rmse,
+  1 - sum((micro_share - pred) * (micro_share - pred)) / (sum(cast(micro_share as double) * micro_share) - sum(cast(micro_share as double)) * sum(cast(micro_share as double)) / count(*)) r2
+  from wall group by 1, 2)"""]
+ORACLE["compare_models"] = with_(_METRICS) + """
+select model, period, n, cast(round(mae * 1000) as bigint) mae_milli, cast(round(rmse * 1000) as bigint) rmse_milli,
+       cast(round(r2 * 1000) as bigint) r2_milli from metrics"""
+ORACLE["choose_model"] = with_(_METRICS, """scores as (select model, count(*) n_windows, cast(round(avg(rmse) * 1000) as bigint) mean_rmse_milli,
+  cast(round(stddev_pop(rmse) * 1000) as bigint) spread_rmse_milli, cast(round(max(rmse) * 1000) as bigint) worst_rmse_milli from metrics group by 1)""",
+    """placed as (select s.*, mean_rmse_milli + spread_rmse_milli score_milli, i from scores s
+  join (values ('persistence', 0), ('history', 1), ('indicators', 2), ('full', 3)) o(name, i) on s.model = o.name)""",
+    "near as (select *, score_milli <= (select min(score_milli) from placed) * 1.05 close from placed)",
+    "ranked as (select *, row_number() over (order by close desc, case when close then i end nulls first, score_milli, i) rk from near)") + """
+select model, n_windows, mean_rmse_milli, spread_rmse_milli, worst_rmse_milli, score_milli, rk as rank, rk = 1 chosen from ranked"""
+
+_QPRED = [*_WPRED, "qp as (select yr, geo, opt, micro_share, cast(round(pred * 1000) as bigint) predicted from wpred where model = 'full')"]
+
+
+def _winners(src: str, option: str) -> str:
+    return (f"select yr, geo, arg_max({option}, (micro_share, -ro)) actual, arg_max({option}, (predicted, -ro)) predicted "
+            f"from (select *, rank() over (partition by yr, geo order by {option}) ro from {src}) group by yr, geo")
+
+
+ORACLE["winner_accuracy"] = with_(_QPRED) + f"""
+select yr, count(*) n, count(*) filter (where actual = predicted) n_correct from ({_winners("qp", "opt")}) group by yr"""
+
+
+def _class(c: str) -> str:
+    return f"case when {c} < 40000 then 'low' when {c} < 60000 then 'medium' else 'high' end"
+
+
+ORACLE["confusion_matrix"] = with_(_QPRED, """blocs as (select yr, geo, left(opt, length(opt) - 1) bloc, cast(sum(micro_share) as bigint) micro_share,
+  cast(sum(predicted) as bigint) predicted from qp group by 1, 2, 3)""", f"""pairs as (
+  select 'winner' kind, actual, predicted from ({_winners("qp", "opt")})
+  union all select 'bloc', actual, predicted from ({_winners("blocs", "bloc")})
+  union all select 'class', {_class("micro_share")}, {_class("predicted / 1000.0")} from qp)""",
+    "cells as (select kind, actual, predicted, count(*) n from pairs group by 1, 2, 3)",
+    """per as (select *, cast(sum(n) over (partition by kind, actual) as bigint) n_actual,
+  cast(sum(case when actual = predicted then n else 0 end) over (partition by kind, actual) as bigint) hit from cells)""") + """
+select kind, actual, predicted, n, n_actual, (2 * hit * 1000000 + n_actual) // (2 * n_actual) micro_recall from per"""
+
+_EFFECT = " + ".join(f"c{i}" + f" * (coalesce((select t.at0 + t.slope * (l.yr + h) from trends t where t.insee_code = l.insee_code and t.code = {_sq(c)}), m{i}))"
+                     for i, c in enumerate(_FEATURES) if i)
+ORACLE["scenario_shares"] = with_(TRAIN, _trows(), least_squares("trows", ""), """trends as (
+  select insee_code, indicator_code code,
+         case when count(distinct year) > 1 then regr_slope(cast(value as double), cast(year as double)) else 0 end slope,
+         case when count(distinct year) > 1 then regr_intercept(cast(value as double), cast(year as double))
+              else avg(cast(value as double)) end at0 from vals group by 1, 2)""",
+    f"""last as (select yr, geo, opt, micro_share, dept_code || '000' insee_code from results where yr = {_LAST})""",
+    "areas as (select distinct yr, insee_code from last)",
+    *[f"u{h} as (select insee_code, icpt + {_EFFECT.replace('(l.yr + h)', f'(l.yr + {h})')} u from areas l, fit)" for h in (1, 2, 3)],
+    """s1 as (select l.*, u + c0 * micro_share s from last l join u1 using (insee_code), fit)""",
+    """s2 as (select s1.* replace (u + c0 * s as s) from s1 join u2 using (insee_code), fit)""",
+    """s3 as (select s2.* replace (u + c0 * s as s) from s2 join u3 using (insee_code), fit)""",
+    "path as (select 1 h, * from s1 union all select 2, * from s2 union all select 3, * from s3)",
+    """width as (select h, 1.2816 * sqrt(rss / greatest(1, n - ncoef - 1) * (case h when 1 then 1 when 2 then 1 + c0 * c0 else 1 + c0 * c0 + c0 * c0 * c0 * c0 end)) w
+  from fit, (values (1), (2), (3)) t(h))""") + """
+select geo, opt, cast(path.h as bigint) horizon, yr + path.h period, band, cast(round(greatest(0, least(1000000, s + sign * w))) as bigint) micro_share
+from path join width on path.h = width.h, (values ('low', -1), ('central', 0), ('high', 1)) b(band, sign)"""
+
 ORACLE["temporal_split"] = with_(R3) + """
 select yr, geo, opt, case when yr < (select max(year(o_orderdate)) from orders) then 'train' else 'test' end split
 from results"""

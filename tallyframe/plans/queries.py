@@ -19,6 +19,7 @@ from ..config import JobConfig
 from ..functions import scalars as S
 from ..operators import aggregate as A
 from ..operators import joins as J
+from ..operators import linear as LIN
 from ..operators import load as L
 from ..operators import model as M
 from ..operators import quality as Q
@@ -893,9 +894,9 @@ def scenario_projection(spark, d):
                     F.round("projection").cast("bigint").alias("projection"))
 
 
-@query("fit_regressors")
-def fit_regressors(spark, d):
-    """M3: linear regression on lagged votes, fitted before the last year, predictions for it (quantized)."""
+@query("fit_lag_regressor")
+def fit_lag_regressor(spark, d):
+    """M3: Spark ML linear regression on lagged votes, fitted before the last year, predictions for it (quantized)."""
     lag = _lag_predictions(spark, d).where(F.col("prediction").isNotNull()) \
         .withColumnRenamed("prediction", "lag_votes")
     train, test = M.temporal_split(lag, "yr", P.years(spark, d)[-1])
@@ -908,15 +909,128 @@ def fit_regressors(spark, d):
                        F.round(F.col("prediction") * 100).cast("bigint").alias("prediction_centi"))
 
 
+FEATURES = ["micro_share_lag1", *[s[0] for s in C.INDICATOR_SPECS]]
+#: Linear models of the share, most interpretable first; persistence has no fitted coefficient.
+MODELS = {"history": FEATURES[:1], "indicators": FEATURES[1:], "full": FEATURES}
+PERSISTENCE = {"persistence": {"micro_share_lag1": 1.0}}
+#: Values are exact to two places (indicators are decimals, shares whole millionths).
+PLACES = 2
+
+
+def _training_rows(spark, d):
+    """Training rows that have a share one period before, evaluated once."""
+    return cut_lineage(training_set(spark, d).where(F.col("micro_share_lag1").isNotNull()))
+
+
+def _milli(c):
+    return F.round(F.col(c) * 1000).cast("bigint")
+
+
+@query("fit_regressors")
+def fit_regressors(spark, d):
+    """M3: least squares on history and all indicators, fitted before the last year, predictions for it (quantized)."""
+    rows = _training_rows(spark, d)
+    train, test = M.temporal_split(rows, "yr", P.years(spark, d)[-1])
+    columns = [*FEATURES, "micro_share"]
+    fitted = LIN.fit(LIN.gram(train, columns, scale=PLACES), columns)
+    return LIN.predict(test, fitted, columns).select("yr", "geo", "opt", "micro_share", _milli("prediction").alias("prediction_milli"))
+
+
+@query("fit_regressors_by_area")
+def fit_regressors_by_area(spark, d):
+    """M3: the same model for each area on its own, all from one Gram aggregate by area."""
+    rows = _training_rows(spark, d)
+    train, test = M.temporal_split(rows, "yr", P.years(spark, d)[-1])
+    columns = [*FEATURES, "micro_share"]
+    fitted = LIN.fit(LIN.gram(train, columns, ["geo"], PLACES), columns, ["geo"])
+    return LIN.predict(test, fitted, columns, ["geo"]).select(
+        "yr", "geo", "opt", "micro_share", _milli("prediction").alias("prediction_milli"))
+
+
+@query("correlation_matrix")
+def correlation_matrix(spark, d):
+    """Correlation of every pair of share, history and indicators, over the rows that have both, per area."""
+    rows = training_set(spark, d)
+    columns = ["micro_share", *FEATURES]
+    c = LIN.correlations(LIN.gram(rows, columns, ["geo"], PLACES), columns, ["geo"])
+    return c.select("geo", "x", "y", "n", F.round(F.col("corr") * 10000).cast("bigint").alias("corr_e4"))
+
+
+def _window_predictions(spark, d, models=MODELS, fixed=PERSISTENCE):
+    return M.window_predictions(_training_rows(spark, d), FEATURES, "micro_share", "yr", models, fixed, PLACES)
+
+
 @query("compare_models")
 def compare_models(spark, d):
-    """M6 (rows-only): expanding-window comparison of linear regression, forest, boosted trees and the
-    last-period baseline on the training set with indicators and history, for each year that has
-    two years before it."""
-    f = training_set(spark, d).where(F.col("micro_share_lag1").isNotNull())
-    features = ["micro_share_lag1", *[s[0] for s in C.INDICATOR_SPECS]]
-    return M.compare_models(f, features, "micro_share", "yr", P.years(spark, d)[2:], kinds=("linear", "forest", "gbt"),
-                            by_baseline="micro_share_lag1")
+    """M6: expanding-window comparison of three linear models and persistence, for each year with two years before it."""
+    m = M.compare_models(_window_predictions(spark, d), "micro_share", "yr")
+    return m.select("model", "period", "n", *[_milli(c).alias(f"{c}_milli") for c in ("mae", "rmse", "r2")])
+
+
+@query("choose_model")
+def choose_model(spark, d):
+    """M6: the most stable and interpretable of the compared models."""
+    m = M.compare_models(_window_predictions(spark, d), "micro_share", "yr")
+    c = M.choose_model(m, ["persistence", *MODELS])
+    return c.select("model", "n_windows", "mean_rmse_milli", "spread_rmse_milli", "worst_rmse_milli", "score_milli",
+                    F.col("rank").cast("bigint").alias("rank"), "chosen")
+
+
+@query("compare_tree_models")
+def compare_tree_models(spark, d):
+    """M6 (rows-only): expanding-window scores of Spark ML forests and boosted trees on the same rows."""
+    return M.compare_tree_models(_training_rows(spark, d), FEATURES, "micro_share", "yr", P.years(spark, d)[2:])
+
+
+def _full_predictions(spark, d):
+    pred = _window_predictions(spark, d, {"full": FEATURES}, {})
+    return pred.select("yr", "geo", "opt", "micro_share", _milli("prediction").alias("predicted"))
+
+
+@query("winner_accuracy")
+def winner_accuracy(spark, d):
+    """M5: how often the largest predicted share names the true winner of an area, per year."""
+    w = M.winners(_full_predictions(spark, d), ["yr", "geo"], "opt", "micro_share", "predicted")
+    return M.class_accuracy(w, "actual", "predicted", by=["yr"])
+
+
+def _bloc(c):
+    """Bloc of an option: the part of a brand before its last digit (the maker)."""
+    return F.expr(f"left({c}, length({c}) - 1)")
+
+
+@query("confusion_matrix")
+def confusion_matrix(spark, d):
+    """M5: predicted against actual winner, winning bloc (largest sum of shares) and score class, with recalls."""
+    pred = cut_lineage(_full_predictions(spark, d))
+    blocs = pred.groupBy("yr", "geo", _bloc("opt").alias("bloc")).agg(
+        F.sum("micro_share").alias("micro_share"), F.sum("predicted").alias("predicted"))
+    edges, names = [40_000.0, 60_000.0], ["low", "medium", "high"]
+    classes = pred.withColumn("share", F.col("predicted") / 1000).select(
+        M.discretize("micro_share", edges, names).alias("actual"), M.discretize("share", edges, names).alias("predicted"))
+
+    def kind(pairs, name):
+        return pairs.select(F.lit(name).alias("kind"), "actual", "predicted")
+
+    pairs = kind(M.winners(pred, ["yr", "geo"], "opt", "micro_share", "predicted"), "winner") \
+        .unionByName(kind(M.winners(blocs, ["yr", "geo"], "bloc", "micro_share", "predicted"), "bloc")) \
+        .unionByName(kind(classes, "class"))
+    return M.confusion(pairs, ["kind"])
+
+
+@query("scenario_shares")
+def scenario_shares(spark, d):
+    """M7: every option's share one to three years after the last one, with low, central and high bands (quantized)."""
+    rows = _training_rows(spark, d)
+    columns = [*FEATURES, "micro_share"]
+    model = LIN.fit(LIN.gram(rows, columns, scale=PLACES), columns).first()  # one row of coefficients
+    last = _micro_results(spark, d).select("yr", "geo", "opt", "micro_share", S.geo_key(S.code2("geo")).alias("insee_code")) \
+        .where(F.col("yr") == P.years(spark, d)[-1])
+    values = _indicator_values(spark, d).select("insee_code", "indicator_code", "value", F.col("year").cast("bigint").alias("yr"))
+    out = M.scenario_shares(last, values, model, FEATURES, ["geo", "opt"], "insee_code", "micro_share", "yr", "indicator_code",
+                            "value", high=1e6)
+    return out.select("geo", "opt", F.col("horizon").cast("bigint").alias("horizon"), "period", "band",
+                      F.round("micro_share").cast("bigint").alias("micro_share"))
 
 
 # ---------------------------------------------------------------- streaming
