@@ -2,7 +2,8 @@
 
 Every aggregate here is decomposable (sum/max/min/count/min_by/corr/regr_*),
 so Spark combines map-side before the shuffle: a key holding a third of the
-rows costs one partial row per map task, not a hot reducer.
+rows costs one partial row per map task, not a hot reducer.  The exact median is found
+by counting ranges of values, so no task sorts a large group.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import scalars as S
+from ..session import cut_lineage
 
 
 def rollup_headers(df: DataFrame, unit_key: Sequence[str], geo: str, ordinal: str,
@@ -72,30 +75,101 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-def describe_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Descriptive statistics per group, with the exact median.
+#: Groups of up to this many values are sorted as they are; of larger ones only a range of about this many is.
+SORTED_VALUES = 10_000
+#: Value ranges that a round of the selection counts, per group.
+RANGES = 32
 
-    Values are counted per (group, value) first; the median is found by a running count over
-    these rows, so that no aggregation buffer holds a group's values.
-    """
-    keys = list(keys)
-    counts = (df.select(*keys, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
-    w = Window.partitionBy(*keys)
-    ranked = counts.select("*", F.sum("__n").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)).alias("__upto"),
-                           F.sum("__n").over(w).alias("__all"))
 
-    def at(position: Column) -> Column:  # the value at a 0-based position of the sorted values
-        return F.max(F.when((F.col("__upto") > position) & (F.col("__upto") - F.col("__n") <= position), F.col("__v")))
+def _same_group(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+    return cond
+
+
+def _as_groups(groups: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
+    return groups.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *more)
+
 
-    low, high = F.floor((F.col("__all") - 1) / 2), F.ceil((F.col("__all") - 1) / 2)
-    medians = ranked.groupBy(*keys).agg(((at(low) + at(high)) / 2.0).alias("median"))
+def _narrowed(rows: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One round: targets (keys, __rank, __lo, __hi, __below, __inside) with a smaller range around their rank.
+
+    A sketch cuts each target's range at RANGES - 1 quantiles; the values at a cut and those between two cuts are counted
+    exactly, and the range that holds the rank is kept.  Windows run over the counted ranges, never over values.
+    """
+    target = [*keys, "__rank"]
+    own = [f"__g_{k}" for k in keys]
+    inside = rows.join(_as_groups(targets, keys, "__rank", "__lo", "__hi"), _same_group(keys)) \
+        .where(F.col("__v").between(F.col("__lo"), F.col("__hi"))).drop(*own, "__lo", "__hi")
+    cuts = inside.groupBy(*target).agg(F.percentile_approx("__v", [i / RANGES for i in range(1, RANGES)], 50 * RANGES).alias("__cuts"))
+    place = 2 * F.size(F.filter("__cuts", lambda c: c < F.col("__v"))) + F.array_contains("__cuts", F.col("__v")).cast("int")
+    counted = (inside.join(_as_groups(cuts, target, "__cuts"), _same_group(target))
+               .groupBy(*target, place.alias("__at"))
+               .agg(F.count(F.lit(1)).alias("__inside"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
+    before = Window.partitionBy(*target).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counted.withColumn("__before", F.coalesce(F.sum("__inside").over(before), F.lit(0)))
+    ranges = ranges.join(_as_groups(targets, target, "__below"), _same_group(target)).withColumn("__below", F.col("__below") + F.col("__before"))
+    held = (F.col("__below") <= F.col("__rank")) & (F.col("__rank") < F.col("__below") + F.col("__inside"))
+    return ranges.where(held).select(*target, "__lo", "__hi", "__below", "__inside")
+
+
+def medians(rows: DataFrame, sizes: DataFrame, keys: Sequence[str], largest: int | None = None) -> DataFrame:
+    """Exact median per group of `rows` (keys, __v without nulls), by counting.
+
+    `sizes` has keys, n, min and max per group.  Only groups with more than `largest` values go through rounds, one target for
+    each of their middle ranks; a round shrinks a target's range about RANGES times, until it holds few values or a
+    single one.  The values of what is left are counted, and only these counts (at most `largest` per target) are sorted together.
+    """
+    keys, largest = list(keys), largest or SORTED_VALUES
+    low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    todo = cut_lineage(sizes.where(F.col("n") > largest).select(
+        *keys, F.explode(F.array_distinct(F.array(low, high))).alias("__rank"), F.col("min").alias("__lo"), F.col("max").alias("__hi"),
+        F.lit(0).cast("bigint").alias("__below"), F.col("n").alias("__inside")))
+    wide = (F.col("__inside") > largest) & (F.col("__lo") < F.col("__hi"))
+    targets = None
+    while not todo.isEmpty():
+        done = todo.where(~wide)
+        targets = done if targets is None else targets.unionByName(done)
+        todo = cut_lineage(_narrowed(rows, todo.where(wide), keys).select(*todo.columns))
+    if targets is None:
+        left = rows.withColumn("__rank", F.lit(None).cast("bigint")).withColumn("__below", F.lit(0).cast("bigint"))
+    else:
+        left = rows.join(_as_groups(cut_lineage(targets), keys, "__rank", "__lo", "__hi", "__below"), _same_group(keys), "left") \
+            .where(F.col("__lo").isNull() | F.col("__v").between(F.col("__lo"), F.col("__hi")))
+    target = [*keys, "__rank"]
+    counts = left.groupBy(*target, "__v").agg(F.count(F.lit(1)).alias("__n"), F.max("__below").alias("__below"))
+    kept = counts.groupBy(*target).agg(F.array_sort(F.collect_list(F.struct("__v", "__n"))).alias("__values"),
+                                       F.coalesce(F.max("__below"), F.lit(0)).alias("__below"))
+    at = kept.join(_as_groups(sizes, keys, low.alias("__mid_low"), high.alias("__mid_high")), _same_group(keys))
+    wanted = (F.coalesce("__rank", "__mid_low"), F.coalesce("__rank", "__mid_high"))
+    nothing = F.lit(None).cast(rows.schema["__v"].dataType)
+
+    def step(acc, x):
+        upto = acc["upto"] + x["__n"]
+        return F.struct(upto.alias("upto"), F.coalesce(acc["low"], F.when(upto > wanted[0], x["__v"])).alias("low"),
+                        F.coalesce(acc["high"], F.when(upto > wanted[1], x["__v"])).alias("high"))
+
+    start = F.struct(F.col("__below").alias("upto"), nothing.alias("low"), nothing.alias("high"))
+    found = at.select(*keys, F.aggregate("__values", start, step).alias("__m"))
+    return found.groupBy(*keys).agg(F.avg((F.col("__m")["low"] + F.col("__m")["high"]) / 2.0).alias("median"))
+
+
+def describe_by(df: DataFrame, keys: Sequence[str], value: str, largest: int | None = None) -> DataFrame:
+    """Descriptive statistics per group, with the exact median (see ``medians``); NaN counts as missing.
+
+    The rows are evaluated once (a checkpoint of keys and value); groups without a value have null statistics.
+    """
+    keys = list(keys)
     v = F.col(value)
-    stats = df.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    right = medians.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "median")
-    return stats.join(right, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left") \
+    if isinstance(df.schema[value].dataType, (FloatType, DoubleType)):
+        v = S.nan_to_null(value)
+    rows = cut_lineage(df.select(*keys, v.alias("__v")))
+    stats = cut_lineage(rows.groupBy(*keys).agg(
+        F.count("__v").alias("n"), F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("stddev"),
+        F.min("__v").alias("min"), F.max("__v").alias("max")))
+    middle = medians(rows.where(F.col("__v").isNotNull()), stats.where(F.col("n") > 0), keys, largest)
+    return stats.join(_as_groups(middle, keys, "median"), _same_group(keys), "left") \
         .select(*keys, "n", "mean", "stddev", "min", "median", "max")
 
 
