@@ -8,9 +8,9 @@ fold is generated by rule from ``unicodedata`` on the driver, over all of Unicod
 * the other characters whose fold is several characters (ligatures, fractions,
   squared units, ...) are looked up in a map literal.
 
-The last two only touch strings that hold such characters: a class of a few ranges finds strings beyond
-plain Latin, these lose all other characters at once, and the distinct ones of what is left are replaced.  ``fold_text``
-is the same fold for a Python string, from the same tables.
+A string that is ASCII after the first step needs no other.  Else it loses all characters of the first step at once,
+and the distinct ones of what is left are looked at.  ``one_pass`` puts a further change of each
+character (case, deletion) into the same step.  ``fold_text`` is the same fold for a Python string, from the same tables.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,8 +62,6 @@ def fold_text(text: str) -> str:
 
 
 _PAIR, _KV = "\u0002", "\u0003"
-#: Below this code point, characters without a fold of several characters count as plain.
-_PLAIN_END = 0x250
 
 
 @functools.lru_cache(maxsize=1)
@@ -71,21 +70,27 @@ def _mapping_text() -> str:
     return _PAIR.join(k + _KV + v for k, v in sorted(fold_tables()[2].items()))
 
 
-@functools.lru_cache(maxsize=1)
-def _beyond_plain() -> str:
-    """Regex class, of few ranges, of the characters that are not plain."""
-    multi = fold_tables()[2]
-    plain = [cp for cp in range(_PLAIN_END) if chr(cp) not in multi]
-    starts = [cp for cp in plain if cp - 1 not in plain]
-    ends = [cp for cp in plain if cp + 1 not in plain]
-    return "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends)) + "]"
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value evaluated once (Spark would repeat a long expression in each branch)."""
+    return F.transform(F.array(value), body)[0]
 
 
-@functools.lru_cache(maxsize=1)
-def _single() -> str:
-    """Characters below _PLAIN_END or with a fold of one or no character, which need no rewriting."""
-    src, _, multi = fold_tables()
-    return "".join(dict.fromkeys([*(chr(cp) for cp in range(1, _PLAIN_END) if chr(cp) not in multi), *src]))
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
+def one_pass(c: Column, change: Callable[[str], str], also: str = "") -> Column:
+    """The one-character folds and `change` of each result, in one ``translate``.
+
+    `change` gives at most one character and keeps what is not ASCII; `also` are characters to change
+    that don't fold.  The result is right where it is ASCII: characters that need more stay as they are.
+    """
+    src, dst, _ = fold_tables()
+    table = {ch: change(ch) for ch in [*map(chr, range(1, 0x80)), *also]}
+    table |= {ch: change(dst[i]) if i < len(dst) else "" for i, ch in enumerate(src) if ch not in table}
+    kept = {k: v for k, v in table.items() if len(v) == 1 and v != k}
+    gone = "".join(k for k, v in table.items() if v == "")
+    return F.translate(c, "".join(kept) + gone, "".join(kept.values()))
 
 
 def _syllable(ch: Column) -> Column:
@@ -105,12 +110,19 @@ def fold_accents(c: Column) -> Column:
     src, dst, multi = fold_tables()
     mapping = F.str_to_map(F.lit(_mapping_text()), F.lit(_PAIR), F.lit(_KV))
     keys = F.lit("".join(sorted(multi)))
-
     def syllable(ch):
         return (ch >= chr(_HANGUL[0])) & (ch <= chr(_HANGUL[-1]))
 
-    left = F.array_distinct(F.split(F.translate(c, _single(), ""), ""))
-    present = F.filter(left, lambda ch: (ch != "") & (syllable(ch) | (F.instr(keys, ch) > 0)))
-    expanded = F.aggregate(present, c, lambda acc, ch: F.replace(
-        acc, ch, F.when(syllable(ch), _syllable(ch)).otherwise(mapping[ch])))
-    return F.translate(F.when(c.rlike(_beyond_plain()), expanded).otherwise(c), src, dst)
+    ascii_chars = "".join(map(chr, range(1, 0x80)))
+
+    def rest(ones):
+        present = F.filter(F.array_distinct(F.split(F.translate(ones, ascii_chars, ""), "")),
+                           lambda ch: (ch != "") & (syllable(ch) | (F.instr(keys, ch) > 0)))
+        return F.aggregate(present, ones, lambda acc, ch: F.replace(
+            acc, ch, F.when(syllable(ch), _syllable(ch)).otherwise(mapping[ch])))
+
+    def folded(text):
+        ones = F.when(is_ascii(text), text).otherwise(F.translate(text, src, dst))
+        return let(ones, lambda x: F.when(is_ascii(x), x).otherwise(rest(x)))
+
+    return let(c, folded)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fold import fold_accents
+from .fold import fold_accents, is_ascii, let, one_pass
 
 # Unicode whitespace exactly as Python's ``str.isspace`` (generated, not listed).
 WHITESPACE = "".join(chr(cp) for cp in range(0x3100) if chr(cp).isspace())
@@ -61,7 +61,12 @@ def normalize_key(c) -> Column:
     (Stripping is implied: whitespace never folds to [a-z0-9] and is deleted.)
     """
     s = F.coalesce(col_(c).cast("string"), F.lit(""))
-    return F.regexp_replace(F.lower(fold_accents(s)), "[^a-z0-9]+", "")
+
+    def change(ch: str) -> str:
+        return ch if not ch.isascii() else ch.lower() if ch.isalnum() else ""
+
+    longer = F.regexp_replace(F.lower(fold_accents(s)), "[^a-z0-9]+", "")
+    return let(one_pass(s, change), lambda short: F.when(is_ascii(short), short).otherwise(longer))
 
 
 # F2 -------------------------------------------------------------------------
@@ -117,11 +122,22 @@ def parse_ratio_fr(c) -> Column:
 def canonical_label(c) -> Column:
     """Strip trailing _VOIX/_EXP, '_' -> ' ', fold accents, collapse spaces, upper."""
     s = F.coalesce(col_(c).cast("string"), F.lit(""))
-    s = F.regexp_replace(s, r"(?i)_(VOIX|EXP)$", "")
-    s = F.translate(s, "_", " ")
-    s = fold_accents(s)
-    s = F.regexp_replace(s, UNICODE_SPACE_RUN, " ")
-    return F.upper(ustrip(s))
+    # the suffix, with a line end behind it, lies in the last seven characters
+    s = F.concat(F.left(s, F.greatest(F.length(s) - 7, F.lit(0))), F.regexp_replace(F.right(s, F.lit(7)), r"(?i)_(VOIX|EXP)$", ""))
+
+    def change(ch: str) -> str:
+        return " " if ch == "_" or ch in WHITESPACE else ch.upper() if ch.isascii() else ch
+
+    def label(text: Column) -> Column:
+        longer = F.upper(ustrip(F.regexp_replace(fold_accents(F.translate(text, "_", " ")), UNICODE_SPACE_RUN, " ")))
+
+        def finish(short: Column) -> Column:
+            one_space = F.when(F.contains(short, F.lit("  ")), F.regexp_replace(short, " {2,}", " ")).otherwise(short)
+            return F.when(is_ascii(short), F.btrim(one_space)).otherwise(longer)
+
+        return let(one_pass(text, change, also=WHITESPACE), finish)
+
+    return let(s, label)
 
 
 # F7/F8 ----------------------------------------------------------------------

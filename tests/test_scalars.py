@@ -128,3 +128,20 @@ def test_geo_key_roundtrip(spark):
 @pytest.mark.parametrize("text", ["a b", " x　", "\x1fy\x1c"])
 def test_unicode_strip(spark, text):
     assert run(spark, S.ustrip, [text]) == [text.strip()]
+
+
+def test_short_and_long_paths_agree(spark):
+    """Texts that are ASCII after one pass, and the same with a character that needs the long path."""
+    import re
+    import unicodedata
+
+    def plain(text):
+        return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+    texts = ["Éa_b\tc 　 d e_voix\n", "x__y_EXP\r\n", "_exp", "VOIX", "a_voix_voix", "\x1c\u0085q ", "İıK Å_ exp", "É", "  ",
+             "ab" * 3000 + "é", "Ĳ_VOIX", "１２３ ａｂ", "á̂b", "日本_exp", "voix_VOIX "]
+    texts += [t + "’…½ß가" for t in texts] + [f"{t}…_Voix" for t in texts]
+    keys = [re.sub(r"[^a-z0-9]+", "", plain(t).lower()) for t in texts]
+    assert run(spark, S.normalize_key, texts) == keys
+    labels = [" ".join(plain(re.sub(r"(?i)_(VOIX|EXP)(?=(\r\n|[\n\r\u0085  ])?\Z)", "", t).replace("_", " ")).split()).upper() for t in texts]
+    assert run(spark, S.canonical_label, texts) == labels
