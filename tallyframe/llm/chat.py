@@ -7,11 +7,11 @@ render that doesn't start with the one before has rewritten history: the
 conversation is marked with the first such turn, and the spans before the first
 changed character stay valid; later spans are null.
 
-Rendering every prefix costs the square of the length, so conversations of over ``2 * WINDOW`` turns
-render whole prefixes only every ``WINDOW`` turns; between these, the prefixes of the last turns
-alone (``WINDOW`` turns of context) are rendered and compared, and what they add must be,
-letter for letter, what the whole prefixes add.  Where it isn't (the template looks further back),
-the whole prefixes of those turns are rendered after all.
+Every prefix is rendered whole, whatever the length; that costs the square of a conversation's length.
+``window=w`` is an opt-in for long conversations under templates that are known not to look further back than w
+turns: over ``2 * w`` turns, whole prefixes are rendered only every w turns, and those between are rendered
+from their last turns alone and must add up, letter for letter, to what the whole prefixes add (else the whole ones are
+rendered after all).  A rewriting that is undone before the next whole prefix is then not seen.
 
 Inside a span the text under the loss mask is found by rendering the same prefix
 with a probe in place of the last text: the common head and tail of the two spans
@@ -47,7 +47,6 @@ CONTROLS = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|system|>", "<|user
 _CONTROL = re.compile("(?=(?:" + "|".join(map(re.escape, CONTROLS)) + "))(.)", re.S)
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 _PROBES = ("\x01", "\x02")
-WINDOW = 8
 
 Turns = list[tuple[str, str]]
 Template = Callable[[Turns], str]
@@ -113,17 +112,17 @@ def _step(turns: Turns, i: int, first: int, before: str, template: Template) ->
     return now, (len(before), len(now), start, len(now) - tail) if sure else None, len(before)
 
 
-def render(turns: Turns, template: Template) -> tuple[str, list[Span | None], int | None]:
+def render(turns: Turns, template: Template, window: int | None = None) -> tuple[str, list[Span | None], int | None]:
     """(formatted, for each turn (start, end, text start, text end) or None, first rewriting turn or None).
 
     The text's place is (end, end) for an empty text."""
     spans: list[Span | None] = []
     whole, rewrote, at = "", None, 0
     while at < len(turns):
-        long = len(turns) > 2 * WINDOW and at >= WINDOW
-        stop = min(len(turns), at + WINDOW) if long else at + 1
+        long = window is not None and len(turns) > 2 * window and at >= window
+        stop = min(len(turns), at + window) if long else at + 1
         if long and stop > at + 1:
-            first = at - WINDOW
+            first = at - window
             local = start = template(turns[first:at])
             found: list[Span | None] | None = []
             for i in range(at, stop):
@@ -157,13 +156,13 @@ def conversations(rows: DataFrame) -> DataFrame:
         .groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns")))
 
 
-def _run(template: Template):
+def _run(template: Template, window: int | None):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for turns in pdf["turns"]:
                 turns = [(t["role"], t["text"]) for t in turns]
-                formatted, spans, rewrote = render(turns, template)
+                formatted, spans, rewrote = render(turns, template, window)
                 out.append((formatted, [None if s is None else list(s) for s in spans], rewrote))
             yield pd.DataFrame({
                 "conv_id": pdf["conv_id"], "formatted": [x[0] for x in out], "spans": [x[1] for x in out],
@@ -172,10 +171,10 @@ def _run(template: Template):
     return run
 
 
-def format_conversations(rows: DataFrame, template: Template = marked_template) -> DataFrame:
+def format_conversations(rows: DataFrame, template: Template = marked_template, window: int | None = None) -> DataFrame:
     """conv_id, formatted, spans (start, end, text start, text end for each turn), rewritten_at."""
     convs = conversations(rows).withColumn("conv_id", F.col("conv_id").cast("string"))
-    return (convs.mapInPandas(_run(template), "conv_id string, formatted string, spans array<array<int>>, rewritten_at int")
+    return (convs.mapInPandas(_run(template, window), "conv_id string, formatted string, spans array<array<int>>, rewritten_at int")
             .withColumn("conv_id", F.col("conv_id").cast("long")))
 
 

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 # FIXED VALUES: element names of HTML, by role.
 SKIP = frozenset("script style noscript template iframe object svg math canvas audio video select button textarea title head datalist".split())
+#: Of these, the ones whose text runs to the closing tag whatever it holds, and to the page's end without one.
+RAW = frozenset("script style textarea title".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
@@ -38,7 +40,7 @@ CLOSES = {  # an opening element ends an open one of these
     "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"},
 }
 #: Elements that are not the article wherever they stand.
-NOISE_TAGS = frozenset("nav footer aside form menu dialog search label legend".split())
+NOISE_TAGS = frozenset("nav footer aside form menu dialog search label legend option optgroup".split())
 MAIN_TAGS = frozenset("article main".split())
 #: Words in class, id or role that mark boilerplate, and the article.
 NOISE_WORDS = frozenset(
@@ -85,8 +87,24 @@ class Block:
         self.links = min(1.0, links / max(1, self.words))
 
 
+def _closed(page: str, tag: str) -> dict[int, int]:
+    """End of the opening tag -> end of its closing tag, for the elements of this name that have one."""
+    out, open_ = {}, []
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*(?:>|\Z)", page, re.I):
+        if not m[1]:
+            open_.append(m.end())
+        elif open_:
+            out[open_.pop()] = m.end()
+    return out
+
+
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order."""
+    """The page's text blocks in order.
+
+    Elements without text of the page (SKIP) are left out with all they hold, also where they nest.  One that is never closed
+    leaves out the words up to the next block or its parent's end; only RAW ones reach to the page's end.
+    """
+    closed: dict[str, dict[int, int]] = {}
     out: list[Block] = []
     text: list[str] = []
     stack: list[tuple[str, int, int, bool, bool]] = []  # tag, boilerplate, article, inline, marked
@@ -146,11 +164,21 @@ def blocks(page: str) -> list[Block]:
             continue
         attrs = m[3] or ""
         if tag in SKIP:
-            if not attrs.endswith("/"):
+            if attrs.endswith("/"):
+                continue
+            if tag in RAW or tag == "head":
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                 if tag == "head" and close is None:  # an unclosed head ends where the body begins
                     close = re.compile(r"(?=<body[\s>])", re.I).search(page, at)
                 at = close.end() if close else end
+                continue
+            if tag not in closed:
+                closed[tag] = _closed(page, tag)
+            if at in closed[tag]:
+                at = closed[tag][at]
+            else:
+                stack.append((tag, 0, 0, True, False))
+                skipped += 1
             continue
         if tag == "br":
             if not skipped:
@@ -161,7 +189,7 @@ def blocks(page: str) -> list[Block]:
         bad, good, marked = _marks(tag, attrs)
         if tag in BLOCK:
             flush()
-            ends = CLOSES.get(tag, {"p"})
+            ends = CLOSES.get(tag, {"p", "option", "optgroup"})
             while stack and stack[-1][0] in ends:
                 pop()
             while stack and stack[-1][3]:  # inline boilerplate ends with its block

@@ -79,7 +79,7 @@ def test_long_conversations_cost_less_and_give_the_same():
         calls[0] += len(ts)
         return chat.marked_template(ts)
 
-    out, spans, rewrote = chat.render(turns, counted)
+    out, spans, rewrote = chat.render(turns, counted, window=8)
     want, places = slow(turns, chat.marked_template)
     assert out == want and [s[:2] for s in spans] == places and rewrote is None
     assert [chat.unescape(out[s[2]:s[3]]) for s in spans] == [t for _, t in turns]
@@ -94,7 +94,16 @@ def test_long_conversations_with_far_sight_and_late_rewriting():
         return "".join(f"[{'' if i == 0 and len(ts) >= 300 else t}]" for i, (_, t) in enumerate(ts))
 
     turns = [("user", f"t{i}") for i in range(350)]
-    out, spans, rewrote = chat.render(turns, numbered)
+    out, spans, rewrote = chat.render(turns, numbered, window=8)
     assert out == numbered(turns) and rewrote is None and all(out[s[2]:s[3]] == f"t{i}" for i, s in enumerate(spans))
-    out, spans, rewrote = chat.render(turns, forgets)
+    out, spans, rewrote = chat.render(turns, forgets, window=8)
     assert out == forgets(turns) and rewrote == 299 and spans[0] is None and out[slice(*spans[-1][2:])] == "t349"
+
+
+def test_rewriting_at_one_length_only_is_seen():
+    def once(ts):  # the first text changes at 20 turns and comes back at 21
+        return "".join(f"[{'?' if i == 0 and len(ts) == 20 else t}]" for i, (_, t) in enumerate(ts))
+
+    out, spans, rewrote = chat.render([("user", f"t{i}") for i in range(24)], once)
+    assert rewrote == 19 and out == once([("user", f"t{i}") for i in range(24)])
+    assert spans[0] is None and out[slice(*spans[-1][2:])] == "t23"

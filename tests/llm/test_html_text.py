@@ -65,3 +65,18 @@ def test_operator(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in X.op10(rows).collect())
     assert got == [(1, "", 0), (2, "é 𝒳", 3), (2, "é 𝒳", 3)]
     assert X.op10(rows.limit(0)).columns == ["page_id", "url", "text", "n_chars"] and X.op10(rows.limit(0)).count() == 0
+
+
+def test_unclosed_elements_do_not_swallow_the_page():
+    p = "Words of the article that are long enough to be a paragraph of their own. " * 3
+    body = f"<article><h1>Head</h1><p>{p}</p><p>Last.</p></article>"
+    want = f"Head\n{p.strip()}\nLast."
+    for tag in ("button", "select", "object", "svg", "iframe", "noscript", "audio", "video", "canvas", "template"):
+        assert get(f"<{tag}>x{body}") == want, tag
+        assert get(f"<nav><a>Home</a><{tag}>x</nav>{body}<footer>x<{tag}></footer>") == want, tag
+        assert get(f"<{tag}>a<{tag}>b</{tag}>c</{tag}>{body}") == want, tag  # nested
+        assert get(f"<{tag}>{body}</{tag}>{body}") == want, tag
+    assert get(f"<select><option>One<option>Two{body}") == want
+    assert get(f"<article><p>A <button>Share</button>b <svg><title>t</title><text>u</text></svg>c</p><p>{p}</p></article>") == f"A b c\n{p.strip()}"
+    assert get("<article>" + "<p>x y<button>z</p>" * 5_000).count("\n") == 4_999
+    assert get(f"{body}<script>var a = '<p>x</p>'") == want
