@@ -22,17 +22,28 @@ def rollup_headers(df: DataFrame, unit_key: Sequence[str], geo: str, ordinal: st
                    counts: Sequence[str], name: str | None = None) -> DataFrame:
     """A1: header totals counted once per unit (first row by ordinal), null -> 0, summed per geo.
 
-    Two decomposable aggregations: per unit ``min_by`` (first row), then per geo sum.
-    The geo name is the name on the earliest row of the geo.
+    The geo name is the name on the earliest row of the geo.  `geo` is one of the unit's keys.  Every row gives a record of
+    its unit and one of its geo's name, so that two decomposable aggregations and a window over their few results do both in
+    one pass; with an ordinal of fixed width (integer, decimal) all are hash aggregates, as no string is ever an aggregate's value.
     """
-    firsts = [F.min_by(F.coalesce(F.col(c), F.lit(0)), F.col(ordinal)).alias(c) for c in counts]
-    extra = [F.min_by(F.col(name), F.col(ordinal)).alias(name)] if name else []
-    per_unit = (df.groupBy(*unit_key)
-                .agg(*firsts, *extra, F.min(ordinal).alias("__first")))
-    outs = [F.sum(c).cast("bigint").alias(c) for c in counts]
+    keys = [k for k in unit_key if k != geo]
+    nothing = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
+    label = F.col(name).cast("string") if name else F.lit(None).cast("string")
+    records = [F.struct(F.lit(False).alias("__named"), *[F.col(k).alias(k) for k in keys], F.lit(None).cast("string").alias("__name"))]
     if name:
-        outs.append(F.min_by(F.col(name), F.col("__first")).alias(name))
-    return per_unit.groupBy(geo).agg(*outs)
+        records.append(F.struct(F.lit(True).alias("__named"), *nothing, label.alias("__name")))
+    recs = df.select(geo, F.col(ordinal).alias("__at"), *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(f"__c_{c}") for c in counts],
+                     F.inline(F.array(*records)))
+    per_unit = recs.groupBy(geo, "__named", *keys, "__name").agg(
+        F.min("__at").alias("__at"), *[F.min_by(f"__c_{c}", "__at").alias(f"__c_{c}") for c in counts])
+    per_geo = per_unit.groupBy(geo, "__named", "__name").agg(
+        F.min("__at").alias("__at"), *[F.sum(f"__c_{c}").cast("bigint").alias(c) for c in counts])
+    if not name:
+        return per_geo.select(geo, *counts)
+    w = Window.partitionBy(geo)
+    named = per_geo.withColumn("__first", F.min(F.when(F.col("__named"), F.col("__at"))).over(w))
+    named = named.withColumn(name, F.max(F.when(F.col("__named") & (F.col("__at") == F.col("__first")), F.col("__name"))).over(w))
+    return named.where(~F.col("__named")).select(geo, *counts, name)
 
 
 def collapse_results(df: DataFrame, keys: Sequence[str] = ("year", "dept_code", "candidate_name"),

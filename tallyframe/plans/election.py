@@ -127,42 +127,45 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
         {"last_name": C.STATION_NAME_OFFSET, "votes_raw": C.STATION_VOTES_OFFSET,
          "panel": C.STATION_PANEL_OFFSET},
         keep=lambda g: S.ustrip(g["panel"]) != "")
-    header = F.array(F.struct(F.lit(None).cast("string").alias("last_name"),
-                              F.lit(None).cast("string").alias("votes_raw"), F.lit(None).cast("string").alias("panel")))
-    recs = df.select(*unit, "ordinal", "dept_name", "registered", "votes_cast", "votes_valid",
-                     F.inline(F.concat(header, groups)))
-    is_group = F.col("panel").isNotNull()
-    recs = recs.select(
-        *unit, "ordinal", "dept_name", "registered", "votes_cast", "votes_valid",
-        is_group.alias("is_group"), F.when(is_group, F.col("last_name")).alias("written"),
-        F.when(is_group, F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0))).alias("votes"))
+    def record(last_name):
+        return F.struct(last_name.cast("string").alias("last_name"), F.lit(None).cast("string").alias("votes_raw"),
+                        F.lit(None).cast("string").alias("panel"))
+
+    # kinds of records: 0 the row's header, 1 a candidate group, 2 the area's name on the row
+    heads = F.array(record(F.lit(None)), record(F.coalesce("dept_name", F.lit(""))))
+    recs = df.select(*unit, "ordinal", "registered", "votes_cast", "votes_valid", F.inline(F.concat(heads, groups)))
+    kind = F.when(F.col("panel").isNotNull(), 1).when(F.col("last_name").isNotNull(), 2).otherwise(0)
+    recs = recs.withColumn("kind", kind).select(
+        "dept_code", *[F.when(F.col("kind") != 2, F.col(c)).alias(c) for c in unit[1:]], "ordinal", "kind",
+        "registered", "votes_cast", "votes_valid", F.col("last_name").alias("written"),
+        F.when(F.col("kind") == 1, F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0))).alias("votes"))
     if cfg.dedupe_measures:
         # candidate groups only from the first row of each station, like the totals
         firsts = df.groupBy(*unit).agg(F.min("ordinal").alias("ordinal"))
-        recs = recs.where(~F.col("is_group")).unionByName(
-            recs.where(F.col("is_group")).join(firsts, [*unit, "ordinal"], "left_semi"))
+        recs = recs.where(F.col("kind") != 1).unionByName(
+            recs.where(F.col("kind") == 1).join(firsts, [*unit, "ordinal"], "left_semi"))
     # level 1 per (unit, name as written): header records keep the first row's counts, group
     # records sum their votes; level 2 per (area, name as written); the names are canonicalized
-    # there, on the few distinct ones, and level 3 sums what has become one name; a window
-    # over the aggregated rows of each area attaches the totals (no join, no branch, so the
-    # input is parsed once)
+    # there, on the few distinct ones, and level 3 sums what has become one name; windows
+    # over the aggregated rows of each area attach the totals and the area's earliest name (no join, no branch, so
+    # the input is parsed once; no string is an aggregate's value, so a fixed-width ordinal keeps hash aggregates)
     counts = ("registered", "votes_cast", "votes_valid")
-    per_unit = recs.groupBy(*unit, "is_group", "written").agg(
-        F.sum("votes").alias("votes"), F.min("ordinal").alias("first"),
-        *[F.min_by(c, "ordinal").alias(c) for c in (*counts, "dept_name")])
-    per_name = per_unit.groupBy("dept_code", "is_group", "written").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("first"),
-        *[F.sum(c).alias(c) for c in counts], F.min_by("dept_name", "first").alias("dept_name"))
-    named = per_name.withColumn("candidate_name", F.when(F.col("is_group"), S.canonical_label(S.ustrip("written"))))
-    per_area = named.groupBy("dept_code", "is_group", "candidate_name").agg(
-        F.sum("votes").cast("bigint").alias("votes"),
-        *[F.sum(c).cast("bigint").alias(c) for c in counts], F.min_by("dept_name", "first").alias("dept_name"))
+    per_unit = recs.groupBy(*unit, "kind", "written").agg(
+        F.sum("votes").alias("votes"), F.min("ordinal").alias("first"), *[F.min_by(c, "ordinal").alias(c) for c in counts])
+    per_name = per_unit.groupBy("dept_code", "kind", "written").agg(
+        F.sum("votes").alias("votes"), F.min("first").alias("first"), *[F.sum(c).alias(c) for c in counts])
+    named = per_name.withColumn("candidate_name", F.when(F.col("kind") == 1, S.canonical_label(S.ustrip("written")))
+                                .when(F.col("kind") == 2, F.col("written")))
+    per_area = named.groupBy("dept_code", "kind", "candidate_name").agg(
+        F.sum("votes").cast("bigint").alias("votes"), F.min("first").alias("first"),
+        *[F.sum(c).cast("bigint").alias(c) for c in counts])
     area = Window.partitionBy("dept_code")
-    head = ~F.col("is_group")
+    per_area = per_area.withColumn("earliest", F.min(F.when(F.col("kind") == 2, F.col("first"))).over(area))
+    area_name = F.when((F.col("kind") == 2) & (F.col("first") == F.col("earliest")), F.col("candidate_name"))
     out = per_area.select(
-        "dept_code", "candidate_name", "votes", "is_group",
-        *[F.max(F.when(head, F.col(c))).over(area).alias(c) for c in (*counts, "dept_name")]
-    ).where(F.col("is_group"))
+        "dept_code", "candidate_name", "votes", "kind", F.nullif(F.max(area_name).over(area), F.lit("")).alias("dept_name"),
+        *[F.max(F.when(F.col("kind") == 0, F.col(c))).over(area).alias(c) for c in counts]
+    ).where(F.col("kind") == 1)
     return out.select(
         F.lit(year).cast("int").alias("year"), "dept_code", "dept_name", "candidate_name",
         "registered", "votes_cast", "votes_valid", F.col("votes").cast("bigint").alias("votes"),

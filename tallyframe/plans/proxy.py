@@ -156,7 +156,8 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One row per (order, chunk of 3 line items); every row repeats its
     station's header totals; rows of urgent orders appear twice (exact
-    duplicates); panel is blank on every 4th line number.  Columns: (line, ordinal).
+    duplicates); panel is blank on every 4th line number.  Columns: (line, ordinal); the ordinal packs
+    (order, chunk, copy) into 64 bits in that order (orders below 2^43 with under 2^19 chunks).
 
     One shuffle: the window by station numbers the lines and computes the
     station totals; the chunk aggregation reuses that partitioning.
@@ -185,7 +186,7 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("gs", lambda s: s["g"]), ";"))
     copies = F.when(F.col("urgent"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return rows.select(line.alias("line"), "station", "chunk", F.explode(copies).alias("copy")) \
-        .select("line", F.struct("station", "chunk", "copy").alias("ordinal"))
+        .select("line", (F.shiftleft(F.col("station").cast("bigint"), 20) + F.col("chunk") * 2 + F.col("copy")).alias("ordinal"))
 
 
 def indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

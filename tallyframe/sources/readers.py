@@ -6,12 +6,14 @@ Everything is read as strings (no schema inference) and typed later with
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from .. import config as C
 from .schema import normalize_name, require_columns, trim_headers
@@ -29,14 +31,29 @@ def landed_headers(names: list[str | None]) -> list[str]:
     return out
 
 
+#: ``ordinal`` = file rank * FILE + start of the split * SPLIT + position in it, as decimal(38,0).
+FILE, SPLIT = Decimal(10) ** 30, Decimal(10) ** 12
+#: Scheme and host of a path, which Spark writes in two ways (file:/x, file:///x).
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*"
+
+
 def source_order(df: DataFrame) -> DataFrame:
-    """Adds ``ordinal``: (file, start of the split, position in it), the order of rows in the files.
+    """Adds ``ordinal``, the order of rows in the files: file by path, start of the split, position in it.
 
-    (A position number alone follows how splits are packed into tasks, largest files first.)
+    (A position number alone follows how splits are packed into tasks, largest files first.)  The three are packed into
+    one decimal: a value of fixed width keeps the first row of a group a hash aggregate, a struct doesn't.  File ranks come
+    from the listing that the read made anyway.
     """
-    return df.withColumn("ordinal", F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at")))
+    listed = sorted({re.sub(_STORE, "/", p) for p in df.inputFiles()})
+    paths = df.sparkSession.createDataFrame([(p, i) for i, p in enumerate(listed)], "__path string, __rank int")
+    rows = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), _STORE, "/").alias("__file"),
+                     F.col("_metadata.file_block_start").alias("__start"),
+                     F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+    rank = F.coalesce("__rank", F.raise_error(F.concat(F.lit("no such file in the listing: "), "__file")).cast("int"))
+    ordinal = (rank.cast("decimal(6,0)") * F.lit(FILE) + F.col("__start").cast("decimal(18,0)") * F.lit(SPLIT)
+               + F.col("__at").cast("decimal(10,0)")).cast("decimal(38,0)")
+    return (rows.join(F.broadcast(paths), F.col("__file") == F.col("__path"), "left")  # one row per input file
+            .withColumn("ordinal", ordinal).drop("__file", "__start", "__at", "__path", "__rank"))
 
 
 def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -81,9 +98,10 @@ def station_header(lines: DataFrame, sep: str = ";") -> list[str]:
     (Every file of a station dataset carries the same header; header lines are
     dropped from every file by ``parse_station_lines``.)
     """
-    first = lines.where(F.col("ordinal.start") == 0).select(split_line(F.col("line"), sep).alias("t"), "ordinal") \
-        .agg(F.min_by("t", "ordinal")).first()[0] if isinstance(lines.schema["ordinal"].dataType, StructType) \
-        else lines.agg(F.min_by(split_line(F.col("line"), sep), "ordinal")).first()[0]
+    heads = lines
+    if isinstance(lines.schema["ordinal"].dataType, DecimalType):  # landed files: only the first split of each
+        heads = lines.where(F.pmod(F.col("ordinal"), F.lit(FILE)) < F.lit(SPLIT))
+    first = heads.agg(F.min_by(split_line(F.col("line"), sep), "ordinal")).first()[0]
     return [t.strip() for t in first or []]
 
 

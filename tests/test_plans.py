@@ -41,3 +41,8 @@ def test_scan_pushes_filters_and_prunes_columns(spark):
 def test_top1_uses_partial_window_group_limit(spark):
     p = plan(E.queries()["leader_per_group"](spark, SF))
     assert "WindowGroupLimit" in p
+
+
+def test_station_rollups_have_hash_aggregates_only(spark):
+    for key in ("rollup_station_totals", "share_of_total"):
+        assert "SortAggregate" not in plan(E.queries()[key](spark, SF)), key

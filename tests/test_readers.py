@@ -101,3 +101,34 @@ def test_ordinal_follows_files_and_lines(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert lines == [f"a{i}" for i in range(50)] + [f"b{i:05d}" for i in range(20000)]
+
+
+def test_file_order_is_one_decimal(spark, tmp_path):
+    """Several files (one with a space in its name), small splits: the ordinal is the order of rows in the files."""
+    d = tmp_path / "in put"
+    d.mkdir()
+    want = []
+    for name, n in (("b x.txt", 300), ("a.txt", 700), ("c.txt", 1)):
+        (d / name).write_text("".join(f"{name}:{i:05}\n" for i in range(n)))
+    for name, n in (("a.txt", 700), ("b x.txt", 300), ("c.txt", 1)):
+        want += [f"{name}:{i:05}" for i in range(n)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        lines = readers.read_lines(spark, str(d))
+        assert lines.schema["ordinal"].dataType.simpleString() == "decimal(38,0)"
+        assert [r.line for r in lines.orderBy("ordinal").collect()] == want
+        assert lines.select("ordinal").distinct().count() == len(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_rollup_takes_the_first_row_of_a_unit_and_the_earliest_name(spark):
+    from tallyframe.operators import aggregate as A
+
+    rows = [("75", "c1", "b1", 5, 10, "late"), ("75", "c1", "b1", 9, 99, "dup"), ("75", "c2", "b1", 2, 7, "Paris"),
+            ("77", None, "b1", 1, None, None), ("77", None, "b1", 3, 4, "x")]
+    df = spark.createDataFrame(rows, "g string, c string, b string, at long, n long, name string")
+    got = {r.g: (r.n, r.name) for r in A.rollup_headers(df, ["g", "c", "b"], "g", "at", ["n"], "name").collect()}
+    assert got == {"75": (17, "Paris"), "77": (0, None)}
+    assert {r.g: r.n for r in A.rollup_headers(df, ["g", "c", "b"], "g", "at", ["n"]).collect()} == {"75": 17, "77": 0}
