@@ -1,16 +1,160 @@
-"""Data-quality operators (Q1, Q2): one aggregation pass per report."""
+"""Data-quality operators (Q1, Q2): one aggregation pass per report.
+
+``quality_report(df, rules)`` takes rules as data and reads its input once, whatever the rules: each row emits one
+record for every row rule that it breaks and one for every group that a group rule puts it into, and a single two-level
+aggregation counts them.  ``violations`` lists the same records.  The functions below them are single reports.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
 
-def quality_report(df: DataFrame, key: Sequence[str], not_null: Sequence[str],
+@dataclass(frozen=True)
+class Rule:
+    """One rule: its name, kind, columns and parameters (see the functions below)."""
+
+    name: str
+    kind: str
+    columns: tuple[str, ...]
+    low: float | None = None
+    high: float | None = None
+    group: tuple[str, ...] = ()
+
+    @property
+    def of_groups(self) -> bool:
+        return bool(self.group)
+
+
+def unique(name: str, *key: str) -> Rule:
+    """Duplicates: no two rows with the same key (null equals null)."""
+    return Rule(name, "duplicates", (), group=tuple(key))
+
+
+def not_null(name: str, column: str) -> Rule:
+    """Missing values: the column is never null."""
+    return Rule(name, "missing", (column,))
+
+
+def bounds(name: str, column: str, low: float | None = None, high: float | None = None) -> Rule:
+    """Bounds: low <= value <= high; null values are not checked."""
+    return Rule(name, "bounds", (column,), low, high)
+
+
+def complete(name: str, column: str, share: float) -> Rule:
+    """Completeness: at least this share of the column's cells is filled."""
+    return Rule(name, "completeness", (column,), low=share)
+
+
+def ordered(name: str, *columns: str) -> Rule:
+    """Coherence: each column is no larger than the next (nulls are not compared)."""
+    return Rule(name, "coherence", tuple(columns))
+
+
+def adds_up(name: str, unit: Sequence[str], part: str, whole: str) -> Rule:
+    """Coherence: the parts of a unit's rows add up to its whole (the largest one on its rows)."""
+    return Rule(name, "coherence", (part, whole), group=tuple(unit))
+
+
+def traced(name: str, lineage: str) -> Rule:
+    """Traceability: the lineage label is neither null nor blank."""
+    return Rule(name, "traceability", (lineage,))
+
+
+def _broken(rule: Rule) -> Column:
+    """Whether a row breaks a row rule (never null)."""
+    cols = [F.col(c) for c in rule.columns]
+    if rule.kind in ("missing", "completeness"):
+        return cols[0].isNull()
+    if rule.kind == "traceability":
+        return S.blank_to_null(cols[0]).isNull()
+    bad = F.lit(False)
+    if rule.kind == "bounds":
+        for limit, breaks in ((rule.low, lambda c: c < rule.low), (rule.high, lambda c: c > rule.high)):
+            if limit is not None:
+                bad = bad | F.coalesce(breaks(cols[0]), F.lit(False))
+        return bad
+    for a, b in zip(cols, cols[1:]):
+        bad = bad | F.coalesce(a > b, F.lit(False))
+    return bad
+
+
+def _key(columns: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in columns]).cast("array<string>")
+
+
+def _records(df: DataFrame, rules: Sequence[Rule], identity: Sequence[str]) -> DataFrame:
+    """(rule, key, n, part, whole): broken row rules by the row's identity, and all groups of group rules."""
+    if len({r.name for r in rules}) != len(rules):
+        raise ValueError("rules need names of their own")
+    none = F.lit(None).cast("decimal(38,6)")
+
+    def record(i, key, part=none, whole=none):
+        return F.struct(F.lit(i).alias("__rule"), key.alias("__key"), part.alias("__part"), whole.alias("__whole"))
+
+    records = [record(-1, F.lit(None).cast("array<string>"))]  # every row
+    for i, rule in enumerate(rules):
+        if not rule.of_groups:
+            records.append(F.when(_broken(rule), record(i, _key(identity))))
+        elif rule.columns:
+            records.append(record(i, _key(rule.group), *[F.col(c).cast("decimal(38,6)") for c in rule.columns]))
+        else:
+            records.append(record(i, _key(rule.group)))
+    rows = df.select(F.inline(F.filter(F.array(*records), lambda r: r.isNotNull())))
+    return rows.groupBy("__rule", "__key").agg(F.count(F.lit(1)).alias("__n"), F.sum("__part").alias("__part"), F.max("__whole").alias("__whole"))
+
+
+def _violates(rules: Sequence[Rule]) -> Column:
+    """Whether a record of ``_records`` is a violation."""
+    bad = F.lit(False)
+    for i, rule in enumerate(rules):
+        own = F.lit(True) if not rule.of_groups else F.col("__part") != F.col("__whole") if rule.columns else F.col("__n") > 1
+        bad = F.when(F.col("__rule") == i, F.coalesce(own, F.lit(False))).otherwise(bad)
+    return bad
+
+
+def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Q1: (rule, kind, n_checked, n_violations, passed), one row per rule, from one scan.
+
+    Row rules count rows; duplicates count the rows that share their key; units that don't add up count once.  Completeness passes
+    while the share of filled cells is not below its limit, the others without violations.
+    """
+    n, bad = F.col("__n"), _violates(rules)
+    total = F.coalesce(F.sum(F.when(F.col("__rule") == -1, n)), F.lit(0))
+    sums = [total.alias("__rows")]
+    for i, rule in enumerate(rules):
+        own = F.col("__rule") == i
+        counted = F.lit(1) if rule.of_groups and rule.columns else n
+        sums.append(F.coalesce(F.sum(F.when(own & bad, counted)), F.lit(0)).alias(f"__bad{i}"))
+        sums.append((F.count_if(own) if rule.of_groups and rule.columns else total).alias(f"__all{i}"))
+    one = _records(df, rules, ()).agg(*sums)
+
+    def row(i, rule):
+        broken, checked = F.col(f"__bad{i}"), F.col(f"__all{i}")
+        passed = broken == 0 if rule.kind != "completeness" else (checked - broken) >= F.lit(rule.low) * checked
+        return F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), checked.cast("bigint").alias("n_checked"),
+                        broken.cast("bigint").alias("n_violations"), passed.alias("passed"))
+
+    return one.select(F.inline(F.array(*[row(i, r) for i, r in enumerate(rules)])))
+
+
+def violations(df: DataFrame, rules: Sequence[Rule], identity: Sequence[str]) -> DataFrame:
+    """Q1: (rule, kind, key, n), from one scan: for row rules the identity of each row that breaks them (a missing cell
+    breaks completeness), for group rules the group; n is the number of rows behind it."""
+    names = F.array(*[F.lit(r.name) for r in rules])
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    found = _records(df, rules, identity).where((F.col("__rule") >= 0) & _violates(rules))
+    return found.select(names[F.col("__rule")].alias("rule"), kinds[F.col("__rule")].alias("kind"),
+                        F.transform("__key", lambda k: F.coalesce(k, F.lit(""))).alias("key"), F.col("__n").alias("n"))
+
+
+def quality_counts(df: DataFrame, key: Sequence[str], not_null: Sequence[str],
                    bounds: Mapping[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
     """Q1: one row: rows, duplicate-key rows, null counts and out-of-bounds counts.
 

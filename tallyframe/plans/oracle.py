@@ -467,6 +467,24 @@ select count(*) n_rows, count(*) filter (where votes % 3 = 0) null_votes_in,
        (select count(*) from (select count(*) n from results group by yr, geo) g where n > 1) dup_keys
 from results"""
 
+_FLAWED = [*R3, """flawed as (select yr, geo, opt, valid, cast_n, eligible, case when votes % 11 = 0 then valid + 1 else votes end votes,
+  case when votes % 5 <> 0 then micro_share end share, case when geo = 3 then ' ' when geo <> 5 then geo_name end source from results)""",
+           """broken as (select 'share_present' rule, 'missing' kind, concat_ws('|', yr, geo, opt) as "key", 1 n from flawed where share is null
+  union all select 'share_filled', 'completeness', concat_ws('|', yr, geo, opt), 1 from flawed where share is null
+  union all select 'share_range', 'bounds', concat_ws('|', yr, geo, opt), 1 from flawed where share < 30000 or share > 50000
+  union all select 'counts_ordered', 'coherence', concat_ws('|', yr, geo, opt), 1 from flawed where votes > valid or valid > cast_n or cast_n > eligible
+  union all select 'has_source', 'traceability', concat_ws('|', yr, geo, opt), 1 from flawed where source is null or trim(source) = ''
+  union all select 'votes_differ', 'duplicates', concat_ws('|', yr, geo, votes), count(*) from flawed group by yr, geo, votes having count(*) > 1
+  union all select 'votes_add_up', 'coherence', concat_ws('|', yr, geo), count(*) from flawed group by yr, geo having sum(votes) <> max(valid))"""]
+ORACLE["quality_violations"] = with_(_FLAWED) + 'select rule, kind, "key", cast(n as bigint) n from broken'
+ORACLE["quality_rules"] = with_(_FLAWED) + """
+select r.rule, r.kind, case when r.rule = 'votes_add_up' then (select count(*) from (select distinct yr, geo from flawed)) else (select count(*) from flawed) end n_checked,
+  cast(coalesce(b.n, 0) as bigint) n_violations,
+  case when r.rule = 'share_filled' then (select count(share) >= 0.85 * count(*) from flawed) else coalesce(b.n, 0) = 0 end passed
+from (values ('votes_differ', 'duplicates'), ('share_present', 'missing'), ('share_range', 'bounds'), ('share_filled', 'completeness'),
+  ('counts_ordered', 'coherence'), ('votes_add_up', 'coherence'), ('has_source', 'traceability')) r(rule, kind)
+left join (select rule, case when rule = 'votes_add_up' then count(*) else sum(n) end n from broken group by rule) b on r.rule = b.rule"""
+
 ORACLE["quality_bounds"] = with_(R3) + """
 select yr, count(*) n_rows, count(*) filter (where micro_share > 100000) share_high,
        count(*) filter (where micro_turnout < 400000 or micro_turnout > 800000) turnout_out

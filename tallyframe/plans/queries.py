@@ -774,7 +774,36 @@ def latest_snapshot(spark, d):
 def quality_report(spark, d):
     """Q1: rows, duplicate keys, nulls and bound violations in one pass."""
     h = _holed_results(spark, d)
-    return Q.quality_report(h, ["yr", "geo"], ["votes_in", "share_in"], {"share_in": (0.0, 0.1)})
+    return Q.quality_counts(h, ["yr", "geo"], ["votes_in", "share_in"], {"share_in": (0.0, 0.1)})
+
+
+QUALITY_RULES = [
+    Q.unique("votes_differ", "yr", "geo", "votes"), Q.not_null("share_present", "share"), Q.bounds("share_range", "share", 30_000, 50_000),
+    Q.complete("share_filled", "share", 0.85), Q.ordered("counts_ordered", "votes", "valid", "cast_n", "eligible"),
+    Q.adds_up("votes_add_up", ["yr", "geo"], "votes", "valid"), Q.traced("has_source", "source"),
+]
+
+
+def _flawed_results(spark, d):
+    """Results with holes, too many votes and blank sources."""
+    r = _micro_results(spark, d)
+    return r.select("yr", "geo", "opt", "valid", "cast_n", "eligible",
+                    F.when(F.col("votes") % 11 == 0, F.col("valid") + 1).otherwise(F.col("votes")).alias("votes"),
+                    F.when(F.col("votes") % 5 != 0, F.col("micro_share")).alias("share"),
+                    F.when(F.col("geo") == 3, F.lit(" ")).when(F.col("geo") != 5, F.col("geo_name")).alias("source"))
+
+
+@query("quality_rules")
+def quality_rules(spark, d):
+    """Q1: a report of rules of all six kinds from one scan."""
+    return Q.quality_report(_flawed_results(spark, d), QUALITY_RULES)
+
+
+@query("quality_violations")
+def quality_violations(spark, d):
+    """Q1: the rows and groups behind the report."""
+    v = Q.violations(_flawed_results(spark, d), QUALITY_RULES, ["yr", "geo", "opt"])
+    return v.select("rule", "kind", F.array_join("key", "|").alias("key"), "n")
 
 
 @query("quality_bounds")
