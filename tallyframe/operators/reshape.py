@@ -99,6 +99,39 @@ def pivot_matrix(df: DataFrame, row: str, col: str, val: str, col_values: Sequen
     return m
 
 
+def sparse_matrix(df: DataFrame, row: str, col: str, val: str, row_order: DataFrame | None = None) -> DataFrame:
+    """R5 for any number of columns: (row, cells), cells being an array of (column, value) ordered by column.
+
+    One aggregation, whose plan doesn't grow with the columns; a row's array has at most one entry per column of the matrix.  A
+    (row, col) pair that occurs twice is an error, as in ``pivot_matrix``; rows of `row_order` without data have no cells.
+    """
+    one = F.when(F.count(F.lit(1)) <= 1, F.max(val)).otherwise(
+        F.raise_error(F.concat(F.lit(f"more than one row for a cell of {row} x {col}: "), F.max(F.col(row).cast("string")))))
+    cells = df.groupBy(row, col).agg(one.alias("__cell"))
+    m = cells.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(F.col(col).alias("column"), F.col("__cell").alias("value")))).alias("cells"))
+    if row_order is not None:
+        m = row_order.select(row).join(m, row, "left").withColumn("cells", F.coalesce("cells", F.array().cast(m.schema["cells"].dataType)))
+    return m
+
+
+def matrix_columns(df: DataFrame, col: str) -> Column:
+    """The sorted distinct columns of a matrix, as one array (a scalar subquery)."""
+    return df.select(col).where(F.col(col).isNotNull()).distinct().agg(F.array_sort(F.collect_list(col))).scalar()
+
+
+def sparse_cells(matrix: DataFrame, row: str, col: str, val: str, columns: Column | None = None) -> DataFrame:
+    """(row, col, val) of a sparse matrix; with `columns`, its empty cells too (val null)."""
+    cells = F.col("cells")
+    if columns is not None:
+        matrix = matrix.withColumn("__columns", columns)
+        element = matrix.schema["cells"].dataType.elementType
+        present = F.transform("cells", lambda x: x["column"])
+        empty = F.transform(F.array_except("__columns", present), lambda c: F.struct(
+            c.alias("column"), F.lit(None).cast(element["value"].dataType).alias("value")))
+        cells = F.concat(cells, empty)
+    return matrix.select(row, F.inline(cells)).toDF(row, col, val)
+
+
 def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union into canonical columns by name."""
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -48,6 +48,13 @@ def leader_matrix(results: DataFrame, years: Sequence[int], order: DataFrame | N
                           row_order=order if order is not None else dept_order(results))
 
 
+def leader_cells(results: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """D2 without a column per year: every (dept, year) cell of the matrix, empty ones too."""
+    lead = leaders(results).withColumn("winner_share_pct", S.to_pct("vote_share"))
+    m = R.sparse_matrix(lead, "dept_code", "year", "winner_share_pct", order if order is not None else dept_order(results))
+    return R.sparse_cells(m, "dept_code", "year", "winner_share_pct", R.matrix_columns(lead, "year"))
+
+
 def indicator_trend(values: DataFrame, code: str, order: DataFrame) -> DataFrame:
     """D3: one indicator over years for the driving areas (areas without turnout don't appear)."""
     rows = (values.where(F.col("indicator_code") == code)

@@ -308,6 +308,10 @@ ORACLE["pivot_matrix"] = with_(BASE, TOTALS) + f"""
 select lpad(cast(a.geo as varchar), 2, '0') dept_code, cast(y.yr as varchar) yr, t.valid
 from {_AREAS_YEARS} left join totals t on t.geo = a.geo and t.yr = y.yr"""
 
+ORACLE["pivot_matrix_wide"] = ORACLE["pivot_matrix"]
+ORACLE["pivot_matrix_sparse"] = """select cast(year(l_shipdate) as bigint) yr, l_partkey, cast(sum(cast(l_quantity as bigint)) as bigint) q
+from lineitem group by 1, 2"""
+
 ORACLE["collapse_duplicates"] = with_(R3) + """
 select yr, dept_code, opt candidate_name, eligible registered, valid votes_valid,
        case when votes % 7 <> 0 then votes end votes, micro_share
@@ -731,3 +735,13 @@ select cast(year(o_orderdate) as bigint) yr, cast(c_nationkey as bigint) geo, p_
        cast(sum(case when o_orderstatus = 'F' then cast(l_quantity as bigint) else 0 end) as bigint) votes
 from orders join customer on o_custkey = c_custkey join lineitem on o_orderkey = l_orderkey
 join part on l_partkey = p_partkey group by 1, 2, 3"""
+
+ORACLE["incremental_corrections"] = """
+with o as (select o_orderkey, o_custkey, case when o_orderkey % 5 = 0 then 'F' else o_orderstatus end o_orderstatus,
+                  case when o_orderkey % 5 = 0 then o_orderdate + interval 1 month else o_orderdate end o_orderdate from orders)
+select cast(year(o_orderdate) as bigint) yr, cast(c_nationkey as bigint) geo, p_brand opt,
+       cast(sum(cast(l_quantity as bigint)) as bigint) eligible,
+       cast(sum(case when o_orderstatus <> 'P' then cast(l_quantity as bigint) else 0 end) as bigint) cast_n,
+       cast(sum(case when o_orderstatus = 'F' then cast(l_quantity as bigint) else 0 end) as bigint) votes
+from o join customer on o_custkey = c_custkey join lineitem on o_orderkey = l_orderkey
+join part on l_partkey = p_partkey group by 1, 2, 3"""

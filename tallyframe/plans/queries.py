@@ -446,12 +446,28 @@ def unpivot_measures(spark, d):
 
 @query("pivot_matrix")
 def pivot_matrix(spark, d):
-    """Valid votes matrix, area x year (a column for each year in the data), as cells."""
+    """Valid votes matrix, area x year, in sparse rows, as cells (empty ones too)."""
+    t = P.totals(spark, d).select(S.code2("geo").alias("dept_code"), F.col("yr").cast("string").alias("yr"), "valid")
+    return R.sparse_cells(R.sparse_matrix(t, "dept_code", "yr", "valid"), "dept_code", "yr", "valid", R.matrix_columns(t, "yr"))
+
+
+@query("pivot_matrix_wide")
+def pivot_matrix_wide(spark, d):
+    """The same matrix with a column for each year in the data, as cells."""
     t = P.totals(spark, d).select(S.code2("geo").alias("dept_code"), "yr", "valid")
     m = R.pivot_matrix(t, "dept_code", "yr", "valid", P.years(spark, d))
     return _cells(m, ["dept_code"], "yr", "valid")
 
 
+@query("pivot_matrix_sparse")
+def pivot_matrix_sparse(spark, d):
+    """R5 with a column for each part: line-item quantity, order year x part, in sparse rows, as filled cells."""
+    li = _lineitem(spark, d).select("l_partkey", F.year("l_shipdate").alias("yr"), F.col("l_quantity").cast("bigint").alias("q"))
+    t = li.groupBy("yr", "l_partkey").agg(F.sum("q").alias("q"))
+    cells = R.sparse_cells(R.sparse_matrix(t, "yr", "l_partkey", "q"), "yr", "l_partkey", "q")
+    return cells.select(F.col("yr").cast("bigint").alias("yr"), "l_partkey", "q")
+
+
 # ---------------------------------------------------------------- aggregations
 def _doubled_results(spark, d):
     """Canonical results plus partial duplicates: a second copy of each row with
@@ -743,9 +759,9 @@ def turnout_trend(spark, d):
 @query("leader_matrix")
 def leader_matrix(spark, d):
     """Leader share % matrix, area x year, as cells."""
-    m = D.leader_matrix(_canonical_results(spark, d), P.years(spark, d))
-    cells = _cells(m, ["dept_code"], "yr", "pct")
-    return cells.select("dept_code", "yr", F.round(F.col("pct") * 10000).cast("bigint").alias("micro_share"))
+    cells = D.leader_cells(cut_lineage(_canonical_results(spark, d)))
+    return cells.select("dept_code", F.col("year").cast("string").alias("yr"),
+                        F.round(F.col("winner_share_pct") * 10000).cast("bigint").alias("micro_share"))
 
 
 def _aligned_indicators(spark, d):
@@ -1065,8 +1081,21 @@ def scenario_shares(spark, d):
 # ---------------------------------------------------------------- streaming
 @query("incremental_load")
 def incremental_load(spark, d):
-    """Incremental re-run: order files streamed with availableNow + foreachBatch into
-    per-batch slices; state = sum over slices."""
+    """Incremental re-run: order files streamed with availableNow + foreachBatch into key-range buckets, of which
+    each batch replaces the ones it touches; state = sum over the buckets' latest versions."""
     from ..streaming import incremental as INC
 
     return INC.incremental_counts(spark, d)
+
+
+@query("incremental_corrections")
+def incremental_corrections(spark, d):
+    """Incremental re-run with a file that comes again and one that corrects orders: the last version of an order counts."""
+    from ..streaming import incremental as INC
+
+    orders = P.table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    again = orders.where(key % 3 == 0)
+    corrected = orders.where(key % 5 == 0).withColumn("o_orderstatus", F.lit("F")) \
+        .withColumn("o_orderdate", F.add_months("o_orderdate", 1).cast(orders.schema["o_orderdate"].dataType))
+    return INC.landed_counts(spark, d, [orders, again, corrected])

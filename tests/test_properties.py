@@ -68,3 +68,20 @@ def test_unpivot_of_pivot_is_identity(spark):
         .where(F.col("valid").isNotNull()) \
         .select("dept_code", F.col("yr").cast("int").alias("yr"), F.col("valid").cast("bigint").alias("valid"))
     assert sorted(map(tuple, long.collect())) == sorted(map(tuple, t.collect()))
+
+
+def test_sparse_matrix_of_fifty_thousand_columns(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    cells = spark.range(50_000).select((F.col("id") % 20).alias("r"), (F.col("id") * 7 % 50_000).alias("c"), F.col("id").alias("v"))
+    order = spark.range(21).withColumnRenamed("id", "r")
+    m = R.sparse_matrix(cells, "r", "c", "v", order)
+    rows = {x.r: x.cells for x in m.collect()}
+    assert len(rows) == 21 and rows[20] == []
+    assert all([k.column for k in r] == sorted({k.column for k in r}) for r in rows.values())
+    assert sorted(map(tuple, R.sparse_cells(m, "r", "c", "v").collect())) == sorted(map(tuple, cells.collect()))
+    every = R.sparse_cells(m, "r", "c", "v", R.matrix_columns(cells, "c"))
+    assert every.count() == 21 * 50_000 and every.where("v is not null").count() == 50_000
+    with pytest.raises(Exception, match="more than one row for a cell"):
+        R.sparse_matrix(cells.unionByName(cells.limit(1)), "r", "c", "v").collect()
