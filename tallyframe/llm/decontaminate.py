@@ -7,17 +7,26 @@ moves on in the input when a random bit of (step, symbol) says so; texts that ar
 close in edit distance get outputs that are close in Hamming distance.  Each of
 ``WALKS`` walks is sampled ``SAMPLES`` times at ``BITS`` output positions, and
 a window that agrees with an item in all positions of a sample is a candidate.
+
+A walk falls out of step for good when there are many edits, however long the text: the distortion grows with the square of
+their number.  So items of two or more times ``PIECE`` words are cut into pieces of PIECE to 2 PIECE - 1 words, and
+windows have the pieces' sizes.  That loses nothing: of all pieces at least one has no more than its share of the item's edits,
+floor(0.2 l) for l words; recall depends on the pieces' sizes alone and grows with the item's length.
+
 Every start in the text is a window, so that walks which start behind an early
-edit also find the item; up to floor(0.2 n) words of a window may lie before the document's
+edit also find the item; up to floor(0.2 l) words of a window may lie before the document's
 start or behind its end (padding), so that documents shorter than the item and stretches at either end
-are found as those in the middle are.  Candidates are verified by exact (Sellers) edit distance.
+are found as those in the middle are.  Candidates are verified by exact (Sellers) edit distance, the piece first, then
+the whole item.
 
 Windows that can't match are left out before the walk, without loss: at least
-n - floor(0.2 n) of their words must be words of the items of that length, and as many
-different ones as the least varied of these items has, less floor(0.2 n).
+l - floor(0.2 l) of their words must be words of the pieces of that length, and as many
+different ones as the least varied of these pieces has, less floor(0.2 l).
 
+The random bits are a hash of walk, step and the word itself, so an answer depends on the item and the document alone.
 The query set (the items) is handled in blocks of ``BLOCK`` items, each against
-all rows; nothing is shuffled.  Edge cases: null and empty texts and items
+all rows; nothing is shuffled.  An index holds its items' words and their keys, no table of bits.  Edge cases: items and texts of any length
+are whole; null and empty texts and items
 without words match nothing; null item ids are left out; equal items are all
 reported; repeated rows are judged one by one; an empty benchmark or table
 gives empty lists; other columns are carried along untouched.
@@ -31,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +48,11 @@ from tallyframe.llm.near_dedup import words
 
 EDITS = 0.2
 WALKS, SAMPLES, BITS = 8, 12, 4
+PIECE = 16
 BLOCK = 5_000
 SEED = 20_251
+#: Words whose hash a worker keeps.
+HASHES = 200_000
 
 
 def limit_of(n: int) -> int:
@@ -60,59 +73,87 @@ def within(item: np.ndarray, text: np.ndarray, limit: int) -> bool:
     return False
 
 
+def cut(n: int) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of an item of n words."""
+    g = max(1, n // PIECE)
+    return [(n * i // g, n * (i + 1) // g) for i in range(g)]
+
+
 class Index:
-    """LSH tables of one block of items: by item length, for each sample the items' keys."""
+    """LSH tables of one block of items: by piece length, for each sample the pieces' keys."""
 
     def __init__(self, items: list[tuple[int, list[str]]], seed: int = SEED):
         self.vocab: dict[str, int] = {}
         for _, ws in items:
             for w in ws:
                 self.vocab.setdefault(w, len(self.vocab) + 1)
+        # hash of each word id; 0 has none (words of no item bring their own), the last one is padding
+        self.hash_of = np.array([0, *map(xxhash.xxh3_64_intdigest, self.vocab), 0x9E3779B97F4A7C15], dtype="uint64")
         rng = np.random.default_rng(seed)
-        longest = max((len(ws) for _, ws in items), default=0)
-        self.bits = rng.integers(0, 2, (WALKS, 2 * longest + 2, len(self.vocab) + 2), dtype="int8")
         self.at = np.sort(rng.random((WALKS, SAMPLES, BITS)), axis=2)
-        self.lengths: dict[int, list[tuple[int, np.ndarray]]] = {}
+        self.odd = rng.integers(0, 1 << 63, (WALKS, round(1.6 * 2 * PIECE) + 2), dtype="uint64") * np.uint64(2) + np.uint64(1)
+        self.items: list[tuple[int, np.ndarray]] = []
+        self.lengths: dict[int, list[tuple[int, int, np.ndarray]]] = {}  # item, start of the piece in it, the piece
         for i, ws in items:
             if ws:
-                self.lengths.setdefault(len(ws), []).append((i, np.array([self.vocab[w] for w in ws])))
+                whole = np.array([self.vocab[w] for w in ws])
+                for a, b in cut(len(ws)):
+                    self.lengths.setdefault(b - a, []).append((len(self.items), a, whole[a:b]))
+                self.items.append((i, whole))
         self.own, self.distinct = {}, {}  # by length: weight of each word id, the last one for the gap between documents (full windows)
         for n, group in self.lengths.items():
             own = np.zeros(len(self.vocab) + 2, dtype="int32")
-            own[np.concatenate([x for _, x in group])] = 1
+            own[np.concatenate([x for *_, x in group])] = 1
             own[-1] = -n  # no full window reaches over the end of a document
             self.own[n] = own
-            self.distinct[n] = min(len(np.unique(x)) for _, x in group) - limit_of(n)
-        self.keys = {n: [self.embed(np.concatenate([x for _, x in group]), np.arange(len(group)) * n, 0, n, n, w)
-                         for w in range(WALKS)] for n, group in self.lengths.items()}
+            self.distinct[n] = min(len(np.unique(x)) for *_, x in group) - limit_of(n)
+        self.keys = {}
+        for n, group in self.lengths.items():
+            tokens = np.concatenate([x for *_, x in group])
+            self.keys[n] = [self.embed(tokens, self.hash_of[tokens], np.arange(len(group)) * n, 0, n, n, w) for w in range(WALKS)]
 
-    def embed(self, tokens: np.ndarray, starts: np.ndarray, front: np.ndarray | int, stop: np.ndarray | int, n: int,
-              walk: int) -> np.ndarray:
+    def embed(self, tokens: np.ndarray, hashes: np.ndarray, starts: np.ndarray, front: np.ndarray | int, stop: np.ndarray | int,
+              n: int, walk: int) -> np.ndarray:
         """Sample keys (SAMPLES x windows) of the n-word windows at ``starts``; words outside [front, stop) are padding."""
         steps = max(1, round(1.6 * n))
         at = np.minimum((self.at[walk] * steps).astype(int), steps - 1)
         needed = set(at.ravel().tolist())
         pad, out = len(self.vocab) + 1, {}
         i = np.zeros(len(starts), dtype="int64")
-        bits = self.bits[walk]
         for j in range(max(needed) + 1):
-            sym = np.where((i >= front) & (i < stop), tokens[starts + np.clip(i, front, stop - 1)], pad)
+            inside, place = (i >= front) & (i < stop), starts + np.clip(i, front, stop - 1)
             if j in needed:
-                out[j] = sym.astype("int64")
-            i = i + bits[j, sym]
+                out[j] = np.where(inside, tokens[place], pad).astype("int64")
+            h = np.where(inside, hashes[place], self.hash_of[-1])
+            i = i + ((h * self.odd[walk, j]) >> np.uint64(63)).astype("int64")
         keys = np.zeros((SAMPLES, len(starts)), dtype="int64")
         for s in range(SAMPLES):
             for b in range(BITS):
                 keys[s] = keys[s] * 2_097_143 + out[at[s, b]]
         return keys
 
-    def find(self, docs: list[np.ndarray]) -> list[list[int]]:
-        """For each document (word ids, 0: no item's word) the sorted item ids found in it."""
+    def look_up(self, texts: list[list[str]], known: dict[str, int] | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Word ids (0: no item's word) and hashes of texts; ``known`` keeps the hashes of words."""
+        known = {} if known is None else known
+        get, ids, hashes = self.vocab.get, [], []
+        for ws in texts:
+            if len(known) > HASHES:
+                known.clear()
+            for w in ws:
+                if w not in known:
+                    known[w] = xxhash.xxh3_64_intdigest(w)
+            ids.append(np.fromiter(map(get, ws, itertools.repeat(0)), "int64", len(ws)))
+            hashes.append(np.fromiter(map(known.__getitem__, ws), "uint64", len(ws)))
+        return ids, hashes
+
+    def find(self, docs: list[np.ndarray], hashes: list[np.ndarray]) -> list[list[int]]:
+        """For each document (see ``look_up``) the sorted item ids found in it."""
         found: list[set[int]] = [set() for _ in docs]
         if not self.lengths or not docs:
             return [[] for _ in docs]
         gap = np.full(1, len(self.vocab) + 1)
         tokens = np.concatenate([x for d in docs for x in (d, gap)])
+        hashes = np.concatenate([x for h in hashes for x in (h, self.hash_of[-1:])])
         size = np.array([len(d) for d in docs])
         ends = np.cumsum(size + 1)
         seen = np.zeros(len(self.vocab) + 2, dtype=bool)
@@ -123,6 +164,7 @@ class Index:
         again = narrow[order[1:]] == narrow[order[:-1]]
         before = np.full(len(tokens), -1)
         before[order[1:][again]] = order[:-1][again]
+        checked: set[tuple[int, int, int]] = set()
         for n, group in self.lengths.items():
             own, m = self.own[n], limit_of(n)
             np.cumsum(np.take(own, tokens), out=total[1:])
@@ -151,7 +193,7 @@ class Index:
                 continue
             pairs: set[tuple[int, int]] = set()
             for w in range(WALKS):
-                mine = self.embed(tokens, starts, front, stop, n, w)
+                mine = self.embed(tokens, hashes, starts, front, stop, n, w)
                 for s in range(SAMPLES):
                     keys = self.keys[n][w][s]
                     order = np.argsort(keys)
@@ -161,16 +203,23 @@ class Index:
                         pairs.update((starts[p] + front[p], k) for k in order[lo[p]:hi[p]].tolist())
             doc_of = {p: int(np.searchsorted(ends, p, "right")) for p in {p for p, _ in pairs}}
             for p, k in sorted(pairs):
-                item, x = group[k]
-                d = doc_of[p]
-                if item in found[d]:
+                one, start, piece = group[k]
+                item, x = self.items[one]
+                d, whole = doc_of[p], len(x)
+                first, last = ends[d] - len(docs[d]) - 1, ends[d] - 1
+                around = (d, one, (p - start - first) // whole)  # one exact check for all places of the same stretch
+                if item in found[d] or around in checked:
+                    continue
+                if n < whole and not within(piece, tokens[max(p - m, first):min(p + n + 2 * m, last)], m):
                     continue
-                lo = max(p - m, ends[d] - len(docs[d]) - 1)
-                stretch = tokens[lo:min(p + n + 2 * m, ends[d] - 1)]
+                checked.add(around)
+                limit = limit_of(whole)
+                lo = first + around[2] * whole - 2 * limit
+                stretch = tokens[max(lo, first):min(lo + 2 * whole + 4 * limit, last)]
                 seen[stretch] = True
-                enough = seen[x].sum() >= n - m
+                enough = seen[x].sum() >= whole - limit
                 seen[stretch] = False
-                if enough and within(x, stretch, m):
+                if enough and within(x, stretch, limit):
                     found[d].add(item)
         return [sorted(f) for f in found]
 
@@ -178,14 +227,9 @@ class Index:
 def _finder(items: list[tuple[int, list[str]]]):
     @F.pandas_udf("array<long>")
     def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(items)
-        get, zero = index.vocab.get, itertools.repeat(0)
+        index, known = Index(items), {}
         for texts in it:
-            docs = []
-            for t in texts:
-                ws = words(t)
-                docs.append(np.fromiter(map(get, ws, zero), "int64", len(ws)))
-            yield pd.Series(index.find(docs))
+            yield pd.Series(index.find(*index.look_up([words(t) for t in texts], known)))
 
     return run
 
