@@ -7,8 +7,11 @@ and keeps them in text order; ``SKETCHES`` sketches make the buckets.  The
 similarity of two documents is the order-keeping Jaccard index of their shingle
 sequences, M / (n1 + n2 - M) with M the length of their longest common
 subsequence; a pair links from ``THRESHOLD`` on.  A sketch of two linked
-documents agrees with probability of about 0.8**ELL = 0.41 or more, so that a
-pair at the threshold is missed by all 24 sketches with probability 3e-6.
+documents of many shingles agrees with probability of about 0.8**ELL = 0.41 or more, so that a
+pair at the threshold is missed by all 24 sketches with probability of at most 6e-6.  That does not hold for short texts (4 of 5
+shingles agree with probability 1/5), so texts of up to ``SHORT`` shingles also get a bucket for each of
+their first n - ceil(0.8 n) + 1 symbols in hash order: two linked texts share one of these, so no link is lost where
+the shorter text has up to 0.8 SHORT shingles.
 
 Candidates are verified by banded alignment: symbols further apart than the
 number of edits that the threshold allows can't be matched, and the longest
@@ -51,6 +54,7 @@ K = 5
 THRESHOLD = 0.8
 ELL = 4
 SKETCHES = 24
+SHORT = 25
 COUNTERS = 1 << 20
 BLOCK = 512
 _PARTS = 64
@@ -103,7 +107,7 @@ _MUL = np.array([xxhash.xxh64_intdigest(f"mul {i}") | 1 for i in range(SKETCHES)
 
 
 def sketches(sym: np.ndarray) -> list[int]:
-    """SKETCHES signed 64-bit values; [] for an empty sequence."""
+    """SKETCHES signed 64-bit values, behind them a short sequence's first symbols; [] for an empty sequence."""
     n = len(sym)
     if not n:
         return []
@@ -120,7 +124,10 @@ def sketches(sym: np.ndarray) -> list[int]:
     sig = _ADD[:, 0].copy()
     for j in range(picked.shape[1]):
         sig = _mix(sig * _M + picked[:, j])
-    return sig.astype("int64").tolist()
+    out = sig.astype("int64").tolist()
+    if n <= SHORT:
+        out += np.sort(sym)[:n - math.ceil(THRESHOLD * n - 1e-9) + 1].astype("int64").tolist()
+    return out
 
 
 def similarity_at_least(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
@@ -309,7 +316,7 @@ def classes(docs: DataFrame) -> DataFrame:
         .select("key", "n", "first", F.col("first._at").alias("v")), "omh-texts")
     sigs = base.select(F.col("_at").alias("v"), F.col("_d.sigs").alias("sigs")).join(one.where("n > 0").select("v", "n"), "v")
     entries = (sigs.select("v", "n", F.posexplode("sigs").alias("band", "sig"))
-               .select(F.xxhash64("band", "sig").alias("bucket"), "v", "n"))
+               .select(F.xxhash64(F.least("band", F.lit(SKETCHES)), "sig").alias("bucket"), "v", "n"))
     shared = (entries.groupBy("bucket").agg(F.min("v").alias("rep"), F.min(F.struct("v", "n")).alias("r"), F.count(F.lit(1)).alias("size"))
               .where("size > 1").select("bucket", "rep", F.col("r.n").alias("rep_n")))
     buckets = materialize(entries.join(shared, "bucket"), "omh-buckets")

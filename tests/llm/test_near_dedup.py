@@ -110,3 +110,21 @@ def test_order_counts():
     assert same < X.SKETCHES / 2 and not X.similarity_at_least(s, t)
     assert SequenceMatcher(None, a, b).ratio() < 0.6
     assert np.array_equal(X.symbols([], cache), np.empty(0, "uint64")) and X.sketches(X.symbols([], cache)) == []
+
+
+def test_no_link_of_short_texts_is_lost():
+    """Every pair at the threshold whose shorter text has up to 20 shingles shares a bucket."""
+    rng = random.Random(6)
+    cache = X.WordHash()
+
+    def keys(ws):
+        values = X.sketches(X.symbols(ws, cache))
+        return {(min(i, X.SKETCHES), v) for i, v in enumerate(values)}
+
+    for i in range(6000):
+        n = rng.randrange(4, 21) if i % 2 else 4
+        more = n // 4  # n of n + more shingles are shared
+        ws = [f"w{rng.randrange(10 ** 6)}" for _ in range(n + 4)]
+        longer = ws + [f"w{rng.randrange(10 ** 6)}" for _ in range(more)]
+        assert X.similarity_at_least(X.symbols(ws, cache), X.symbols(longer, cache))
+        assert keys(ws) & keys(longer)
