@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's result to the shared folder and reads it again for the next one.
 The first three stages return the columns of ``documents``; the last returns
 the mix: one row per document and epoch with the tokens to take.
+
+Edge cases, the same in every stage: null and empty texts are clean and kept (all of them are one near-duplicate class, of
+which one row stays); rows with a null id are rows like others; repeated rows are judged alike, and one of them
+stays behind the near-duplicates; very long texts are judged whole; other columns of ``docs`` are carried through the first
+three stages, whatever their names; an empty table gives an empty result; without toxic labels nothing is rejected, without
+benchmark items nothing is a leak.
 """
 
 from __future__ import annotations

@@ -33,3 +33,30 @@ def test_stages_take_effect_in_order(spark):
 def test_run_gives_the_mix(spark):
     rows = P.run(spark, SF).collect()
     assert rows and {"doc_id", "epoch", "take_tokens"} <= set(rows[0].asDict())
+
+
+def test_edge_rows_in_every_stage(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, columns with the operators' own names, an empty table."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, SF, "documents")
+    more = ["_score string", "_row int", "text_ string", "_kept string", "_items string", "_class long"]
+    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", " + ", ".join(more)
+    extra = ("s", 1, "t", "k", "i", 5)
+    rows = [dict(doc_id=None, text=None), dict(doc_id=10 ** 9, text=""), dict(doc_id=10 ** 9 + 1, text=None), dict(doc_id=10 ** 9 + 2, text="lone clean words " * 40_000),
+            dict(doc_id=10 ** 9 + 3, text="a repeated row of a few words only"), dict(doc_id=10 ** 9 + 3, text="a repeated row of a few words only")]
+    odd = spark.createDataFrame([tuple(r.get(c) for c in types) + extra for r in rows], schema)
+    names = [x.split()[0] for x in more]
+    both = docs.limit(60).select("*", *[F.lit(None).cast(odd.schema[n].dataType).alias(n) for n in names]).unionByName(odd)
+    got = both
+    for name, stage in P.STAGES[:-1]:
+        got = P.materialize(stage(spark, got, SF), name)
+        assert got.columns == both.columns
+    kept = [(r.doc_id, r.text, r._row) for r in got.where("_row = 1").collect()]
+    assert sum(not t for _, t, _ in kept) <= 1  # one of all texts without words, here or among the others
+    assert [i for i, t, _ in kept if t and "lone" in t] == [10 ** 9 + 2] and [i for i, t, _ in kept if t and "repeated" in t] == [10 ** 9 + 3]
+    assert P.STAGES[-1][1](spark, got, SF).count() > 0
+    empty = both.limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, empty, SF).count() == 0
