@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,8 +51,8 @@ WALKS, SAMPLES, BITS = 8, 12, 4
 PIECE = 16
 BLOCK = 5_000
 SEED = 20_251
-#: Words whose hash a worker keeps.
-HASHES = 200_000
+#: Words whose hash a worker keeps, and characters of the texts that it looks at together.
+HASHES, CHUNK = 100_000, 2_000_000
 
 
 def limit_of(n: int) -> int:
@@ -132,7 +132,7 @@ class Index:
                 keys[s] = keys[s] * 2_097_143 + out[at[s, b]]
         return keys
 
-    def look_up(self, texts: list[list[str]], known: dict[str, int] | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def look_up(self, texts: Iterable[list[str]], known: dict[str, int] | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Word ids (0: no item's word) and hashes of texts; ``known`` keeps the hashes of words."""
         known = {} if known is None else known
         get, ids, hashes = self.vocab.get, [], []
@@ -224,12 +224,29 @@ class Index:
         return [sorted(f) for f in found]
 
 
+def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts in lists of about CHUNK characters; a longer text is a list of its own."""
+    part: list[str] = []
+    size = 0
+    for t in texts:
+        if part and size + len(t) > CHUNK:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    if part:
+        yield part
+
+
 def _finder(items: list[tuple[int, list[str]]]):
     @F.pandas_udf("array<long>")
     def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, known = Index(items), {}
         for texts in it:
-            yield pd.Series(index.find(*index.look_up([words(t) for t in texts], known)))
+            out: list[list[int]] = []
+            for chunk in _chunks(texts):
+                out += index.find(*index.look_up(map(words, chunk), known))
+            yield pd.Series(out)
 
     return run
 
