@@ -12,7 +12,7 @@ epoch after epoch; the leaf takes the prefix that fills its budget, the last
 document in part.  The order inside an epoch is only needed at the boundary:
 documents are dealt to buckets by hash, about ``BUCKET`` documents each, whole
 buckets before the boundary are taken as sums, and only the boundary bucket is
-sorted.  So a leaf of any size is never in one task.
+sorted.  So a leaf of any size is never in one task (rows that share one id share a bucket).
 
 Tokens are runs of characters other than white space.  Edge cases: null text
 has no tokens and null keys are the name ``''``; documents without tokens are
