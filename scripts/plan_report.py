@@ -82,13 +82,13 @@ def main() -> None:
     print("| key | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for k, fn in QUERIES.items():
-        if k in ("fit_regressors", "compare_models", "incremental_load"):
+        if k in ("fit_lag_regressor", "compare_tree_models", "incremental_load", "incremental_corrections"):
             continue
         df = fn(spark, sf)
         df.collect()
         s = summarize(df._jdf.queryExecution().executedPlan())
         print(f"| {k} | " + " | ".join(str(s[c]) for c in cols) + " |")
-    print("\n`fit_regressors`, `compare_models` (Spark ML fits) and `incremental_load` (a stream "
+    print("\n`fit_lag_regressor`, `compare_tree_models` (Spark ML fits), `incremental_load` and `incremental_corrections` (a stream "
           "with foreachBatch) run several jobs each and are not single plans.")
     spark.stop()
 
