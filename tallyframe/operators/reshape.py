@@ -55,13 +55,18 @@ def explode_groups(df: DataFrame, tokens: str, start: Column | int, stride: int,
     return df.select(*ids, F.inline(group_array(tokens, start, stride, fields, keep)))
 
 
+def group_count(tokens: str, start: Column | int, stride: int, need: int) -> Column:
+    """Number of complete groups of a token array: those whose token at offset `need` exists."""
+    start_c = start if isinstance(start, Column) else F.lit(start)
+    return F.greatest(F.lit(0), F.floor((F.size(F.col(tokens)) - start_c - need - 1) / stride) + 1)
+
+
 def group_array(tokens: str, start: Column | int, stride: int, fields: dict[str, int],
                 keep: Callable[[Column], Column] | None = None) -> Column:
     """The complete, kept groups of a token array as an array of structs (see explode_groups)."""
     arr = F.col(tokens)
     start_c = start if isinstance(start, Column) else F.lit(start)
-    need = max(fields.values())
-    n_groups = F.greatest(F.lit(0), F.floor((F.size(arr) - start_c - need - 1) / stride) + 1)
+    n_groups = group_count(tokens, start, stride, max(fields.values()))
     idx = F.sequence(F.lit(0), n_groups - 1)
 
     def group(i):

@@ -122,34 +122,36 @@ def extract_station_rows(spark: SparkSession, parsed: DataFrame, year: int, cfg:
         F.coalesce(S.parse_int_fr("cast_raw"), F.lit(0)).alias("votes_cast"),
         F.coalesce(S.parse_int_fr("valid_raw"), F.lit(0)).alias("votes_valid"),
         "tokens", "group_start")
-    groups = R.group_array(
-        "tokens", F.col("group_start"), C.STATION_GROUP_STRIDE,
-        {"last_name": C.STATION_NAME_OFFSET, "votes_raw": C.STATION_VOTES_OFFSET,
-         "panel": C.STATION_PANEL_OFFSET},
-        keep=lambda g: S.ustrip(g["panel"]) != "")
-    def record(last_name):
-        return F.struct(last_name.cast("string").alias("last_name"), F.lit(None).cast("string").alias("votes_raw"),
-                        F.lit(None).cast("string").alias("panel"))
-
-    # kinds of records: 0 the row's header, 1 a candidate group, 2 the area's name on the row
-    heads = F.array(record(F.lit(None)), record(F.coalesce("dept_name", F.lit(""))))
-    recs = df.select(*unit, "ordinal", "registered", "votes_cast", "votes_valid", F.inline(F.concat(heads, groups)))
-    kind = F.when(F.col("panel").isNotNull(), 1).when(F.col("last_name").isNotNull(), 2).otherwise(0)
-    recs = recs.withColumn("kind", kind).select(
-        "dept_code", *[F.when(F.col("kind") != 2, F.col(c)).alias(c) for c in unit[1:]], "ordinal", "kind",
-        "registered", "votes_cast", "votes_valid", F.col("last_name").alias("written"),
-        F.when(F.col("kind") == 1, F.coalesce(S.parse_int_fr("votes_raw"), F.lit(0))).alias("votes"))
+    # kinds of records: 0 the row's header, 1 a candidate group, 2 the area's name on the row; a generated number
+    # (-2 the name, -1 the header, else the group) and plain element access, so that all of it is compiled code
+    fields = (C.STATION_NAME_OFFSET, C.STATION_VOTES_OFFSET, C.STATION_PANEL_OFFSET)
+    n_groups = R.group_count("tokens", F.col("group_start"), C.STATION_GROUP_STRIDE, max(fields))
+    recs = df.select("*", F.explode(F.sequence(F.lit(-2), (n_groups - 1).cast("int"))).alias("__i"))
+    is_group = F.col("__i") >= 0
+
+    def field(offset):
+        at = (F.col("group_start") + F.col("__i") * C.STATION_GROUP_STRIDE + offset).cast("int")
+        return F.when(is_group, F.get("tokens", at))
+
+    recs = recs.where(~is_group | (S.ustrip(field(C.STATION_PANEL_OFFSET)) != "")).select(
+        *unit, "ordinal", "registered", "votes_cast", "votes_valid",
+        F.when(is_group, 1).when(F.col("__i") == -2, 2).otherwise(0).alias("kind"),
+        F.when(F.col("__i") == -2, F.coalesce("dept_name", F.lit(""))).otherwise(field(C.STATION_NAME_OFFSET)).alias("written"),
+        F.when(is_group, F.coalesce(S.parse_int_fr(field(C.STATION_VOTES_OFFSET)), F.lit(0))).alias("votes"))
     if cfg.dedupe_measures:
         # candidate groups only from the first row of each station, like the totals
         firsts = df.groupBy(*unit).agg(F.min("ordinal").alias("ordinal"))
         recs = recs.where(F.col("kind") != 1).unionByName(
             recs.where(F.col("kind") == 1).join(firsts, [*unit, "ordinal"], "left_semi"))
-    # level 1 per (unit, name as written): header records keep the first row's counts, group
+    # only header records count once per unit; the others drop it, so that they shrink map-side to one record per (area,
+    # name as written).  Level 1 per (unit, name as written): header records keep the first row's counts, group
     # records sum their votes; level 2 per (area, name as written); the names are canonicalized
     # there, on the few distinct ones, and level 3 sums what has become one name; windows
     # over the aggregated rows of each area attach the totals and the area's earliest name (no join, no branch, so
     # the input is parsed once; no string is an aggregate's value, so a fixed-width ordinal keeps hash aggregates)
     counts = ("registered", "votes_cast", "votes_valid")
+    recs = recs.select("dept_code", *[F.when(F.col("kind") == 0, F.col(c)).alias(c) for c in unit[1:]],
+                       "ordinal", "kind", *counts, "written", "votes")
     per_unit = recs.groupBy(*unit, "kind", "written").agg(
         F.sum("votes").alias("votes"), F.min("ordinal").alias("first"), *[F.min_by(c, "ordinal").alias(c) for c in counts])
     per_name = per_unit.groupBy("dept_code", "kind", "written").agg(

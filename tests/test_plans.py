@@ -1,8 +1,14 @@
 """Plan assertions: JVM-only expressions, no cartesian / nested-loop joins, pushed-down scans."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from tallyframe.config import JobConfig
+from tallyframe.plans import election as EL
+from tallyframe.plans import proxy as P
 from tallyframe.plans.oracle import ORACLE
 from tallyframe.plans.queries import QUERIES
+from tallyframe.sources import readers
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,3 +52,43 @@ def test_top1_uses_partial_window_group_limit(spark):
 def test_station_rollups_have_hash_aggregates_only(spark):
     for key in ("rollup_station_totals", "share_of_total"):
         assert "SortAggregate" not in plan(E.queries()[key](spark, SF)), key
+
+
+def _station_lines(spark, stations):
+    """Two rows per station with three groups each (one of them with a blank panel), the first row's counts differing."""
+    rows = []
+    for i in range(stations):
+        for copy in (0, 1):
+            groups = ";".join(f"{'' if g == 2 else g};X;Name {g};;{i % 7 + g};0;0" for g in (1, 2, 3))
+            rows.append((f"{i % 2 + 1};;{i % 5};{i};{10 + copy};{8 + copy};{6 + copy};{groups}", 2 * i + copy))
+    return readers.parse_station_lines(spark.createDataFrame(rows, "line string, ordinal long"), P.STATION_HEADER)
+
+
+def _shuffled(df):
+    """Rows that each exchange of the plan wrote."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        todo, out = [df._jdf.queryExecution().executedPlan()], []
+        while todo:
+            p = todo.pop()
+            if p.nodeName() == "Exchange":
+                out.append(p.metrics().apply("shuffleRecordsWritten").value())
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+        return out
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_candidate_groups_shrink_before_any_exchange(spark):
+    """Group records are summed map-side; only the header of a station crosses the exchange by station."""
+    stations = 400
+    parsed = _station_lines(spark, stations)
+    departments = F.broadcast(spark.createDataFrame([("01", "One"), ("02", "Two")], "dept_code string, dept_name string"))
+    r = EL.extract_station_rows(spark, parsed, 2017, JobConfig(target_codes=None), departments=departments)
+    votes = {(x.dept_code, x.candidate_name): (x.votes, x.registered, x.votes_cast, x.votes_valid, x.dept_name) for x in r.collect()}
+    want = {(f"0{d + 1}", f"NAME {g}"): (sum(2 * (i % 7 + g) for i in range(d, stations, 2)), 10 * 200, 8 * 200, 6 * 200, ("One", "Two")[d])
+            for d in (0, 1) for g in (1, 3)}
+    assert votes == want
+    for cols, most in ((["dept_code", "candidate_name", "votes"], 100), (r.columns, 2 * stations + 200)):
+        assert sum(_shuffled(r.select(*cols))) < most, cols
