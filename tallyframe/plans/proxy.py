@@ -159,33 +159,32 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     duplicates); panel is blank on every 4th line number.  Columns: (line, ordinal); the ordinal packs
     (order, chunk, copy) into 64 bits in that order (orders below 2^43 with under 2^19 chunks).
 
-    One shuffle: the window by station numbers the lines and computes the
-    station totals; the chunk aggregation reuses that partitioning.
+    One shuffle: windows by station number the lines, look at the lines behind the first one of a chunk and compute the
+    station totals, so that a chunk's row comes from its first line without an aggregation.
     """
     b = base(spark, sf_dir)
     ws = Window.partitionBy("station")
     w = ws.orderBy("ln", "partkey", "suppkey")
-    lines = b.select(
-        "station", "commune", "geo", "geo_name", "ln", "opt", "q",
+    grp = F.concat_ws(";", F.when(F.col("ln") % 4 == 0, F.lit("")).otherwise(F.col("ln").cast("string")),
+                      F.lit("X"), F.col("opt"), F.lit(""), F.col("q").cast("string"), F.lit("0"), F.lit("0"))
+    lines = b.withColumn("g", grp).select(
+        "station", "commune", "geo", "geo_name",
         (F.row_number().over(w) - 1).alias("rn"),
+        "g", *[F.lead("g", i).over(w).alias(f"g{i}") for i in range(1, GROUPS_PER_ROW)],
         F.sum("q").over(ws).alias("reg"),
         F.sum(F.when(F.col("st") != "P", F.col("q")).otherwise(0)).over(ws).alias("cst"),
         F.sum(F.when(F.col("st") == "F", F.col("q")).otherwise(0)).over(ws).alias("val"),
         (F.col("pri") == "1-URGENT").alias("urgent"))
-    grp = F.concat_ws(";", F.when(F.col("ln") % 4 == 0, F.lit("")).otherwise(F.col("ln").cast("string")),
-                      F.lit("X"), F.col("opt"), F.lit(""), F.col("q").cast("string"), F.lit("0"), F.lit("0"))
-    rows = (lines.groupBy("station", (F.col("rn") / GROUPS_PER_ROW).cast("int").alias("chunk"))
-            .agg(F.array_sort(F.collect_list(F.struct("rn", grp.alias("g")))).alias("gs"),
-                 F.first("commune").alias("commune"), F.first("geo").alias("geo"),
-                 F.first("geo_name").alias("geo_name"), F.first("reg").alias("reg"),
-                 F.first("cst").alias("cst"), F.first("val").alias("val"), F.first("urgent").alias("urgent")))
+    rows = lines.where(F.col("rn") % GROUPS_PER_ROW == 0)
     name = F.when(F.col("geo") % 7 == 0, F.lit("")).otherwise(F.col("geo_name"))
     line = F.concat_ws(";", F.col("geo").cast("string"), name, F.col("commune").cast("string"),
                        F.col("station").cast("string"), F.col("reg").cast("string"),
                        F.col("cst").cast("string"), F.col("val").cast("string"),
-                       F.array_join(F.transform("gs", lambda s: s["g"]), ";"))
-    copies = F.when(F.col("urgent"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return rows.select(line.alias("line"), "station", "chunk", F.explode(copies).alias("copy")) \
+                       "g", *[f"g{i}" for i in range(1, GROUPS_PER_ROW)])
+    chunk = (F.col("rn") / GROUPS_PER_ROW).cast("int")
+    # the line is generated, not projected: filters on it then don't build it again
+    copies = F.array_repeat(line, F.when(F.col("urgent"), 2).otherwise(1))
+    return rows.select("station", chunk.alias("chunk"), F.posexplode(copies).alias("copy", "line")) \
         .select("line", (F.shiftleft(F.col("station").cast("bigint"), 20) + F.col("chunk") * 2 + F.col("copy")).alias("ordinal"))
 
 

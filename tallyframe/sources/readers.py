@@ -119,8 +119,9 @@ def parse_station_lines(lines: DataFrame, header: list[str], sep: str = ";",
         idx[n] = i
     start = idx["npanneau"]
     names = F.array(*[F.lit(h.strip()) for h in header])
-    parsed = (lines.select("ordinal", split_line(F.col("line"), sep).alias("tokens"))
-              .where(F.transform("tokens", lambda t: F.trim(t)) != names))
+    # the first token tells almost every row from a header line; only where it is the header's are all compared
+    is_header = (F.trim(F.get("tokens", F.lit(0))) == header[0].strip()) & (F.transform("tokens", lambda t: F.trim(t)) == names)
+    parsed = lines.select("ordinal", split_line(F.col("line"), sep).alias("tokens")).where(~is_header)
 
     def at(name):
         return F.element_at(F.col("tokens"), idx[name] + 1)

@@ -92,3 +92,30 @@ def test_candidate_groups_shrink_before_any_exchange(spark):
     assert votes == want
     for cols, most in ((["dept_code", "candidate_name", "votes"], 100), (r.columns, 2 * stations + 200)):
         assert sum(_shuffled(r.select(*cols))) < most, cols
+
+
+def test_station_rows_come_from_a_window_not_from_collected_lists(spark, tmp_path):
+    """Chunks of three lines, a copy of every row of an urgent order, blank panel on every 4th line number."""
+    tables = {
+        "nation": ([(1, "N1"), (7, "N7")], "n_nationkey int, n_name string"),
+        "customer": ([(10, 1), (11, 7)], "c_custkey long, c_nationkey int"),
+        "part": ([(1, "B1"), (2, "B2"), (3, None)], "p_partkey long, p_brand string"),
+        "orders": ([(100, 10, "F", "5-LOW"), (101, 11, "P", "1-URGENT")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "lineitem": ([(100, 1 + i % 2, 5, 7 - i, float(i + 1)) for i in range(7)] + [(101, 3, 5, 1, 9.0)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.selectExpr("*", "date'1995-01-01' as o_orderdate", "1.0D as o_totalprice")
+        if name == "lineitem":
+            df = df.selectExpr("*", "date'1995-02-01' as l_shipdate")
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    df = P.station_lines(spark, str(tmp_path))
+    assert "collect_list" not in plan(df)
+    group = {ln: f"{'' if ln % 4 == 0 else ln};X;B{1 + (7 - ln) % 2};;{8 - ln};0;0" for ln in range(1, 8)}
+    head = "1;N1;10;100;28;28;28;"
+    want = [(head + ";".join(group[ln] for ln in lns), (100 << 20) + 2 * c) for c, lns in enumerate([(1, 2, 3), (4, 5, 6), (7,)])]
+    want += [("7;;11;101;9;0;0;1;X;;9;0;0", (101 << 20) + copy) for copy in (0, 1)]
+    assert sorted(map(tuple, df.collect()), key=lambda r: r[1]) == want
