@@ -6,8 +6,9 @@ training knows and u for the unknown word; u is the share of training tokens tha
 (Good-Turing).  Transitions are smoothed towards the classes' own frequencies; the class before is that
 of the nearest known word before.
 
-Classes.  Words with at least 1/``SEED_SHARE`` of all training tokens (so fewer
-than ``2 * SEED_SHARE`` whatever the corpus) are clustered by exchange: each word
+Classes.  All words with at least 1/(2 * ``SEED_SHARE``) of all training tokens (so no more than
+``2 * SEED_SHARE`` whatever the corpus), and the end token, are clustered by exchange; they are found exactly,
+however the documents are dealt over tasks and batches.  Each such word
 moves to the class that raises the class-bigram likelihood most, sweep by sweep, on counts over the whole
 training corpus.  Every other word of the corpus then takes one exchange step in Spark: each
 block of documents counts the classes before and behind the word, the counts are summed over all blocks,
@@ -38,6 +39,7 @@ from tallyframe.llm.common import fold_of, materialize
 
 CLASSES = 32
 SEED_SHARE = 1_000
+SLACK = 8  # a batch lists words with 1/(SLACK * 2 * SEED_SHARE) of its tokens
 SWEEPS = 10
 ALPHA = 5.0  # pseudo-count of the class frequencies in a transition row
 BLOCK_BITS = 13  # 8,192 documents a block
@@ -125,17 +127,55 @@ def transitions(counts: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
     return (counts + alpha * share) / (counts.sum(axis=1, keepdims=True) + alpha)
 
 
+def _counter(texts) -> Counter[bytes]:
+    c: Counter[bytes] = Counter()
+    for t in texts:
+        c.update(tokens(t))
+    return c
+
+
 def _frequent(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch of training documents: tokens in all (h null), and words with 1/SEED_SHARE of them."""
+    """Per batch of training documents: tokens in all (h null), and words with 1/(SLACK * 2 * SEED_SHARE) of them."""
     for pdf in it:
-        c: Counter[bytes] = Counter()
-        for t in pdf["text"]:
-            c.update(tokens(t))
+        c = _counter(pdf["text"])
         n = c.total()
-        rows = [(hash_of(w), k) for w, k in c.items() if k * SEED_SHARE >= n or w == END]
+        rows = [(hash_of(w), k) for w, k in c.items() if k * SLACK * 2 * SEED_SHARE >= n or w == END]
         yield pd.DataFrame({"h": pd.array([None, *(h for h, _ in rows)], dtype="Int64"), "n": [n, *(k for _, k in rows)]})
 
 
+def _occurrences(words: np.ndarray):
+    """How often each of ``words`` (hashes) occurs."""
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(words), dtype="int64")
+        for pdf in it:
+            c = _counter(pdf["text"])
+            at = _lookup(words, np.arange(len(words)), np.fromiter(map(hash_of, c), "int64", len(c)), -1)
+            n = np.fromiter(c.values(), "int64", len(c))
+            np.add.at(total, at[at >= 0], n[at >= 0])
+        yield pd.DataFrame({"h": words, "n": total})
+
+    return run
+
+
+def _seed_words(train: DataFrame) -> tuple[int, np.ndarray]:
+    """Training tokens in all, and the hashes of all words with 1/(2 * SEED_SHARE) of them and of the end token, frequent first.
+
+    Batches list their frequent words.  Where a batch doesn't list a word, it has less than 1/(SLACK * 2 * SEED_SHARE)
+    of the batch, so a seed word's listed counts make at least (SLACK - 1)/(SLACK * 2 * SEED_SHARE) of all tokens; no more
+    than SLACK * 2 * SEED_SHARE / (SLACK - 1) words reach that, and their occurrences are counted in every document.
+    """
+    common = materialize(
+        train.mapInPandas(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-common")
+    total = int(common.where("h is null").agg(F.sum("n")).first()[0] or 0)
+    likely = (F.col("n") * SLACK * 2 * SEED_SHARE >= total * (SLACK - 1)) | (F.col("h") == hash_of(END))
+    words = np.array(sorted(r.h for r in common.where("h is not null").where(likely).select("h").collect()), dtype="int64")
+    if not len(words):
+        return total, words
+    rows = train.mapInPandas(_occurrences(words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()
+    rows = [r for r in rows if r.n * 2 * SEED_SHARE >= total or r.h == hash_of(END)]
+    return total, np.array([r.h for r in sorted(rows, key=lambda r: (-r.n, r.h))], dtype="int64")
+
+
 def _bigrams(seeds: np.ndarray):
     """Bigram counts of the seed words (hashes), other words skipped; the end token parts documents."""
     size = len(seeds)
@@ -312,13 +352,7 @@ def score(docs: DataFrame) -> DataFrame:
                     (fold_of("doc_id") == 1).alias("held_out"),
                     F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block")), "lm-docs")
     train = base.where("not held_out").select("text")
-    common = train.mapInPandas(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    common = materialize(common, "lm-common")
-    total = common.where("h is null").agg(F.sum("n")).first()[0] or 0
-    # at most 2 * SEED_SHARE words can hold 1/(2 * SEED_SHARE) of the tokens
-    rows = (common.where("h is not null").where((F.col("n") * 2 * SEED_SHARE >= total) | (F.col("h") == hash_of(END)))
-            .collect())
-    seeds = np.array([r.h for r in sorted(rows, key=lambda r: (-r.n, r.h))], dtype="int64")
+    total, seeds = _seed_words(train)
     size = len(seeds)
     cls, trans = np.zeros(0, dtype="int64"), np.full((CLASSES, CLASSES), 1 / CLASSES)
     if size:

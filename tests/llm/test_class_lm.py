@@ -106,3 +106,25 @@ def test_class_of_a_word_comes_from_all_blocks():
     many = pd.DataFrame([(0, "a new " * 500 + "a", False), (1, "c new " * 20 + "c", False)], columns=docs.columns)
     got = pd.concat(X._decide(trans)(iter([pd.concat(X._evidence(seeds, cls)(iter([many]))).sort_values("h")])))
     assert got.set_index("h")["k"][X.hash_of(b"new")] == 1 and got.set_index("h")["c"][X.hash_of(b"new")] == 520
+
+
+def test_every_frequent_word_is_clustered_however_documents_are_batched(spark, monkeypatch):
+    """A word that just misses a share of 1/1000 in a large batch, exceeds it in a small one, and exceeds it in all."""
+    ids = [i for i in range(60) if fold(i) != 1]
+    texts = [" ".join(["often"] * 19 + [f"a{i}" for i in range(19_980)]), " ".join(["often"] * 3 + [f"b{i}" for i in range(996)])]
+    rows = [(i, t, "") for i, t in zip(ids, texts)]
+    c = Counter(X.hash_of(w) for t in texts for w in X.tokens(t))
+    seen, bigrams = [], X._bigrams
+    monkeypatch.setattr(X, "_bigrams", lambda seeds: seen.append(seeds) or bigrams(seeds))
+    key, found = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    for batch in ("1", "10000"):
+        old = spark.conf.get(key)
+        spark.conf.set(key, batch)
+        try:
+            found.append({r.doc_id: r.score for r in X.op8(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()})
+        finally:
+            spark.conf.set(key, old)
+    for seeds in seen:
+        assert {h for h, n in c.items() if n * X.SEED_SHARE >= c.total()} <= set(seeds.tolist())
+        assert set(seeds.tolist()) == {h for h, n in c.items() if n * 2 * X.SEED_SHARE >= c.total()} | {X.hash_of(X.END)}
+    assert all(abs(f[i] - found[0][i]) < 1e-6 * abs(f[i]) for f in found for i in f)
