@@ -18,15 +18,18 @@ number of edits that the threshold allows can't be matched, and the longest
 increasing subsequence of the matched positions is M exactly.
 
 No bucket is capped and no bucket's pairs are all emitted.  Texts with equal words are
-one vertex; every bucket's members are compared with its smallest member (a star).
+one vertex; a bucket's members meet its smallest member (a star), and each text is first compared
+with the smallest member that it meets in most buckets: one copy of a text for each text, however many stars it is in.
 Members of a bucket that then still lie in different components are compared further,
 without loss.  With symbols ordered from rare to common, two linked texts
 share one of their first n - ceil(0.8 n) + 1 symbols (prefix filtering; any order is right, the
 counts behind it come from one fixed array of ``COUNTERS`` counters), so texts that share a common
-passage alone never meet.  Texts that meet, directly or by others, form a cluster; a cluster is
-cut into blocks of ``BLOCK`` texts, and a task takes two blocks: it counts the shared symbols of all
+passage alone never meet.  Texts with the same most common prefix symbol and about the same length go to
+the same blocks of ``BLOCK`` texts.  A task takes two blocks, and of these only the texts that share a prefix symbol
+with a text of the other block, of another component and a length that can link: it counts the shared symbols of all
 their pairs with matrix products, aligns pairs of different components that can reach the
-threshold, and sends a spanning forest of its links, not the pairs.
+threshold, and sends a spanning forest of its links, not the pairs.  So a text is copied as often as there are
+blocks with texts that it meets, not as often as its cluster (texts that meet by others) has blocks.
 
 Edge cases: null text counts as empty; texts without words are compared as raw
 strings (all empty texts are one class); texts of under five words are one
@@ -48,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import connected_components, materialize
+from tallyframe.llm.common import connected_components, materialize, shuffles_dropped
 
 K = 5
 THRESHOLD = 0.8
@@ -57,6 +60,8 @@ SKETCHES = 24
 SHORT = 25
 COUNTERS = 1 << 20
 BLOCK = 512
+#: Lengths that can link differ by a factor of 1 / THRESHOLD at most, so by one class at most; a bit wider, as logarithms are rounded.
+LENGTH_STEP = math.log(1.008 / THRESHOLD)
 _PARTS = 64
 _WORD = re.compile(r"[^\W_]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -199,25 +204,31 @@ def common_counts(texts: DataFrame) -> np.ndarray:
     # two levels, so that no task adds up more than a bounded number of rows for each part
     some = (tasks.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("part", "salt")
             .applyInPandas(_add, "part int, counts binary"))
-    rows = some.groupBy("part").applyInPandas(_add, "part int, counts binary").collect()
+    with shuffles_dropped(texts.sparkSession):
+        rows = some.groupBy("part").applyInPandas(_add, "part int, counts binary").collect()
     return np.concatenate([np.frombuffer(r.counts, "int64") for r in sorted(rows, key=lambda r: r.part)]) if rows else np.zeros(COUNTERS)
 
 
+def length_class(n: int) -> int:
+    """Classes of sequence lengths; those of two linked texts differ by one at most."""
+    return int(math.log(n) / LENGTH_STEP)
+
+
 def _prefixes(counts: np.ndarray):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = WordHash()
         for pdf in it:
-            vs, cs, keys = [], [], []
-            for v, c, t in zip(pdf["v"], pdf["c"], pdf["text"]):
+            vs, lengths, keys = [], [], []
+            for v, t in zip(pdf["v"], pdf["text"]):
                 sym = symbols(words(t), cache)
                 n = len(sym)
                 size = n - math.ceil(THRESHOLD * n - 1e-9) + 1
                 first = np.lexsort((sym, counts[(sym % np.uint64(COUNTERS)).astype("int64")]))[:size]
                 keys.append(sym[first].astype("int64"))
                 vs.append(np.full(size, v))
-                cs.append(np.full(size, c))
+                lengths.append(np.full(size, length_class(n), dtype="int32"))
             if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "v": np.concatenate(vs), "c": np.concatenate(cs)})
+                yield pd.DataFrame({"key": np.concatenate(keys), "v": np.concatenate(vs), "length": np.concatenate(lengths)})
 
     return run
 
@@ -244,7 +255,7 @@ def shared_symbols(syms: list[np.ndarray], rows: int) -> np.ndarray:
 
 def _compare(key, pdf):
     """Forest of the links between two blocks (or within one) that join different components."""
-    i, j = key[1], key[2]
+    i, j = key
     pdf = pdf.sort_values(["block", "v"])
     cache = WordHash()
     syms = [symbols(words(t), cache) for t in pdf["text"]]
@@ -257,9 +268,11 @@ def _compare(key, pdf):
             x = root[x]
         return x
 
-    comp = pdf["c"].tolist()
+    own = pdf["c"].to_numpy()
+    comp = own.tolist()
     both = shared_symbols(syms, first)
     can = both >= THRESHOLD / (1 + THRESHOLD) * (n[:first, None] + n[None, :]) - 1e-9
+    can &= own[:first, None] != own[None, :]
     if i == j:
         can &= np.arange(first)[:, None] < np.arange(len(syms))[None, :]
     else:
@@ -275,22 +288,27 @@ def _compare(key, pdf):
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _rest(texts: DataFrame) -> DataFrame:
-    """Links (a, b) that join the components c of texts (v, c, text), by prefix filtering."""
-    keys = materialize(texts.mapInPandas(_prefixes(common_counts(texts)), "key long, v long, c long"), "omh-prefixes")
-    shared = (keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("v").alias("a"))
-              .where("lo <> hi").select("key", "a"))
-    meet = materialize(keys.join(shared, "key").select("a", F.col("v").alias("b")).distinct(), "omh-meet")
-    clusters = materialize(
-        connected_components(meet.select(F.col("b").alias("v")).distinct(), meet).select("v", F.col("component").alias("cluster")),
-        "omh-clusters")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = (texts.join(clusters, "v").join(sizes, "cluster")
-            .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "v", "c", "text"))
-    return rows.groupBy("cluster", "i", "j").applyInPandas(_compare, "a long, b long")
+def _rest(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components c of parts (v, c), by prefix filtering; texts (v, text) holds these and may hold others."""
+    keys = materialize(
+        texts.mapInPandas(_prefixes(common_counts(texts)), "key long, v long, length int").join(parts, "v"), "omh-prefixes")
+    shared = (keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("v").alias("a"), F.count(F.lit(1)).alias("texts"))
+              .where("lo <> hi").select("key", "a", "texts"))
+    meet = materialize(keys.join(shared, "key"), "omh-meet")
+    homes = (meet.groupBy("v").agg(F.first("length").alias("length"), F.max(F.struct("texts", "key", "a")).alias("most"))
+             .select("v", "length", F.col("most.a").alias("home")))
+    sizes = homes.groupBy("home", "length").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = homes.join(sizes, ["home", "length"]).withColumn("nth", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    names = dealt.groupBy("home", "length", "nth").agg(F.min("v").alias("block"))
+    blocks = materialize(dealt.join(names, ["home", "length", "nth"]).select("v", "block"), "omh-blocks")
+    placed = materialize(meet.select("key", "v", "c", "length").join(blocks, "v"), "omh-placed")
+    sides = placed.groupBy("key", F.col("block").alias("other")).agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.first("length").alias("there"))
+    to = materialize(
+        placed.join(sides, "key").where("abs(length - there) <= 1 and not (lo = c and hi = c)")
+        .select("v", "c", "block", "other").distinct(), "omh-blocks-met")
+    rows = texts.join(to, "v").select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "v", "c", "text")
+    return rows.groupBy("i", "j").applyInPandas(_compare, "a long, b long")
 
 
 _RATIO = f"least(na, nb) >= {THRESHOLD} * greatest(na, nb)"
@@ -321,7 +339,8 @@ def classes(docs: DataFrame) -> DataFrame:
               .where("size > 1").select("bucket", "rep", F.col("r.n").alias("rep_n")))
     buckets = materialize(entries.join(shared, "bucket"), "omh-buckets")
     star = (buckets.select(F.col("rep").alias("a"), F.col("v").alias("b"), F.col("rep_n").alias("na"), F.col("n").alias("nb"))
-            .where("a <> b").where(_RATIO).select("a", "b").distinct())
+            .where("a <> b").where(_RATIO).groupBy("a", "b").agg(F.count(F.lit(1)).alias("often"))
+            .groupBy("b").agg(F.max(F.struct("often", F.negative("a").alias("a"))).alias("most")).select(F.negative("most.a").alias("a"), "b"))
     texts = materialize(
         base.select(F.col("_at").alias("v"), F.col("_row.text").alias("text")).join(buckets.select("v").distinct(), "v"), "omh-candidates")
     vertices = one.select("v")
@@ -329,8 +348,8 @@ def classes(docs: DataFrame) -> DataFrame:
     part = connected_components(vertices, near).select("v", F.col("component").alias("c"))
     left = buckets.select("bucket", "v").join(part, "v")
     open_ = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket")
-    apart = left.join(open_, "bucket").select("v", "c").distinct()
-    rest = materialize(_rest(materialize(texts.join(apart, "v").select("v", "c", "text"), "omh-apart")), "omh-rest")
+    apart = materialize(left.join(open_, "bucket").select("v", "c").distinct(), "omh-apart")
+    rest = materialize(_rest(texts, apart), "omh-rest")
     final = connected_components(vertices, near.union(rest))
     ids = one.select("v", "key", "first").join(final, "v")
     best = ids.groupBy("component").agg(F.min("first").alias("best"))

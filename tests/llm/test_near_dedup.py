@@ -128,3 +128,42 @@ def test_no_link_of_short_texts_is_lost():
         longer = ws + [f"w{rng.randrange(10 ** 6)}" for _ in range(more)]
         assert X.similarity_at_least(X.symbols(ws, cache), X.symbols(longer, cache))
         assert keys(ws) & keys(longer)
+
+
+def test_texts_go_only_to_blocks_that_they_meet(spark, monkeypatch):
+    """A long chain of texts that meet but don't link: a text is copied for the blocks of its neighbours, not for all blocks of the chain."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10 ** 9)}" for _ in range(16 * 300 + 100)]
+    rows = [" ".join(words[16 * i:16 * i + 100]) for i in range(300)]  # neighbours share 80 of 112 shingles; those 7 apart share none
+    df = spark.createDataFrame([(i, t, "k", None) for i, t in enumerate(rows)], SCHEMA).repartition(4)
+    sent, write = [], X.materialize
+
+    def sizes(key, pdf):
+        return pdf.assign(a=len(pdf), b=pdf["v"]).loc[:, ["a", "b"]].head(1)
+
+    def kept(d, tag):
+        out = write(d, tag)
+        if tag == "omh-rest":
+            sent.append(out.agg({"a": "sum"}).first()[0])
+        return out
+
+    monkeypatch.setattr(X, "BLOCK", 4)
+    assert all(r.kept for r in X.op4(df).collect())
+    monkeypatch.setattr(X, "materialize", kept)
+    monkeypatch.setattr(X, "_compare", sizes)
+    X.op4(df)
+    assert 300 <= sent[0] <= 300 * 13  # up to 6 neighbours on each side, and its own block
+
+
+def test_classes_in_small_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(X, "BLOCK", 4)
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, "k", None) for i, t in enumerate(rows)], SCHEMA).repartition(4)
+    got = {r.doc_id: r.class_id for r in X.op4(df).collect()}
+    assert [got[i] for i in range(len(rows))] == brute(rows)
+
+
+def test_lengths_of_linked_texts_are_in_neighbouring_classes():
+    for n in [*range(1, 5000), 10 ** 6, 10 ** 9]:
+        longest = int(n / X.THRESHOLD + 1e-9)
+        assert X.length_class(longest) - X.length_class(n) in (0, 1)
