@@ -91,8 +91,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         new = materialize(
             step.join(up, "component", "left")
             .select("v", "old", F.least("component", "up").alias("component")), "labels")
-        if new.where("old <> component").limit(1).count() == 0:
-            break
+        with shuffles_dropped(new.sparkSession):
+            if new.where("old <> component").limit(1).count() == 0:
+                break
         labels = new.drop("old")
     return (vertices.join(labels, "v", "left")
             .select("v", F.coalesce("component", "v").alias("component")))

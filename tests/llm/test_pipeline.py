@@ -60,3 +60,21 @@ def test_edge_rows_in_every_stage(spark):
     empty = both.limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_near_dedup_stage_holds_no_shuffle_files_of_its_steps(spark):
+    """What the steps of the second stage have shuffled is gone when the stage's result is about to be written."""
+    import time
+
+    def files():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in names if "/shuffle_" in f}
+
+    docs = table(spark, SF, "documents")
+    before = files()
+    kept = P.drop_near_duplicates(spark, docs, SF)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert 0 < kept.count() < docs.count()
